@@ -29,65 +29,50 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
     return 2 * F.lit(EARTH_RADIUS_M) * F.atan2(F.sqrt(a), F.sqrt(1 - a))
 
 
+# One step of the series; {k} numbers the step and {j} the one before, so that no name occurs twice.
+_STEP = [
+    "sin(_lam{j}) AS _sl{k}, cos(_lam{j}) AS _cl{k}",
+    "_c2 * _sl{k} AS _p{k}, _c1 * _s2 - _s1 * _c2 * _cl{k} AS _q{k}, _s1 * _s2 + _c1 * _c2 * _cl{k} AS _cos{k}",
+    "sqrt(_p{k} * _p{k} + _q{k} * _q{k}) AS _sin{k}",
+    "atan2(_sin{k}, _cos{k}) AS _sig{k}, coalesce(_c1 * _c2 * _sl{k} / nullif(_sin{k}, 0D), 0D) AS _az{k}",
+    "1 - _az{k} * _az{k} AS _ca{k}",
+    "coalesce(_cos{k} - 2 * _s1 * _s2 / nullif(_ca{k}, 0D), 0D) AS _m{k}, {f} / 16 * _ca{k} * (4 + {f} * (4 - 3 * _ca{k})) AS _t{k}",
+    "_big + (1 - _t{k}) * {f} * _az{k} * (_sig{k} + _t{k} * _sin{k} * (_m{k} + _t{k} * _cos{k} * (2 * _m{k} * _m{k} - 1))) AS _lam{k}",
+]
+
+
 def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str, steps: int = 4) -> DataFrame:
     """Add the WGS-84 distance in kilometres (Vincenty's inverse series) as column ``out``.
 
     The iteration is unrolled into a chain of projections, so the whole chain runs as generated
-    code; as one nested expression it would either blow up or fall back to interpretation. Four
-    steps settle the series below a millimetre unless the points are nearly antipodal; where it has
-    not settled the result is NULL and ``steps`` may be raised. More steps make the generated method
-    too large for the JIT compiler, so keep it low.
+    code; as one nested expression it would either blow up or fall back to interpretation. It is
+    written as SQL text because that is analysed once, not once per projection. Four steps settle
+    the series below a millimetre unless the points are nearly antipodal; where it has not settled
+    the result is NULL and ``steps`` may be raised. More steps make the generated method too large
+    for the JIT compiler, so keep it low.
     """
-    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
-    c, zero = (lambda n: F.col("_g_" + n)), F.lit(0.0)
-    b = 1 - WGS84_F
-
-    def add(frame: DataFrame, **new: Column) -> DataFrame:
-        return frame.withColumns({"_g_" + k: v for k, v in new.items()})
-
-    d = add(
-        df,
-        u1=F.atan(b * F.tan(F.radians(F.col(lat1)))),
-        u2=F.atan(b * F.tan(F.radians(F.col(lat2)))),
-        L=F.radians(F.col(lon2) - F.col(lon1)),
-    )
-    d = add(d, s1=F.sin(c("u1")), c1=F.cos(c("u1")), s2=F.sin(c("u2")), c2=F.cos(c("u2")), lam=c("L"))
-    d = add(d, cc=c("c1") * c("c2"), s12=c("s1") * c("s2"), cs_=c("c1") * c("s2"), sc_=c("s1") * c("c2"))
-    for _ in range(steps):
-        d = add(d, sl=F.sin(c("lam")), cl=F.cos(c("lam")), prev=c("lam"))
-        d = add(d, p=c("c2") * c("sl"), q=c("cs_") - c("sc_") * c("cl"), cos=c("s12") + c("cc") * c("cl"))
-        d = add(d, sin=F.sqrt(c("p") * c("p") + c("q") * c("q")))
-        d = add(d, sig=F.atan2(c("sin"), c("cos")), az=F.coalesce(c("cc") * c("sl") / F.nullif(c("sin"), zero), zero))
-        d = add(d, ca=1 - c("az") * c("az"))
-        d = add(
-            d,
-            m=F.coalesce(c("cos") - 2 * c("s12") / F.nullif(c("ca"), zero), zero),
-            C=WGS84_F / 16 * c("ca") * (4 + WGS84_F * (4 - 3 * c("ca"))),
-        )
-        d = add(
-            d,
-            lam=c("L") + (1 - c("C")) * WGS84_F * c("az")
-            * (c("sig") + c("C") * c("sin") * (c("m") + c("C") * c("cos") * (2 * c("m") * c("m") - 1))),
-        )
-    d = add(d, k=c("ca") * (1 / (b * b) - 1))
-    d = add(
-        d,
-        A=1 + c("k") / 16384 * (4096 + c("k") * (-768 + c("k") * (320 - 175 * c("k")))),
-        B=c("k") / 1024 * (256 + c("k") * (-128 + c("k") * (74 - 47 * c("k")))),
-        m2=c("m") * c("m"),
-    )
-    shift = c("B") * c("sin") * (
-        c("m")
-        + c("B") / 4 * (
-            c("cos") * (2 * c("m2") - 1)
-            - c("B") / 6 * c("m") * (4 * c("sin") * c("sin") - 3) * (4 * c("m2") - 3)
-        )
-    )
-    km = WGS84_A * b / 1000 * c("A") * (c("sig") - shift)
+    f, b = f"{WGS84_F!r}D", f"{1 - WGS84_F!r}D"
+    z = steps
+    layers = [
+        f"atan({b} * tan(radians(`{lat1}`))) AS _u1, atan({b} * tan(radians(`{lat2}`))) AS _u2, radians(`{lon2}` - `{lon1}`) AS _big",
+        "sin(_u1) AS _s1, cos(_u1) AS _c1, sin(_u2) AS _s2, cos(_u2) AS _c2, _big AS _lam0",
+    ]
+    for k in range(1, steps + 1):
+        layers += [line.format(k=k, j=k - 1, f=f) for line in _STEP]
+    layers += [
+        f"_ca{z} * (1 / ({b} * {b}) - 1) AS _k, _m{z} * _m{z} AS _mm",
+        "1 + _k / 16384 * (4096 + _k * (-768 + _k * (320 - 175 * _k))) AS _a, _k / 1024 * (256 + _k * (-128 + _k * (74 - 47 * _k))) AS _b",
+        f"_b * _sin{z} * (_m{z} + _b / 4 * (_cos{z} * (2 * _mm - 1) - _b / 6 * _m{z} * (4 * _sin{z} * _sin{z} - 3) * (4 * _mm - 3))) AS _shift",
+    ]
     # A partition id is never negative; asking for it keeps the optimizer from copying the chain
     # into a filter on the result, which would unfold it exponentially.
-    settled = (F.abs(c("lam") - c("prev")) < 1e-9) & (F.spark_partition_id() >= 0)
-    return d.select(*keep, F.when(settled, km).alias(out))
+    settled = f"abs(_lam{z} - _lam{z - 1}) < 1e-9 AND spark_partition_id() >= 0"
+    km = f"CASE WHEN {settled} THEN {WGS84_A / 1000!r}D * {b} * _a * (_sig{z} - _shift) END"
+    keep = ", ".join(f"`{c}`" for c in df.columns if c != out)
+    text = "{puntos}"
+    for layer in layers:
+        text = f"(SELECT *, {layer} FROM {text})"
+    return df.sparkSession.sql(f"SELECT {keep}, {km} AS `{out}` FROM {text}", puntos=df)
 
 
 def within_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, km: float, out: str = "distancia_km") -> DataFrame:

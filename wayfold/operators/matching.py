@@ -33,33 +33,43 @@ def windowed(pings: DataFrame, window: str) -> DataFrame:
     return pings.withColumn("ventana", F.window("ts", window)["start"])
 
 
-def _vehicle_side(vehicles: DataFrame, window: str) -> DataFrame:
+def _instant(keep_window: bool) -> Column:
+    """The ping's time; a stream may carry only one event-time column, which then is the window."""
+    return F.timestamp_micros(F.unix_micros("ts")) if keep_window else F.col("ts")
+
+
+def _vehicle_side(vehicles: DataFrame, window: str, keep_window: bool = False) -> DataFrame:
     extra = [c for c in ("tramo",) if c in vehicles.columns]
-    return windowed(vehicles, window).select(
-        "ventana", "viaje_id", F.col("ts").alias("v_ts"), "vehiculo_id", F.col("event_id").alias("v_event"),
+    return vehicles.select(
+        F.window("ts", window).alias("franja"), "viaje_id", _instant(keep_window).alias("v_ts"), "vehiculo_id", F.col("event_id").alias("v_event"),
         "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", *extra,
     )
 
 
-def _user_side(users: DataFrame, window: str) -> DataFrame:
-    return windowed(users, window).select(
-        "ventana", "viaje_id", F.col("ts").alias("u_ts"), "cliente_id", F.col("event_id").alias("u_event"),
+def _user_side(users: DataFrame, window: str, keep_window: bool = False) -> DataFrame:
+    return users.select(
+        F.window("ts", window).alias("franja"), "viaje_id", _instant(keep_window).alias("u_ts"), "cliente_id", F.col("event_id").alias("u_event"),
         F.col("latitud").alias("u_latitud"), F.col("longitud").alias("u_longitud"), "rating", "metodo_pago",
     )
 
 
-def candidates(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0) -> DataFrame:
+def candidates(
+    vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, keep_window: bool = False,
+) -> DataFrame:
     """Pairs of a vehicle ping and a user ping of the same trip and window within the radius.
 
     The grid cell is part of the join key: a vehicle ping is sent to the few cells around it, a user
     ping to its own, so a busy trip spreads over its cells and distances are taken between
     neighbours only. Each pair is found exactly once because a user ping sits in one cell.
+    ``keep_window`` leaves the whole window as ``franja``, which a stream needs for its watermark.
     """
-    v = _vehicle_side(vehicles, window).withColumn(
+    v = _vehicle_side(vehicles, window, keep_window).withColumn(
         "celda", F.explode(geo.cells_around("latitud", "longitud", radius_km))
     )
-    u = _user_side(users, window).withColumn("celda", geo.cell("u_latitud", "u_longitud", radius_km))
-    pairs = v.join(u, ["ventana", "viaje_id", "celda"]).drop("celda")
+    u = _user_side(users, window, keep_window).withColumn("celda", geo.cell("u_latitud", "u_longitud", radius_km))
+    pairs = v.join(u, ["franja", "viaje_id", "celda"]).drop("celda")
+    if not keep_window:
+        pairs = pairs.select(F.col("franja.start").alias("ventana"), *[c for c in pairs.columns if c != "franja"])
     return geo.within_km(pairs, "latitud", "longitud", "u_latitud", "u_longitud", radius_km)
 
 
@@ -216,17 +226,20 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
     return calm.unionByName(_replay_slices(sliced, scope, seat_scope).drop("tramo"))
 
 
-def _rides(matches: DataFrame, window: str, rate: float, stamp: Column | None) -> DataFrame:
-    priced = geo.with_geodesic_km(matches, "latitud", "longitud", "latitud_final", "longitud_final", "_km")
-    closing = F.col("ventana") + F.expr(f"INTERVAL {window}")
-    return priced.select(
+def priced(matches: DataFrame, rate: float, stamp: Column) -> DataFrame:
+    """Ride rows of matched pairs. The fare is worked out here, for matches only."""
+    far = geo.with_geodesic_km(matches, "latitud", "longitud", "latitud_final", "longitud_final", "_km")
+    return far.select(
         "ventana", "viaje_id", "vehiculo_id", "v_event", "v_ts", "num_plazas", "plazas_ocupadas", "cliente_id", "u_event",
         F.col("rating").cast("double").alias("rating"), "metodo_pago", geo.fare("_km", rate).alias("pago_viaje"),
-        "latitud", "longitud", "latitud_final", "longitud_final",
-        (closing if stamp is None else stamp).alias("timestamp"),
+        "latitud", "longitud", "latitud_final", "longitud_final", stamp.alias("timestamp"),
     )
 
 
+def _rides(matches: DataFrame, window: str, rate: float, stamp: Column | None) -> DataFrame:
+    return priced(matches, rate, F.col("ventana") + F.expr(f"INTERVAL {window}") if stamp is None else stamp)
+
+
 def greedy_match(
     vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, rate: float = 1.0,
     seat_scope: str = "ping", stamp: Column | None = None, max_fold: int | None = MAX_FOLD,

@@ -8,29 +8,105 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from wayfold.functions import geo
-from wayfold.operators.matching import USER_ORDER, VEHICLE_ORDER, _rides, _user_side, _vehicle_side, seat_fold
+from wayfold.operators.matching import USER_ORDER, VEHICLE_ORDER, candidates, priced, seat_fold
 
-# What a candidate pair carries into the fold, in matching order first.
-PAIR = VEHICLE_ORDER + USER_ORDER + [
-    "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", "rating", "metodo_pago",
-]
+# What a candidate pair carries into the fold, matching order first.
+PAIR = [*VEHICLE_ORDER, *USER_ORDER, "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", "rating", "metodo_pago"]
 
 
 def closed_windows(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float, watermark: str) -> DataFrame:
-    """One row per (window, trip) with its candidate pairs in matching order, emitted once when the
-    watermark has passed the window; later rows of that window are dropped.
+    """One row per (window, trip) with its candidate pairs in matching order.
 
-    The two streams are joined by window, trip and grid cell, so the distance work and the join
-    state spread over cells and only pairs within the radius are gathered for the fold.
+    A row is emitted once, when the watermark (that of the slower stream) has passed the window;
+    records that come later are dropped. The streams are joined on window, trip and grid cell, so
+    join state and distance work spread over cells, and only pairs within the radius are gathered.
     """
-    v = _vehicle_side(vehicles.withWatermark("ts", watermark), window).withColumn(
-        "celda", F.explode(geo.cells_around("latitud", "longitud", radius_km))
-    )
-    u = _user_side(users.withWatermark("ts", watermark), window).withColumn("celda", geo.cell("u_latitud", "u_longitud", radius_km))
-    return v, u
+    pairs = candidates(vehicles.withWatermark("ts", watermark), users.withWatermark("ts", watermark), window, radius_km, keep_window=True)
+    gathered = pairs.groupBy("franja", "viaje_id").agg(F.sort_array(F.collect_list(F.struct(*PAIR))).alias("pares"))
+    return gathered.select(F.col("franja.start").alias("ventana"), F.col("franja.end").alias("cierre"), "viaje_id", "pares")
 
 
-def pairs_schema(df: DataFrame) -> T.StructType:
-    return df.schema
+def _pair_schema(closed: DataFrame) -> T.StructType:
+    own = [f for f in closed.schema.fields if f.name != "pares"]
+    return T.StructType(own + closed.schema["pares"].dataType.elementType.fields + [T.StructField("plazas_ocupadas", T.LongType())])
+
+
+def match_stream(
+    vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, watermark: str = "0 seconds",
+    remember: bool = False, rate: float = 1.0, ttl_ms: int | None = None,
+) -> DataFrame:
+    """Rides as a stream, in append mode.
+
+    ``remember=False`` matches every window on its own. ``remember=True`` keeps matched clients and
+    filled vehicles of each trip in the state store and leaves them out of later windows; ``ttl_ms``
+    forgets them after that long (never, if left out).
+    """
+    closed = closed_windows(vehicles, users, window, radius_km, watermark)
+    schema = _pair_schema(closed)
+    if remember:
+        matches = closed.groupBy("viaje_id").transformWithStateInPandas(
+            statefulProcessor=remembering_processor(schema, ttl_ms), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None",
+        )
+    else:
+        matches = closed.mapInPandas(_fold_rows(schema), schema)
+    return priced(matches, rate, F.col("cierre"))
+
+
+def _fold_rows(schema: T.StructType):
+    """Fold each gathered row by itself."""
+    fold = seat_fold(["ventana", "viaje_id"], "ping")
+    names = schema.names[:-1]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def pairs():
+            for pdf in batches:
+                for ventana, cierre, viaje, pares in zip(pdf["ventana"], pdf["cierre"], pdf["viaje_id"], pdf["pares"]):
+                    rows = pd.DataFrame([dict(p) if isinstance(p, dict) else p.asDict() for p in pares])
+                    yield rows.assign(ventana=ventana, cierre=cierre, viaje_id=viaje)[names]
+
+        yield from fold(pairs())
+
+    return run
+
+
+def remembering_processor(schema: T.StructType, ttl_ms: int | None) -> StatefulProcessor:
+    """Processor whose state is the set of matched clients and the set of filled vehicles of a trip.
+
+    The class is local so that it travels to the executors by value.
+    """
+    names = schema.names
+
+    class Remembering(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            key, seen = T.StructType([T.StructField("id", T.LongType())]), T.StructType([T.StructField("hasta", T.LongType())])
+            self.matched = handle.getMapState("clientes", key, seen, ttl_ms)
+            self.full = handle.getMapState("vehiculos", key, seen, ttl_ms)
+
+        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
+            windows = []
+            for pdf in rows:
+                windows += list(zip(pdf["ventana"], pdf["cierre"], pdf["pares"]))
+            # Several windows of a trip may close together; they act in time order.
+            for ventana, cierre, pares in sorted(windows, key=lambda w: w[0]):
+                at, out = None, []
+                for p in pares:
+                    p = p if isinstance(p, dict) else p.asDict()
+                    vehicle, client = int(p["vehiculo_id"]), int(p["cliente_id"])
+                    if p["v_event"] != at:
+                        at, occupied, closed = p["v_event"], 0, self.full.containsKey((vehicle,))
+                    if closed or occupied >= p["num_plazas"] or self.matched.containsKey((client,)):
+                        continue
+                    occupied += 1
+                    self.matched.updateValue((client,), (1,))
+                    if occupied >= p["num_plazas"]:
+                        self.full.updateValue((vehicle,), (1,))
+                    out.append({**p, "ventana": ventana, "cierre": cierre, "viaje_id": key[0], "plazas_ocupadas": occupied})
+                if out:
+                    yield pd.DataFrame(out)[names]
+
+        def close(self) -> None:
+            pass
+
+    return Remembering()
