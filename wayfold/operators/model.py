@@ -9,6 +9,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -162,7 +163,8 @@ def feature_names(transformed: DataFrame) -> list[str]:
 def vector_variance(transformed: DataFrame) -> DataFrame:
     """Sample variance of every transformed feature, smallest first."""
     names = feature_names(transformed)
-    long = transformed.select(F.posexplode(vector_to_array("features")).alias("i", "x")).groupBy("i").agg(F.var_samp("x").alias("varianza"))
+    one = transformed.agg(Summarizer.variance(F.col("features")).alias("v"))
+    long = one.select(F.posexplode(vector_to_array("v")).alias("i", "varianza"))
     label = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("i") + 1)
     return long.select(label.alias("variable"), "varianza").orderBy("varianza", "variable")
 
