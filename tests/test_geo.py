@@ -23,6 +23,15 @@ def test_same_point_and_unsettled(spark):
     assert one(spark, 0.0, 0.0, 0.3, 179.8) is None
 
 
+def test_far_points_and_both_forms(spark):
+    df = spark.createDataFrame([(39.47, -0.37, -33.87, 151.21), (39.47, -0.37, 39.48, -0.36), (0.0, 0.0, 0.0, 1.0), (None, 0.0, 0.0, 1.0)], "a double, b double, c double, d double")
+    rows = geo.with_geodesic_km(df, "a", "b", "c", "d", "km", far=True).withColumn("k2", geo.geodesic_km("a", "b", "c", "d", 20)).collect()
+    assert [r.km for r in rows][3] is None
+    ball = df.select(geo.haversine_m("a", "b", "c", "d") / 1000).first()[0]
+    assert rows[0].km == pytest.approx(ball, rel=geo.SPHERE_SLACK) and rows[2].km == pytest.approx(111.319491, abs=1e-6)
+    assert all(r.km == pytest.approx(r.k2, abs=1e-7) for r in rows[:3])
+
+
 def test_filter_on_the_result_stays_above_the_series(spark):
     df = spark.range(1000).select((39 + F.col("id") / 1e4).alias("a"), F.lit(0.0).alias("b"), F.lit(39.0).alias("c"), F.lit(0.0).alias("d"))
     near = geo.with_geodesic_km(df, "a", "b", "c", "d", "km").where("km <= 1.0").where("km > 0.5")

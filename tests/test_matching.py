@@ -28,9 +28,25 @@ def data(seed, pings=60, trips=3, minutes=4, area=0.04, hot=0.0):
 
 
 def km(a, b, c, d):
-    a, b, c, d = map(math.radians, (a, b, c, d))
-    h = math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2
-    return 6371 * 2 * math.asin(math.sqrt(h))
+    """Ellipsoidal distance by direct iteration until nothing changes."""
+    f = 1 / 298.257223563
+    u, w, far = math.atan((1 - f) * math.tan(math.radians(a))), math.atan((1 - f) * math.tan(math.radians(c))), math.radians(d - b)
+    lam = far
+    for _ in range(50):
+        sin = math.hypot(math.cos(w) * math.sin(lam), math.cos(u) * math.sin(w) - math.sin(u) * math.cos(w) * math.cos(lam))
+        if sin == 0:
+            return 0.0
+        cos = math.sin(u) * math.sin(w) + math.cos(u) * math.cos(w) * math.cos(lam)
+        sigma, az = math.atan2(sin, cos), math.cos(u) * math.cos(w) * math.sin(lam) / sin
+        sq = 1 - az * az
+        mid = cos - 2 * math.sin(u) * math.sin(w) / sq
+        k = f / 16 * sq * (4 + f * (4 - 3 * sq))
+        lam = far + (1 - k) * f * az * (sigma + k * sin * (mid + k * cos * (2 * mid * mid - 1)))
+    k = sq * (1 / (1 - f) ** 2 - 1)
+    big = 1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k)))
+    small = k / 1024 * (256 + k * (-128 + k * (74 - 47 * k)))
+    shift = small * sin * (mid + small / 4 * (cos * (2 * mid**2 - 1) - small / 6 * mid * (4 * sin**2 - 3) * (4 * mid**2 - 3)))
+    return 6378.137 * (1 - f) * big * (sigma - shift)
 
 
 def loop(vs, us, seconds, radius, remember=False, per_vehicle=False):

@@ -32,37 +32,46 @@ def haversine_m(lat1, lon1, lat2, lon2) -> Column:
 # One step of the series; {k} numbers the step and {j} the one before, so that no name occurs twice.
 _STEP = [
     "sin(_lam{j}) AS _sl{k}, cos(_lam{j}) AS _cl{k}",
-    "_c2 * _sl{k} AS _p{k}, _c1 * _s2 - _s1 * _c2 * _cl{k} AS _q{k}, _s1 * _s2 + _c1 * _c2 * _cl{k} AS _cos{k}",
+    "_c2 * _sl{k} AS _p{k}, _cs - _sc * _cl{k} AS _q{k}, _ss + _cc * _cl{k} AS _cos{k}",
     "sqrt(_p{k} * _p{k} + _q{k} * _q{k}) AS _sin{k}",
-    "atan2(_sin{k}, _cos{k}) AS _sig{k}, coalesce(_c1 * _c2 * _sl{k} / nullif(_sin{k}, 0D), 0D) AS _az{k}",
-    "1 - _az{k} * _az{k} AS _ca{k}",
-    "coalesce(_cos{k} - 2 * _s1 * _s2 / nullif(_ca{k}, 0D), 0D) AS _m{k}, {f} / 16 * _ca{k} * (4 + {f} * (4 - 3 * _ca{k})) AS _t{k}",
-    "_big + (1 - _t{k}) * {f} * _az{k} * (_sig{k} + _t{k} * _sin{k} * (_m{k} + _t{k} * _cos{k} * (2 * _m{k} * _m{k} - 1))) AS _lam{k}",
+    "atan2(_sin{k}, _cos{k}) AS _sig{k}, _cc * _sl{k} / (_sin{k} + 1e-300D) AS _az{k}",
+    "1D - _az{k} * _az{k} AS _ca{k}",
+    "_cos{k} - _ss2 / (_ca{k} + 1e-300D) AS _m{k}, _ca{k} * ({f4} - {f3} * _ca{k}) AS _t{k}",
+    "_big + ({f} - {f} * _t{k}) * _az{k} * (_sig{k} + _t{k} * _sin{k} * (_m{k} + _t{k} * _cos{k} * (2D * _m{k} * _m{k} - 1D))) AS _lam{k}",
 ]
 
 
-def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str, steps: int = 4) -> DataFrame:
+def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, out: str, steps: int = 3, far: bool = False) -> DataFrame:
     """Add the WGS-84 distance in kilometres (Vincenty's inverse series) as column ``out``.
 
     The iteration is unrolled into a chain of projections, so the whole chain runs as generated
     code; as one nested expression it would either blow up or fall back to interpretation. It is
-    written as SQL text because that is analysed once, not once per projection. Four steps settle
-    the series below a millimetre unless the points are nearly antipodal; where it has not settled
-    the result is NULL and ``steps`` may be raised. More steps make the generated method too large
-    for the JIT compiler, so keep it low.
+    written as SQL text because that is analysed once, not once per projection. From a first-order
+    start, three steps settle the series far below a millimetre up to a few thousand kilometres;
+    where it has not settled the result is NULL, or, with ``far``, comes from the slower
+    ``geodesic_km`` with more steps.
+
+    A generated method beyond 8 kB of bytecode is not compiled by the JVM. So steps are few, missing
+    inputs become NaN at the start, and a tiny addend guards the quotients, which spares a NULL or
+    zero test per term.
     """
     f, b = f"{WGS84_F!r}D", f"{1 - WGS84_F!r}D"
+    f4, f3 = WGS84_F / 4 * (1 + WGS84_F), WGS84_F * WGS84_F * 3 / 16
+    second = 1 / (1 - WGS84_F) ** 2 - 1
     z = steps
     layers = [
-        f"atan({b} * tan(radians(`{lat1}`))) AS _u1, atan({b} * tan(radians(`{lat2}`))) AS _u2, radians(`{lon2}` - `{lon1}`) AS _big",
-        "sin(_u1) AS _s1, cos(_u1) AS _c1, sin(_u2) AS _s2, cos(_u2) AS _c2, _big AS _lam0",
+        ", ".join(f"coalesce(`{c}`, double('NaN')) AS _in{k}" for k, c in enumerate((lat1, lon1, lat2, lon2))),
+        f"atan({b} * tan(radians(_in0))) AS _u1, atan({b} * tan(radians(_in2))) AS _u2, radians(_in3 - _in1) AS _big",
+        "sin(_u1) AS _s1, cos(_u1) AS _c1, sin(_u2) AS _s2, cos(_u2) AS _c2",
+        f"_big * (1D + {f} * _c1 * _c2) AS _lam0, _c1 * _c2 AS _cc, _c1 * _s2 AS _cs, _s1 * _c2 AS _sc, _s1 * _s2 AS _ss, 2D * _s1 * _s2 AS _ss2",
     ]
     for k in range(1, steps + 1):
-        layers += [line.format(k=k, j=k - 1, f=f) for line in _STEP]
+        layers += [line.format(k=k, j=k - 1, f=f, f4=f"{f4!r}D", f3=f"{f3!r}D") for line in _STEP]
     layers += [
-        f"_ca{z} * (1 / ({b} * {b}) - 1) AS _k, _m{z} * _m{z} AS _mm",
-        "1 + _k / 16384 * (4096 + _k * (-768 + _k * (320 - 175 * _k))) AS _a, _k / 1024 * (256 + _k * (-128 + _k * (74 - 47 * _k))) AS _b",
-        f"_b * _sin{z} * (_m{z} + _b / 4 * (_cos{z} * (2 * _mm - 1) - _b / 6 * _m{z} * (4 * _sin{z} * _sin{z} - 3) * (4 * _mm - 3))) AS _shift",
+        f"{second!r}D * _ca{z} AS _k, _m{z} * _m{z} AS _mm",
+        "1D + _k * (0.25D + _k * (-0.046875D + _k * (0.01953125D - 0.01068115234375D * _k))) AS _a, "
+        "_k * (0.25D + _k * (-0.125D + _k * (0.072265625D - 0.0458984375D * _k))) AS _b",
+        f"_b * _sin{z} * (_m{z} + 0.25D * _b * (_cos{z} * (2D * _mm - 1D) - {1 / 6!r}D * _b * _m{z} * (4D * _sin{z} * _sin{z} - 3D) * (4D * _mm - 3D))) AS _shift",
     ]
     # A partition id is never negative; asking for it keeps the optimizer from copying the chain
     # into a filter on the result, which would unfold it exponentially.
@@ -72,13 +81,83 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     text = "{puntos}"
     for layer in layers:
         text = f"(SELECT *, {layer} FROM {text})"
-    return df.sparkSession.sql(f"SELECT {keep}, {km} AS `{out}` FROM {text}", puntos=df)
+    result = df.sparkSession.sql(f"SELECT {keep}, {km} AS `{out}` FROM {text}", puntos=df)
+    return result.withColumn(out, F.coalesce(out, geodesic_km(lat1, lon1, lat2, lon2, 20))) if far else result
 
 
-def within_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str, km: float, out: str = "distancia_km") -> DataFrame:
-    """Keep the rows whose two points are at most ``km`` apart (inclusive); adds the distance."""
-    near = df.where(haversine_m(lat1, lon1, lat2, lon2) <= km * 1000 * (1 + SPHERE_SLACK))
-    return with_geodesic_km(near, lat1, lon1, lat2, lon2, out).where(F.col(out) <= km)
+def _let(fn, **values: Column) -> Column:
+    """Name intermediate values inside one expression."""
+    return F.transform(F.array(F.struct(*[v.alias(k) for k, v in values.items()])), fn)[0]
+
+
+def geodesic_km(lat1, lon1, lat2, lon2, steps: int = 3) -> Column:
+    """The distance of ``with_geodesic_km`` as a single expression.
+
+    It is evaluated by interpretation, some ten times slower per row, so it suits conditions that
+    few rows reach.
+    """
+    f, b = WGS84_F, 1 - WGS84_F
+    zero = F.lit(0.0)
+
+    def start(r: Column) -> Column:
+        return _let(
+            lambda g: _let(
+                lambda p: finish(g, p),
+                end=F.aggregate(F.sequence(F.lit(1), F.lit(steps)), first(g), lambda acc, _: step(g, acc["lam"])),
+            ),
+            s1=F.sin(r["u"]), c1=F.cos(r["u"]), s2=F.sin(r["w"]), c2=F.cos(r["w"]), big=r["big"],
+        )
+
+    def first(g: Column) -> Column:
+        names = ("prev", "sin", "cos", "sig", "ca", "m")
+        return F.struct((g["big"] * (1 + f * g["c1"] * g["c2"])).alias("lam"), *[zero.alias(n) for n in names])
+
+    def step(g: Column, lam: Column) -> Column:
+        def trig(t: Column) -> Column:
+            side, rest = g["c2"] * t["sl"], g["c1"] * g["s2"] - g["s1"] * g["c2"] * t["cl"]
+            return _let(azimuth, sl=t["sl"], sin=F.sqrt(side * side + rest * rest), cos=g["s1"] * g["s2"] + g["c1"] * g["c2"] * t["cl"])
+
+        def azimuth(t: Column) -> Column:
+            az = F.coalesce(g["c1"] * g["c2"] * t["sl"] / F.nullif(t["sin"], zero), zero)
+            return _let(midpoint, sin=t["sin"], cos=t["cos"], sig=F.atan2(t["sin"], t["cos"]), az=az)
+
+        def midpoint(t: Column) -> Column:
+            ca = 1 - t["az"] * t["az"]
+            m = F.coalesce(t["cos"] - 2 * g["s1"] * g["s2"] / F.nullif(ca, zero), zero)
+            return _let(longitude, sin=t["sin"], cos=t["cos"], sig=t["sig"], az=t["az"], ca=ca, m=m, c=f / 16 * ca * (4 + f * (4 - 3 * ca)))
+
+        def longitude(t: Column) -> Column:
+            bend = t["sig"] + t["c"] * t["sin"] * (t["m"] + t["c"] * t["cos"] * (2 * t["m"] * t["m"] - 1))
+            return F.struct(
+                (g["big"] + (1 - t["c"]) * f * t["az"] * bend).alias("lam"), lam.alias("prev"), *[t[n].alias(n) for n in ("sin", "cos", "sig", "ca", "m")]
+            )
+
+        return _let(trig, sl=F.sin(lam), cl=F.cos(lam))
+
+    def finish(g: Column, p: Column) -> Column:
+        e = p["end"]
+
+        def arc(t: Column) -> Column:
+            shift = t["b"] * e["sin"] * (e["m"] + t["b"] / 4 * (
+                e["cos"] * (2 * e["m"] * e["m"] - 1) - t["b"] / 6 * e["m"] * (4 * e["sin"] * e["sin"] - 3) * (4 * e["m"] * e["m"] - 3)
+            ))
+            return F.when(F.abs(e["lam"] - e["prev"]) < 1e-9, WGS84_A * b / 1000 * t["a"] * (e["sig"] - shift))
+
+        k = e["ca"] * (1 / (b * b) - 1)
+        return _let(arc, a=1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))), b=k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))))
+
+    lat1, lon1, lat2, lon2 = (F.radians(_col(c)) for c in (lat1, lon1, lat2, lon2))
+    return _let(start, u=F.atan(b * F.tan(lat1)), w=F.atan(b * F.tan(lat2)), big=lon2 - lon1)
+
+
+def is_within_km(lat1, lon1, lat2, lon2, km: float) -> Column:
+    """At most ``km`` apart on the ellipsoid, inclusive.
+
+    The great circle settles all pairs but those in a thin ring around the radius; only these pay
+    for the ellipsoid.
+    """
+    flat = haversine_m(lat1, lon1, lat2, lon2) / 1000
+    return (flat <= km * (1 + SPHERE_SLACK)) & ((flat <= km * (1 - SPHERE_SLACK)) | (geodesic_km(lat1, lon1, lat2, lon2) <= km))
 
 
 def fare(km, rate: float = 1.0) -> Column:

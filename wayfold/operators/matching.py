@@ -54,14 +54,16 @@ def _user_side(users: DataFrame, window: str, keep_window: bool = False) -> Data
 
 
 def candidates(
-    vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, keep_window: bool = False,
+    vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0,
+    keep_window: bool = False, distance: bool = True,
 ) -> DataFrame:
     """Pairs of a vehicle ping and a user ping of the same trip and window within the radius.
 
     The grid cell is part of the join key: a vehicle ping is sent to the few cells around it, a user
     ping to its own, so a busy trip spreads over its cells and distances are taken between
     neighbours only. Each pair is found exactly once because a user ping sits in one cell.
-    ``keep_window`` leaves the whole window as ``franja``, which a stream needs for its watermark.
+    ``keep_window`` leaves the whole window as ``franja``, which a stream needs for its watermark;
+    ``distance`` adds the exact distance of every pair, which matching itself does not need.
     """
     v = _vehicle_side(vehicles, window, keep_window).withColumn(
         "celda", F.explode(geo.cells_around("latitud", "longitud", radius_km))
@@ -70,26 +72,25 @@ def candidates(
     pairs = v.join(u, ["franja", "viaje_id", "celda"]).drop("celda")
     if not keep_window:
         pairs = pairs.select(F.col("franja.start").alias("ventana"), *[c for c in pairs.columns if c != "franja"])
-    return geo.within_km(pairs, "latitud", "longitud", "u_latitud", "u_longitud", radius_km)
+    here = ("latitud", "longitud", "u_latitud", "u_longitud")
+    near = pairs.where(geo.is_within_km(*here, radius_km))
+    return geo.with_geodesic_km(near, *here, "distancia_km") if distance else near
 
 
 def near_route(users: DataFrame, points: DataFrame, radius_km: float = 2.0) -> DataFrame:
     """User pings for which any point of their trip's route lies within the radius.
 
-    The route is reduced to its distinct cells first: most pings are settled by a cell test, and
-    the distance join keeps one row per ping with a key that spreads a long route over its cells.
+    A semi join on trip and grid cell: a ping is settled by its first near point, and the key
+    spreads a long route over its cells. Only distinct points are kept, since vehicles repeat them.
     """
-    u = users.withColumn("celda", F.explode(geo.cells_around("latitud", "longitud", radius_km)))
-    p = points.select(
-        "viaje_id", geo.cell("latitud", "longitud", radius_km).alias("celda"),
+    around = users.withColumn("celda", F.explode(geo.cells_around("latitud", "longitud", radius_km)))
+    route = points.select(
+        F.col("viaje_id").alias("_viaje"), geo.cell("latitud", "longitud", radius_km).alias("_celda"),
         F.col("latitud").alias("_lat"), F.col("longitud").alias("_lon"),
     ).distinct()
-    km = 1000 * (1 - geo.SPHERE_SLACK) * radius_km
-    flat = geo.haversine_m("latitud", "longitud", "_lat", "_lon")
-    sure = u.join(p, (u.viaje_id == p.viaje_id) & (u.celda == p.celda) & (flat <= km), "left_semi").select("event_id").distinct()
-    rest = u.join(sure, "event_id", "left_anti").join(p, ["viaje_id", "celda"])
-    edge = geo.within_km(rest, "latitud", "longitud", "_lat", "_lon", radius_km).select("event_id").distinct()
-    return users.join(sure.unionByName(edge), "event_id", "left_semi")
+    near = (F.col("viaje_id") == F.col("_viaje")) & (F.col("celda") == F.col("_celda")) & geo.is_within_km("latitud", "longitud", "_lat", "_lon", radius_km)
+    hits = around.join(route, near, "left_semi").select("event_id").distinct()
+    return users.join(hits, "event_id", "left_semi")
 
 
 def cogroup(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -> DataFrame:
@@ -207,11 +208,11 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
     if seat_scope not in ("ping", "vehicle"):
         raise ValueError(f"unknown seat_scope {seat_scope!r}")
     if max_fold is None or seat_scope == "vehicle":
-        return _fold(candidates(vehicles, users, window, radius_km), scope, seat_scope)
+        return _fold(candidates(vehicles, users, window, radius_km, distance=False), scope, seat_scope)
     busy = _busy(vehicles, users, window, scope, max_fold)
     largest = busy.agg(F.max("pares")).first()[0]
     if largest is None:
-        return _fold(candidates(vehicles, users, window, radius_km), scope, seat_scope)
+        return _fold(candidates(vehicles, users, window, radius_km, distance=False), scope, seat_scope)
     busy = durable(busy, "busy")
     slices = int(min(max(largest // max_fold + 1, 2), 4096))
     bounds = durable(_slice_bounds(vehicles, busy, window, scope, slices), "bounds")
@@ -219,10 +220,10 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
     when = F.unix_micros(F.col("ts").cast("timestamp"))
     cut = v.join(bounds, scope).withColumn("tramo", F.size(F.filter("cortes", lambda b: b < when))).drop("cortes", "ventana")
     calm = _fold(
-        candidates(v.join(busy, scope, "left_anti").drop("ventana"), u.join(busy, scope, "left_anti").drop("ventana"), window, radius_km),
+        candidates(v.join(busy, scope, "left_anti").drop("ventana"), u.join(busy, scope, "left_anti").drop("ventana"), window, radius_km, distance=False),
         scope, seat_scope,
     )
-    sliced = candidates(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km)
+    sliced = candidates(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km, distance=False)
     return calm.unionByName(_replay_slices(sliced, scope, seat_scope).drop("tramo"))
 
 
@@ -268,7 +269,7 @@ def greedy_match_remembering(
 def single_ping_match(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, rate: float = 1.0) -> DataFrame:
     """``greedy_match`` where each (window, trip) has one vehicle ping: its first ``num_plazas``
     distinct clients by first candidate ping. No Python is involved."""
-    pairs = candidates(vehicles, users, window, radius_km)
+    pairs = candidates(vehicles, users, window, radius_km, distance=False)
     ping = ["ventana", "viaje_id", "v_event"]
     firsts = Window.partitionBy(*ping, "cliente_id").orderBy("u_ts", "u_event")
     seats = Window.partitionBy(*ping).orderBy(*USER_ORDER)

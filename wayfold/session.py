@@ -16,6 +16,9 @@ def local_session(cores: int | str = "*", name: str = "wayfold", **conf: str) ->
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # Small inputs on one machine: keep shuffles spread over the cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

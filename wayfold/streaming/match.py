@@ -23,7 +23,7 @@ def closed_windows(vehicles: DataFrame, users: DataFrame, window: str, radius_km
     records that come later are dropped. The streams are joined on window, trip and grid cell, so
     join state and distance work spread over cells, and only pairs within the radius are gathered.
     """
-    pairs = candidates(vehicles.withWatermark("ts", watermark), users.withWatermark("ts", watermark), window, radius_km, keep_window=True)
+    pairs = candidates(vehicles.withWatermark("ts", watermark), users.withWatermark("ts", watermark), window, radius_km, keep_window=True, distance=False)
     gathered = pairs.groupBy("franja", "viaje_id").agg(F.sort_array(F.collect_list(F.struct(*PAIR))).alias("pares"))
     return gathered.select(F.col("franja.start").alias("ventana"), F.col("franja.end").alias("cierre"), "viaje_id", "pares")
 
