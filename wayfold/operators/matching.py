@@ -271,13 +271,18 @@ def single_ping_match(vehicles: DataFrame, users: DataFrame, window: str = "30 s
     distinct clients by first candidate ping. No Python is involved."""
     pairs = candidates(vehicles, users, window, radius_km, distance=False)
     ping = ["ventana", "viaje_id", "v_event"]
-    firsts = Window.partitionBy(*ping, "cliente_id").orderBy("u_ts", "u_event")
-    seats = Window.partitionBy(*ping).orderBy(*USER_ORDER)
-    matches = (
-        pairs.withColumn("_n", F.row_number().over(firsts)).where("_n = 1").drop("_n")
-        .withColumn("plazas_ocupadas", F.row_number().over(seats).cast("long"))
-        .where("plazas_ocupadas <= num_plazas")
+    keys = [*ping, "cliente_id"]
+    others = [c for c in pairs.columns if c not in keys]
+    # A client's first candidate ping, combined before the shuffle; then the first seats inside
+    # shares of the clients, so that a ping which very many can reach is not ranked by one task.
+    first = pairs.groupBy(*keys).agg(F.min_by(F.struct(*others), F.struct("u_ts", "u_event")).alias("_p")).select(*keys, "_p.*")
+    parts = Window.partitionBy(*ping, "_part").orderBy(*USER_ORDER)
+    best = (
+        first.withColumn("_part", F.pmod(F.xxhash64("cliente_id"), F.lit(64)))
+        .withColumn("_n", F.row_number().over(parts)).where("_n <= num_plazas").drop("_n", "_part")
     )
+    seats = Window.partitionBy(*ping).orderBy(*USER_ORDER)
+    matches = best.withColumn("plazas_ocupadas", F.row_number().over(seats).cast("long")).where("plazas_ocupadas <= num_plazas")
     return _rides(matches, window, rate, None)
 
 

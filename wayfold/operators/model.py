@@ -95,7 +95,9 @@ class TabularPrep(Estimator):
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
         numeric, text, flags = (self.getOrDefault(p) for p in (self.numeric, self.text, self.flags))
         row = dataset.agg(
-            *[F.avg(c).alias(f"m_{c}") for c in numeric], *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric], F.count(F.lit(1)).alias("rows"),
+            *[F.avg(c).alias(f"m_{c}") for c in numeric],
+            # The spread after imputation: filled-in means add rows but no deviation.
+            *[F.sqrt(F.var_pop(c) * F.count(c) / F.count(F.lit(1))).alias(f"s_{c}") for c in numeric],
         ).first()
         common = {r["columna"]: r["valor"] for r in modes(dataset, text + flags).collect()} if text or flags else {}
         parts = []

@@ -26,8 +26,7 @@ def _next_point(points: DataFrame, cross_trip: bool, run: int) -> DataFrame:
         F.lead("_head").over(Window.partitionBy("viaje_id").orderBy("_run")).alias("_ahead"),
     )
     if cross_trip:
-        trips = heads.groupBy("viaje_id").agg(F.min_by("_head", "_run").alias("_first"))
-        following = trips.select("viaje_id", F.lead("_first").over(Window.orderBy("viaje_id")).alias("_trip"))
+        following = _next_trip(heads.groupBy("viaje_id").agg(F.min_by("_head", "_run").alias("_first")))
         ahead = ahead.join(following, "viaje_id").select(
             "viaje_id", "_run", F.coalesce("_ahead", "_trip").alias("_ahead")
         )
@@ -38,6 +37,16 @@ def _next_point(points: DataFrame, cross_trip: bool, run: int) -> DataFrame:
     )
 
 
+def _next_trip(trips: DataFrame, block: int = 1000) -> DataFrame:
+    """First point of the next trip id as ``_trip``: inside blocks of ids in parallel, and over the
+    last trip of each block from one row per block."""
+    t = trips.withColumn("_block", F.floor(F.col("viaje_id") / block))
+    blocks = t.groupBy("_block").agg(F.min_by("_first", "viaje_id").alias("_b"))
+    after = blocks.select("_block", F.lead("_b").over(Window.orderBy("_block")).alias("_after"))
+    inside = F.lead("_first").over(Window.partitionBy("_block").orderBy("viaje_id"))
+    return t.withColumn("_in", inside).join(after, "_block").select("viaje_id", F.coalesce("_in", "_after").alias("_trip"))
+
+
 def with_leg_distance(points: DataFrame, cross_trip: bool = False, run: int = RUN) -> DataFrame:
     """Metres to the next point as ``distancia``; the last point gets 0.
 

@@ -106,13 +106,44 @@ def _(i):
     return prepared(i)[1].select(F.size(vector_to_array("features")).cast("long").alias("columnas")).distinct()
 
 
-@query("transformed_feature_variance")
+ALL_NUMERIC = ["rating", "viaje_id", "latitud_final", "longitud_final", *NUMERIC[1:]]
+ALL_TEXT = ["metodo_pago", "marca_coche", "color_coche", "tipo_combustible", "genero_cliente", "trabajo_cliente"]
+FILLED = "lleno AS (SELECT " + ", ".join(
+    [f"coalesce(CAST({c} AS DOUBLE), (SELECT avg({c}) FROM train)) AS {c}" for c in ALL_NUMERIC]
+    + [f"coalesce({c}, {MODE.format(c=c)}) AS {c}" for c in [*ALL_TEXT, "tiene_calefaccion"]]
+) + " FROM train)"
+SLOTS = " UNION ALL ".join(
+    [f"SELECT 'num_{c}' AS variable, var_samp({c}) / var_pop({c}) AS varianza FROM lleno" for c in ALL_NUMERIC]
+    + [f"SELECT 'hot_{c}_' || {c} AS variable, (n * 1e0 / t) * (1 - n * 1e0 / t) * t / (t - 1) AS varianza FROM (SELECT {c}, count(*) AS n, (SELECT count(*) FROM lleno) AS t FROM lleno GROUP BY {c})" for c in ALL_TEXT]
+    + ["SELECT 'bool_tiene_calefaccion' AS variable, var_samp(CAST(tiene_calefaccion AS INT)) AS varianza FROM lleno"]
+)
+
+
+@query("transformed_feature_variance", "enriched", f"SELECT variable, round(varianza, 6) AS varianza FROM ({SLOTS})", more=f"{TRAIN},\n{FILLED}")
 def _(i):
     return rounded(H.vector_variance(prepared(i)[1]), "varianza")
 
 
+@query("transformed_feature_names", "enriched", f"SELECT variable FROM ({SLOTS})", more=f"{TRAIN},\n{FILLED}")
+def _(i):
+    names = H.feature_names(prepared(i)[1])
+    return i.spark.createDataFrame([(n,) for n in names], "variable string")
+
+
 @query("fare_predictions")
 def _(i):
+    """Train on the training rows, predict the test rows."""
     train, test = split(i.enriched, KEY)
-    fitted = H.build_pipeline(H.features(train.drop(*KEY)).schema, maxIter=5, maxDepth=3).fit(H.features(train.drop(*KEY)))
+    rows = H.features(train.drop(*KEY))
+    fitted = H.build_pipeline(rows.schema, maxIter=5, maxDepth=3).fit(rows)
     return H.score(fitted, test).select(*KEY, "pago_viaje", "pago_previsto")
+
+
+@query("fare_grid_search")
+def _(i):
+    """Cross-validated error of each setting of a small grid."""
+    train, _ = split(i.enriched, KEY)
+    grid = {"maxIter": [2, 4], "maxDepth": [2]}
+    found = H.grid_search(H.features(train.drop(*KEY)), grid, folds=2, parallelism=2)
+    settings = [(int(m[p]), float(e)) for m, e in zip(found.getEstimatorParamMaps(), found.avgMetrics) for p in m if p.name == "maxIter"]
+    return i.spark.createDataFrame(settings, "max_iter long, mse double")
