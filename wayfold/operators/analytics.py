@@ -4,21 +4,26 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfold.schemas import CLIENT_ATTRIBUTES, VEHICLE_ATTRIBUTES
+from wayfold.session import durable
 
 
-def enrich(rides: DataFrame, vehicles: DataFrame, clients: DataFrame) -> DataFrame:
+def enrich(rides: DataFrame, vehicles: DataFrame | None = None, clients: DataFrame | None = None) -> DataFrame:
     """Every ride with the attributes of its vehicle and client, NULL where the key is unknown.
 
-    No broadcast hint: the planner broadcasts a dimension whose size it knows to be small and
-    shuffles otherwise; adaptive execution splits a client or vehicle that holds very many rides.
+    Leave out the table a report does not need: the planner cannot know that a key is unique, so it
+    would keep the join and shuffle the rides for nothing. No broadcast hint: a dimension known to be
+    small is broadcast, a large one shuffled, and adaptive execution splits a client or vehicle that
+    holds very many rides.
     """
-    return rides.join(vehicles.select("vehiculo_id", *VEHICLE_ATTRIBUTES), "vehiculo_id", "left").join(
-        clients.select("cliente_id", *CLIENT_ATTRIBUTES), "cliente_id", "left"
-    )
+    if vehicles is not None:
+        rides = rides.join(vehicles.select("vehiculo_id", *VEHICLE_ATTRIBUTES), "vehiculo_id", "left")
+    if clients is not None:
+        rides = rides.join(clients.select("cliente_id", *CLIENT_ATTRIBUTES), "cliente_id", "left")
+    return rides
 
 
 # One-number indicators.
@@ -53,36 +58,40 @@ def mean_of_means(df: DataFrame, key: str, col: str, out: str) -> DataFrame:
 
 
 def kpis(enriched: DataFrame) -> DataFrame:
-    """All indicators in one row.
+    """All indicators in one row and one pass over the rides.
 
-    Rides collapse once to (vehicle, trip, driver) subtotals, from which every figure but the number
-    of clients follows; that avoids one copy of each ride per distinct count.
+    Grouping sets reduce the rides to (vehicle, trip, driver) subtotals and to clients before the
+    shuffle. The few rows left are regrouped by trip and by driver, and then added up.
     """
-    base = enriched.groupBy("vehiculo_id", "viaje_id", "nombre_conductor").agg(
-        F.sum("pago_viaje").alias("p"),
-        *[f(c).alias(f"{n}_{c}") for c in ("rating", "edad_cliente", "anio_registro_app") for n, f in (("s", F.sum), ("n", F.count))],
-    )
-    drivers = (
-        base.where(F.col("nombre_conductor").isNotNull()).groupBy("nombre_conductor")
-        .agg((F.sum("s_rating") / F.nullif(F.sum("n_rating"), F.lit(0))).alias("m"))
-        .agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("m").alias("m")).alias("d")).scalar()
+    means = ("rating", "edad_cliente", "anio_registro_app")
+    ride, client = ["vehiculo_id", "viaje_id", "nombre_conductor"], ["cliente_id"]
+    base = enriched.groupingSets([ride, client], *ride, *client).agg(
+        F.grouping("cliente_id").alias("g"), F.sum("pago_viaje").alias("p"),
+        *[f(c).alias(f"{n}_{c}") for c in means for n, f in (("s", F.sum), ("n", F.count))],
     )
-    clients = enriched.agg(F.count_distinct("cliente_id").alias("n")).scalar()
+    measures = ["p", *[f"{n}_{c}" for c in means for n in "sn"]]
 
-    def ratio(c: str) -> Column:
-        return F.sum(f"s_{c}") / F.nullif(F.sum(f"n_{c}"), F.lit(0))
+    def part(kind: str, k1: Column, k2: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), k1.cast("string").alias("k1"), k2.cast("string").alias("k2"), *measures)
 
-    trips = F.count(F.when(F.col("vehiculo_id").isNotNull() & F.col("viaje_id").isNotNull(), 1))
-    distinct_trips = base.groupBy("vehiculo_id", "viaje_id").agg(
-        F.sum("p").alias("p"), *[F.sum(c).alias(c) for c in base.columns if c[:2] in ("s_", "n_")]
-    )
-    revenue = F.coalesce(F.sum("p"), F.lit(0.0))
-    return distinct_trips.agg(
-        revenue.alias("recaudacion_total"), trips.alias("total_viajes"),
-        (revenue / F.nullif(trips, F.lit(0))).alias("recaudacion_por_viaje"),
-        ratio("edad_cliente").alias("edad_media"), ratio("anio_registro_app").alias("anio_registro_medio"),
-    ).select(
-        "*", drivers["n"].alias("conductores_activos"), clients.alias("clientes_unicos"), drivers["m"].alias("rating_medio"),
+    none, col = F.lit(None), F.col
+    by_ride = F.array(part("total", none, none), part("trip", col("vehiculo_id"), col("viaje_id")), part("driver", col("nombre_conductor"), none))
+    by_client = F.array(part("client", F.pmod(F.xxhash64("cliente_id"), F.lit(64)), none))
+    keyed = base.where((col("g") == 1) | col("cliente_id").isNotNull()).select(F.explode(F.when(col("g") == 1, by_ride).otherwise(by_client)).alias("x")).select("x.*")
+    few = keyed.groupBy("kind", "k1", "k2").agg(F.count(F.lit(1)).alias("rows"), *[F.sum(m).alias(m) for m in measures])
+
+    total, driver = col("kind") == "total", (col("kind") == "driver") & col("k1").isNotNull()
+    revenue = F.coalesce(F.sum(F.when(total, col("p"))), F.lit(0.0))
+    trips = F.count(F.when((col("kind") == "trip") & col("k1").isNotNull() & col("k2").isNotNull(), 1))
+
+    def mean_of(c: str) -> Column:
+        return F.sum(F.when(total, col(f"s_{c}"))) / F.nullif(F.sum(F.when(total, col(f"n_{c}"))), F.lit(0))
+
+    return few.agg(
+        revenue.alias("recaudacion_total"), trips.alias("total_viajes"), (revenue / F.nullif(trips, F.lit(0))).alias("recaudacion_por_viaje"),
+        F.count(F.when(driver, 1)).alias("conductores_activos"), F.coalesce(F.sum(F.when(col("kind") == "client", col("rows"))), F.lit(0)).alias("clientes_unicos"),
+        F.avg(F.when(driver, col("s_rating") / F.nullif(col("n_rating"), F.lit(0)))).alias("rating_medio"),
+        mean_of("edad_cliente").alias("edad_media"), mean_of("anio_registro_app").alias("anio_registro_medio"),
     )
 
 
@@ -110,8 +119,9 @@ def counts(df: DataFrame, key: str, out: str = "num_viajes", n: int | None = Non
 
 
 def shares(df: DataFrame, key: str) -> DataFrame:
-    """Count and percentage per key; the base is every row, also those without a key."""
-    per = df.groupBy(key).agg(F.count(F.lit(1)).alias("cantidad"))
+    """Count and percentage per key; the base is every row, also those without a key. The counts are
+    stored, so that the total does not read the rides a second time."""
+    per = durable(df.groupBy(key).agg(F.count(F.lit(1)).alias("cantidad")), "shares")
     total = per.agg(F.sum("cantidad").alias("n")).scalar()
     return _keyed(per, key).select(key, "cantidad", (F.col("cantidad") * 100.0 / total).alias("porcentaje"))
 
@@ -124,26 +134,27 @@ def of_top(df: DataFrame, key: str, n: int = 14) -> DataFrame:
 def box_stats(df: DataFrame, key: str, value: str, n: int = 14) -> DataFrame:
     """Five-number summary, whiskers and outliers per key, for the n most frequent keys.
 
-    Rows collapse to (key, value) counts first, so every later step works on distinct values.
+    One pass: rows collapse to (key, value) counts before the shuffle, and everything else works on
+    the distinct values of a key.
     """
-    tally = _keyed(df, key).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    top = tally.groupBy(key).agg(F.sum("_n").alias("_rows")).orderBy(F.desc("_rows"), key).limit(n).select(key)
-    seen = tally.where(F.col(value).isNotNull()).join(F.broadcast(top), key, "left_semi")
-    quartiles = seen.groupBy(key).agg(
-        F.percentile(value, [0.25, 0.5, 0.75], F.col("_n")).alias("_q"),
-        F.min(value).alias("minimo"), F.max(value).alias("maximo"), F.sum("_n").alias("n"),
-    ).select(key, "n", "minimo", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("mediana"), F.col("_q")[2].alias("q3"), "maximo")
-    reach = 1.5 * (F.col("q3") - F.col("q1"))
-    low, high = F.col("q1") - reach, F.col("q3") + reach
-    inside = (F.col(value) >= low) & (F.col(value) <= high)
+    whole = Window.partitionBy(key)
+    seen = (
+        _keyed(df, key).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_rows", F.sum("_n").over(whole))
+        .withColumn("_q", F.percentile(value, [0.25, 0.5, 0.75], F.col("_n")).over(whole))
+        .select("*", *[F.col("_q")[i].alias(name) for i, name in enumerate(("q1", "mediana", "q3"))])
+    )
+    known, reach = F.col(value).isNotNull(), 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
     return (
-        seen.join(F.broadcast(quartiles), key)
-        .groupBy(key, "n", "minimo", "q1", "mediana", "q3", "maximo")
+        seen.groupBy(key, "_rows", "q1", "mediana", "q3")
         .agg(
-            F.min(F.when(inside, F.col(value))).alias("bigote_inferior"),
-            F.max(F.when(inside, F.col(value))).alias("bigote_superior"),
+            F.sum(F.when(known, F.col("_n"))).alias("n"), F.min(value).alias("minimo"), F.max(value).alias("maximo"),
+            F.min(F.when(inside, F.col(value))).alias("bigote_inferior"), F.max(F.when(inside, F.col(value))).alias("bigote_superior"),
             F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("atipicos"),
         )
+        .orderBy(F.desc("_rows"), key).limit(n)
+        .select(key, "n", "minimo", "q1", "mediana", "q3", "maximo", "bigote_inferior", "bigote_superior", "atipicos")
     )
 
 
@@ -152,7 +163,7 @@ def driver_profile(enriched: DataFrame) -> DataFrame:
     all drivers; a measure that does not vary is NULL. The radar shows the smallest name."""
     cols = ["rating", "kilometraje", "edad_cliente", "puntos_carnet"]
     per = _keyed(enriched, "nombre_conductor").groupBy("nombre_conductor").agg(*[F.avg(c).alias(c) for c in cols])
-    return min_max(per, cols)
+    return min_max(durable(per, "profile"), cols)
 
 
 def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -181,9 +192,9 @@ def density_curve(df: DataFrame, col: str, grid: int = 100) -> DataFrame:
     Scott's bandwidth.
 
     Each distinct value, weighted by its count, adds to every grid point, so the cost is distinct
-    values x grid whatever the number of rides.
+    values x grid whatever the number of rides. The counts are stored and read for both steps.
     """
-    t = tally(df, col)
+    t = durable(tally(df, col), "tally")
     s = F.sum("n")
     first, second = F.sum(F.col("x") * F.col("n")), F.sum(F.col("x") * F.col("x") * F.col("n"))
     sd = F.sqrt((second - first * first / s) / (s - 1))
@@ -208,12 +219,17 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: f
     """Counts in ``bins`` equal bins of [lo, hi]; the top edge belongs to the last bin.
 
     Bounds left out are the data's own. ``density`` divides by rows x bin width. Values are counted
-    before they are binned, so the bounds come from the small tally and not from a second scan.
+    before they are binned; where bounds or the number of rows are needed first, the counts are
+    stored, so the rides are read once in any case.
     """
     t = tally(df, col)
-    ends = t.agg(F.struct(
-        (F.min("x") if lo is None else F.lit(float(lo))).alias("lo"), (F.max("x") if hi is None else F.lit(float(hi))).alias("hi"), F.sum("n").alias("n"),
-    ).alias("e")).scalar()
+    if lo is None or hi is None or density:
+        t = durable(t, "tally")
+        ends = t.agg(F.struct(
+            (F.min("x") if lo is None else F.lit(float(lo))).alias("lo"), (F.max("x") if hi is None else F.lit(float(hi))).alias("hi"), F.sum("n").alias("n"),
+        ).alias("e")).scalar()
+    else:
+        ends = F.struct(F.lit(float(lo)).alias("lo"), F.lit(float(hi)).alias("hi"), F.lit(0).alias("n"))
     t = t.withColumn("_e", ends).where((F.col("x") >= F.col("_e.lo")) & (F.col("x") <= F.col("_e.hi")))
     width = (F.col("_e.hi") - F.col("_e.lo")) / bins
     index = F.least(F.coalesce(F.floor((F.col("x") - F.col("_e.lo")) / F.nullif(width, F.lit(0.0))), F.lit(0)), F.lit(bins - 1))

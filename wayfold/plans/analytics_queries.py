@@ -72,7 +72,7 @@ def _(i):
 
 @query("active_drivers", "enriched", "SELECT count(DISTINCT nombre_conductor) AS conductores_activos FROM enriched")
 def _(i):
-    return A.distinct_count(i.enriched, "nombre_conductor", "conductores_activos")
+    return A.distinct_count(i.rides_by_vehicle, "nombre_conductor", "conductores_activos")
 
 
 @query("distinct_clients", "rides", "SELECT count(DISTINCT cliente_id) AS clientes_unicos FROM rides")
@@ -85,17 +85,17 @@ def _(i):
     "SELECT round(avg(m), 6) AS rating_medio FROM (SELECT avg(rating) AS m FROM enriched WHERE nombre_conductor IS NOT NULL GROUP BY nombre_conductor)",
 )
 def _(i):
-    return rounded(A.mean_of_means(i.enriched, "nombre_conductor", "rating", "rating_medio"), "rating_medio")
+    return rounded(A.mean_of_means(i.rides_by_vehicle, "nombre_conductor", "rating", "rating_medio"), "rating_medio")
 
 
 @query("mean_client_age", "enriched", "SELECT round(avg(edad_cliente), 6) AS edad_media FROM enriched")
 def _(i):
-    return rounded(A.mean(i.enriched, "edad_cliente", "edad_media"), "edad_media")
+    return rounded(A.mean(i.rides_by_client, "edad_cliente", "edad_media"), "edad_media")
 
 
 @query("mean_registration_year", "enriched", "SELECT round(avg(anio_registro_app), 6) AS anio_registro_medio FROM enriched")
 def _(i):
-    return rounded(A.mean(i.enriched, "anio_registro_app", "anio_registro_medio"), "anio_registro_medio")
+    return rounded(A.mean(i.rides_by_vehicle, "anio_registro_app", "anio_registro_medio"), "anio_registro_medio")
 
 
 KPI_SQL = """SELECT sum(pago_viaje) AS recaudacion_total, count(DISTINCT (vehiculo_id, viaje_id)) AS total_viajes,
@@ -134,17 +134,17 @@ def revenue_sql(key: str, tail: str = "") -> str:
 
 @query("top_revenue_by_driver", "enriched", revenue_sql("nombre_conductor", "LIMIT 14"))
 def _(i):
-    return rounded(A.top_revenue(i.enriched, "nombre_conductor"), "recaudacion")
+    return rounded(A.top_revenue(i.rides_by_vehicle, "nombre_conductor"), "recaudacion")
 
 
 @query("top_revenue_by_brand", "enriched", revenue_sql("marca_coche", "LIMIT 14"))
 def _(i):
-    return rounded(A.top_revenue(i.enriched, "marca_coche"), "recaudacion")
+    return rounded(A.top_revenue(i.rides_by_vehicle, "marca_coche"), "recaudacion")
 
 
 @query("revenue_by_model_year", "enriched", revenue_sql("anio_fabricacion"))
 def _(i):
-    return rounded(A.revenue_by(i.enriched, "anio_fabricacion"), "recaudacion")
+    return rounded(A.revenue_by(i.rides_by_vehicle, "anio_fabricacion"), "recaudacion")
 
 
 def counts_sql(view: str, key: str, tail: str = "") -> str:
@@ -163,12 +163,12 @@ def _(i):
 
 @query("top_colours", "enriched", counts_sql("enriched", "color_coche", "LIMIT 14"))
 def _(i):
-    return A.counts(i.enriched, "color_coche", n=14)
+    return A.counts(i.rides_by_vehicle, "color_coche", n=14)
 
 
 @query("rides_per_fuel", "enriched", counts_sql("enriched", "tipo_combustible"))
 def _(i):
-    return A.counts(i.enriched, "tipo_combustible")
+    return A.counts(i.rides_by_vehicle, "tipo_combustible")
 
 
 @query(
@@ -176,7 +176,7 @@ def _(i):
     f"SELECT color_coche, rating, pedido, linea FROM enriched WHERE color_coche IN (SELECT color_coche FROM ({counts_sql('enriched', 'color_coche', 'LIMIT 14')}))",
 )
 def _(i):
-    return A.of_top(i.enriched.select("color_coche", "rating", "pedido", "linea"), "color_coche")
+    return A.of_top(i.rides_by_vehicle.select("color_coche", "rating", "pedido", "linea"), "color_coche")
 
 
 @query(
@@ -191,7 +191,7 @@ def _(i):
  quart AS (SELECT color_coche, quantile_cont(rating, 0.25) AS q1, quantile_cont(rating, 0.5) AS mediana, quantile_cont(rating, 0.75) AS q3 FROM chosen GROUP BY color_coche)""",
 )
 def _(i):
-    return A.box_stats(i.enriched, "color_coche", "rating")
+    return A.box_stats(i.rides_by_vehicle, "color_coche", "rating")
 
 
 PROFILE_COLUMNS = ["rating", "kilometraje", "edad_cliente", "puntos_carnet"]
@@ -217,7 +217,7 @@ def _(i):
  CAST(max(x) AS DOUBLE) AS maximo, round(avg(x), 6) AS media FROM (SELECT CAST(cilindraje_motor AS DOUBLE) AS x FROM enriched)""",
 )
 def _(i):
-    return rounded(A.distribution(i.enriched, "cilindraje_motor"), "media")
+    return rounded(A.distribution(i.rides_by_vehicle, "cilindraje_motor"), "media")
 
 
 @query(
@@ -228,7 +228,7 @@ def _(i):
  s AS (SELECT count(cilindraje_motor) AS n, CAST(min(cilindraje_motor) AS DOUBLE) AS lo, CAST(max(cilindraje_motor) AS DOUBLE) AS hi, stddev_samp(cilindraje_motor) * power(count(cilindraje_motor), -0.2) AS h FROM enriched)""",
 )
 def _(i):
-    return rounded(rounded(A.density_curve(i.enriched, "cilindraje_motor"), "x"), "densidad", digits=9)
+    return rounded(rounded(A.density_curve(i.rides_by_vehicle, "cilindraje_motor"), "x"), "densidad", digits=9)
 
 
 def density_sql(lat: str, lon: str) -> str:
@@ -272,7 +272,7 @@ def _(i):
     "SELECT nombre_conductor, count(*) AS cantidad, round(count(*) * 100.0e0 / (SELECT count(*) FROM rides), 6) AS porcentaje FROM enriched WHERE nombre_conductor IS NOT NULL GROUP BY nombre_conductor",
 )
 def _(i):
-    return rounded(A.shares(i.enriched, "nombre_conductor"), "porcentaje")
+    return rounded(A.shares(i.rides_by_vehicle, "nombre_conductor"), "porcentaje")
 
 
 def histogram_sql(source: str, bins: int, lo: str, hi: str, density: str = "") -> str:
@@ -294,7 +294,7 @@ def _(i):
     histogram_sql("SELECT CAST(puntos_carnet AS DOUBLE) AS x FROM enriched", 14, "min(x) OVER ()", "max(x) OVER ()", ", round(count(*) / (total * w), 6) AS densidad"),
 )
 def _(i):
-    return rounded(A.histogram(i.enriched, "puntos_carnet", 14, density=True), "desde", "hasta", "densidad")
+    return rounded(A.histogram(i.rides_by_vehicle, "puntos_carnet", 14, density=True), "desde", "hasta", "densidad")
 
 
 @query(
@@ -302,7 +302,7 @@ def _(i):
     histogram_sql("SELECT CAST(edad_cliente AS DOUBLE) AS x FROM enriched", 20, "min(x) OVER ()", "max(x) OVER ()"),
 )
 def _(i):
-    return rounded(A.histogram(i.enriched, "edad_cliente", 20), "desde", "hasta")
+    return rounded(A.histogram(i.rides_by_client, "edad_cliente", 20), "desde", "hasta")
 
 
 @query(
@@ -310,7 +310,7 @@ def _(i):
     "SELECT round(avg(puntos_carnet), 6) AS mu, round(stddev_samp(puntos_carnet), 6) AS sigma FROM enriched",
 )
 def _(i):
-    return rounded(i.enriched.agg(F.avg("puntos_carnet").alias("mu"), F.stddev_samp("puntos_carnet").alias("sigma")), "mu", "sigma")
+    return rounded(i.rides_by_vehicle.agg(F.avg("puntos_carnet").alias("mu"), F.stddev_samp("puntos_carnet").alias("sigma")), "mu", "sigma")
 
 
 @query(
@@ -320,7 +320,7 @@ def _(i):
  (SELECT avg(puntos_carnet) AS mu, stddev_samp(puntos_carnet) AS sigma FROM enriched))""",
 )
 def _(i):
-    return rounded(A.gaussian_curve(i.enriched, "puntos_carnet"), "x", "densidad")
+    return rounded(A.gaussian_curve(i.rides_by_vehicle, "puntos_carnet"), "x", "densidad")
 
 
 @query(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wayfold.operators.analytics import enrich
 from wayfold.plans import proxy
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,9 +23,11 @@ class Inputs:
         if name in proxy.VIEWS:
             df = proxy.view(self.spark, self.sf_dir, name)
         elif name == "enriched":
-            from wayfold.operators.analytics import enrich
-
             df = enrich(self.rides, self.vehicles, self.clients)
+        elif name == "rides_by_vehicle":
+            df = enrich(self.rides, vehicles=self.vehicles)
+        elif name == "rides_by_client":
+            df = enrich(self.rides, clients=self.clients)
         elif name.startswith("_"):
             raise AttributeError(name)
         else:
