@@ -170,38 +170,58 @@ def _slice_bounds(vehicles: DataFrame, busy: DataFrame, window: str, scope: list
     )
 
 
+def _first_use(matches: DataFrame, scope: list[str]) -> DataFrame:
+    """Slice in which each client was first matched and each vehicle first filled."""
+    clients = matches.select(*scope, "tramo", F.lit("c").alias("kind"), F.col("cliente_id").alias("id"))
+    vehicles = matches.where("plazas_ocupadas >= num_plazas").select(*scope, "tramo", F.lit("v").alias("kind"), F.col("vehiculo_id").alias("id"))
+    return clients.unionByName(vehicles).groupBy(*scope, "kind", "id").agg(F.min("tramo").alias("uso"))
+
+
+def _of_kind(used: DataFrame, kind: str, key: str) -> DataFrame:
+    return used.where(F.col("kind") == kind).drop("kind").withColumnRenamed("id", key)
+
+
+KINDS = (("c", "cliente_id"), ("v", "vehiculo_id"))
+
+
 def _replay_slices(pairs: DataFrame, scope: list[str], seat_scope: str) -> DataFrame:
-    """Exact assignment for memories that are cut into slices, all slices in parallel.
+    """Exact assignment for memories that are cut into slices, slices in parallel.
 
     A slice needs to know which clients were matched and which vehicles were filled in earlier
-    slices. Each round folds every slice on its own under the last round's answer to that question
-    and derives a new answer. Slice k is right from round k on, because by then all before it are;
-    once a round changes nothing, every slice is right. Rounds therefore end, at the latest after
-    as many rounds as there are slices, and usually after a few, since most clients are first
-    matched in the slice where they appear. All rounds read the same stored pairs.
+    slices. First every slice is folded as if nothing had been used. Each round then looks up who was
+    used where, and folds again only the slices for which that changes who is still free. Slice k is
+    right from round k on, because by then all before it are, so the rounds end; and when no slice
+    is affected any more, every slice has been folded under true premises. Usually a few rounds do,
+    since most clients are first matched in the slice where they appear.
     """
+    unit = [*scope, "tramo"]
     pairs = durable(pairs, "pairs")
-    known = None
-    for _ in range(pairs.agg(F.max("tramo")).first()[0] + 2 if not pairs.isEmpty() else 0):
-        open_pairs = pairs
-        if known is not None:
-            for kind, key in (("c", "cliente_id"), ("v", "vehiculo_id")):
-                earlier = known.where(F.col("kind") == kind).select(*scope, F.col("id").alias(key), F.col("tramo").alias("_at"))
-                open_pairs = open_pairs.join(earlier, [*scope, key], "left").where(
-                    F.col("_at").isNull() | (F.col("_at") >= F.col("tramo"))
-                ).drop("_at")
-        matches = durable(_fold(open_pairs.select(*pairs.columns), [*scope, "tramo"], seat_scope), "matches")
-        used = matches.select(*scope, "tramo", F.lit("c").alias("kind"), F.col("cliente_id").alias("id")).unionByName(
-            matches.where("plazas_ocupadas >= num_plazas").select(*scope, "tramo", F.lit("v").alias("kind"), F.col("vehiculo_id").alias("id"))
+    matches = durable(_fold(pairs, unit, seat_scope), "matches")
+    used = durable(_first_use(matches, scope), "used")
+    changed = used.select(*scope, "kind", "id", F.col("uso").alias("desde"), F.lit(None).cast("int").alias("hasta"))
+    while True:
+        touched = [
+            pairs.select(*unit, key).join(_of_kind(changed, kind, key), [*scope, key])
+            .where((F.col("tramo") > F.col("desde")) & (F.col("hasta").isNull() | (F.col("tramo") <= F.col("hasta")))).select(*unit)
+            for kind, key in KINDS
+        ]
+        affected = durable(touched[0].unionByName(touched[1]).distinct(), "affected")
+        if affected.isEmpty():
+            return matches
+        free = pairs.join(affected, unit, "left_semi")
+        for kind, key in KINDS:
+            free = free.join(_of_kind(used, kind, key), [*scope, key], "left").where(
+                F.col("uso").isNull() | (F.col("uso") >= F.col("tramo"))
+            ).drop("uso")
+        again = _fold(free.select(*pairs.columns), unit, seat_scope)
+        matches = durable(matches.join(affected, unit, "left_anti").select(*again.columns).unionByName(again), "matches")
+        fresh = durable(_first_use(matches, scope), "used")
+        both = fresh.join(used.withColumnRenamed("uso", "antes"), [*scope, "kind", "id"], "full")
+        changed = both.where(~F.col("uso").eqNullSafe(F.col("antes"))).select(
+            *scope, "kind", "id", F.least("uso", "antes").alias("desde"),
+            F.when(F.col("uso").isNotNull() & F.col("antes").isNotNull(), F.greatest("uso", "antes")).alias("hasta"),
         )
-        fresh = durable(used.groupBy(*scope, "kind", "id").agg(F.min("tramo").alias("tramo")), "used")
-        if known is not None:
-            keys = [*scope, "kind", "id", "tramo"]
-            changed = fresh.join(known, keys, "left_anti").unionByName(known.join(fresh, keys, "left_anti"))
-            if changed.isEmpty():
-                return matches
-        known = fresh
-    return _fold(pairs, [*scope, "tramo"], seat_scope) if known is None else matches
+        used = fresh
 
 
 def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float, scope: list[str], seat_scope: str, max_fold: int | None) -> DataFrame:
