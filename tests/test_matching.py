@@ -135,3 +135,10 @@ def test_near_route(spark):
     expected = {u[0] for u in us if any(p[0] == u[2] and km(u[4], u[5], p[2], p[3]) <= 1.0 for p in points)}
     assert {r.event_id for r in found.collect()} == expected and expected
     assert found.columns and found.count() == len(expected)
+
+
+def test_spread_cells_give_the_same_pairs(spark):
+    vs, us = data(8)
+    v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+    plain, spread = (M.candidates(v, u, "60 seconds", 2.0, spread=n).select("v_event", "u_event", "distancia_km") for n in (1, 5))
+    assert plain.count() == spread.count() > 0 and plain.exceptAll(spread).isEmpty()

@@ -49,3 +49,9 @@ def test_polyline_pieces_join_up(spark, small):
     for a, b in zip(pieces, pieces[1:]):
         if a.viaje_id == b.viaje_id:
             assert a.linea[-1] == b.linea[0]
+
+
+def test_destination_over_cut_trips(spark, small):
+    points = proxy.view(spark, small, "route_points")
+    whole, cut = R.with_destination(points, 10**9), R.with_destination(points, 7)
+    assert whole.exceptAll(cut).isEmpty() and whole.count() == cut.count() == points.count()

@@ -27,6 +27,9 @@ USER_ORDER = ["u_ts", "cliente_id", "u_event"]
 # Above this many vehicle x user pings, the pings of one memory are folded in several tasks.
 MAX_FOLD = 20_000_000
 
+# Shares into which the user pings of a cell are split where a memory is that busy.
+BUSY_SPREAD = 16
+
 
 def windowed(pings: DataFrame, window: str) -> DataFrame:
     """Add the start of the epoch-aligned tumbling window as ``ventana``."""
@@ -55,7 +58,7 @@ def _user_side(users: DataFrame, window: str, keep_window: bool = False) -> Data
 
 def candidates(
     vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0,
-    keep_window: bool = False, distance: bool = True,
+    keep_window: bool = False, distance: bool = True, spread: int = 1,
 ) -> DataFrame:
     """Pairs of a vehicle ping and a user ping of the same trip and window within the radius.
 
@@ -64,12 +67,19 @@ def candidates(
     neighbours only. Each pair is found exactly once because a user ping sits in one cell.
     ``keep_window`` leaves the whole window as ``franja``, which a stream needs for its watermark;
     ``distance`` adds the exact distance of every pair, which matching itself does not need.
+    ``spread`` splits the user pings of every cell into that many shares and sends the vehicle pings
+    to each, for cells that hold too many pings for one task.
     """
     v = _vehicle_side(vehicles, window, keep_window).withColumn(
         "celda", F.explode(geo.cells_around("latitud", "longitud", radius_km))
     )
     u = _user_side(users, window, keep_window).withColumn("celda", geo.cell("u_latitud", "u_longitud", radius_km))
-    pairs = v.join(u, ["franja", "viaje_id", "celda"]).drop("celda")
+    keys = ["franja", "viaje_id", "celda"]
+    if spread > 1:
+        v = v.withColumn("parte", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+        u = u.withColumn("parte", F.pmod(F.xxhash64("u_event", "cliente_id"), F.lit(spread)))
+        keys.append("parte")
+    pairs = v.join(u, keys).drop("celda", "parte")
     if not keep_window:
         pairs = pairs.select(F.col("franja.start").alias("ventana"), *[c for c in pairs.columns if c != "franja"])
     here = ("latitud", "longitud", "u_latitud", "u_longitud")
@@ -89,8 +99,7 @@ def near_route(users: DataFrame, points: DataFrame, radius_km: float = 2.0) -> D
         F.col("latitud").alias("_lat"), F.col("longitud").alias("_lon"),
     ).distinct()
     near = (F.col("viaje_id") == F.col("_viaje")) & (F.col("celda") == F.col("_celda")) & geo.is_within_km("latitud", "longitud", "_lat", "_lon", radius_km)
-    hits = around.join(route, near, "left_semi").select("event_id").distinct()
-    return users.join(hits, "event_id", "left_semi")
+    return around.join(route, near, "left_semi").select(*users.columns).dropDuplicates(["event_id"])
 
 
 def cogroup(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -> DataFrame:
@@ -243,7 +252,7 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
         candidates(v.join(busy, scope, "left_anti").drop("ventana"), u.join(busy, scope, "left_anti").drop("ventana"), window, radius_km, distance=False),
         scope, seat_scope,
     )
-    sliced = candidates(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km, distance=False)
+    sliced = candidates(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km, distance=False, spread=BUSY_SPREAD)
     return calm.unionByName(_replay_slices(sliced, scope, seat_scope).drop("tramo"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayfold.functions import draws as D
-from wayfold.operators.routes import endpoints
+from wayfold.operators.routes import endpoints, join_trips
 from wayfold.operators.sampling import rank_by_hash
 from wayfold.operators.synth import PAYMENT_WEIGHTS, PAYMENTS
 
@@ -26,9 +26,8 @@ def replay_routes(points: DataFrame, runs: DataFrame, cadence_s: int = 7) -> Dat
 
     The destination is joined to the runs, which are few, and the result to the points once.
     """
-    ends = endpoints(points).select("viaje_id", "latitud_final", "longitud_final")
-    planned = runs.join(ends, "viaje_id")
-    moved = points.select("viaje_id", "punto_ruta", "latitud", "longitud").join(planned, "viaje_id")
+    ends = endpoints(points).select("viaje_id", "latitud_final", "longitud_final", "ultimo_punto")
+    moved = join_trips(points.select("viaje_id", "punto_ruta", "latitud", "longitud"), runs.join(ends, "viaje_id"))
     return moved.select(
         "run_id", "viaje_id", "vehiculo_id", "punto_ruta", "latitud", "longitud", "num_plazas", "latitud_final", "longitud_final",
         F.timestamp_micros(F.unix_micros(F.col("start_ts").cast("timestamp")) + (F.col("punto_ruta") - 1) * cadence_s * 1000000).alias("ts"),

@@ -95,10 +95,20 @@ def polyline(points: DataFrame, piece: int = 1000) -> DataFrame:
     )
 
 
-def with_destination(points: DataFrame) -> DataFrame:
+def join_trips(points: DataFrame, per_trip: DataFrame, run: int = RUN) -> DataFrame:
+    """Join rows that have a trip's ``ultimo_punto`` to all its points.
+
+    The key is (trip, run of points), with one copy of the trip's row per run, so the points of a
+    very long trip do not meet in one task.
+    """
+    runs = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("ultimo_punto") - 1) / run)))
+    left = points.withColumn("_run", F.floor((F.col("punto_ruta") - 1) / run))
+    return left.join(per_trip.withColumn("_run", runs).drop("ultimo_punto"), ["viaje_id", "_run"]).drop("_run")
+
+
+def with_destination(points: DataFrame, run: int = RUN) -> DataFrame:
     """Every point with the last point of its trip as destination."""
-    ends = endpoints(points).select("viaje_id", "latitud_final", "longitud_final")
-    return points.join(ends, "viaje_id")
+    return join_trips(points, endpoints(points).select("viaje_id", "latitud_final", "longitud_final", "ultimo_punto"), run)
 
 
 def stride(points: DataFrame, n: int = 20) -> DataFrame:
