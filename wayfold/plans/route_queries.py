@@ -10,7 +10,7 @@ from wayfold.plans.analytics_queries import rounded
 from wayfold.plans.geodesic_sql import geodesic_stages, haversine_sql
 from wayfold.plans.registry import query
 from wayfold.schemas import ROUTE_COLUMNS
-from wayfold.sources.routes import number_files, parse_documents
+from wayfold.sources import routes as K
 
 PIECE = 50
 
@@ -35,7 +35,7 @@ def kml_documents(points):
 )
 def _(i):
     part = F.split("_file", "/")
-    return parse_documents(kml_documents(i.route_points)).select(
+    return K.points(K.lines(kml_documents(i.route_points))).select(
         part[0].cast("long").alias("viaje_id"), part[1].cast("long").alias("pieza"), "punto", "latitude", "longitude", "altitude"
     )
 
@@ -46,7 +46,7 @@ def _(i):
  latitud AS latitude, longitud AS longitude, altura AS altitude FROM route_points""",
 )
 def _(i):
-    return number_files(parse_documents(kml_documents(i.route_points)))
+    return K.points(K.number_files(K.lines(kml_documents(i.route_points))))
 
 
 @query(
@@ -54,7 +54,7 @@ def _(i):
     f"SELECT dense_rank() OVER (ORDER BY viaje_id, (punto_ruta - 1) // {PIECE}) AS viaje_id, (punto_ruta - 1) % {PIECE} + 1 AS punto_ruta, latitud, longitud, altura FROM route_points",
 )
 def _(i):
-    return number_files(parse_documents(kml_documents(i.route_points))).withColumnsRenamed(ROUTE_COLUMNS)
+    return K.points(K.number_files(K.lines(kml_documents(i.route_points)))).withColumnsRenamed(ROUTE_COLUMNS)
 
 
 LEG = haversine_sql("latitud", "longitud", "lat2", "lon2")

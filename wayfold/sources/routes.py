@@ -6,40 +6,36 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def parse_documents(documents: DataFrame, document: str = "value") -> DataFrame:
-    """Replace a KML text column by one row per point: ``punto`` (from 1), ``latitude``,
-    ``longitude``, ``altitude``. Documents without a LineString give no row."""
+def lines(documents: DataFrame, document: str = "value") -> DataFrame:
+    """Replace a KML text column by the coordinate text of its first LineString as ``coordenadas``.
+    Documents without one are left out."""
     others = [c for c in documents.columns if c != document]
-    coordinates = documents.select(
-        *others,
-        F.trim(
-            F.regexp_replace(F.expr(f"xpath_string(`{document}`, '(//LineString/coordinates)[1]')"), r"\s+", " ")
-        ).alias("_coordinates"),
-    ).where(F.length("_coordinates") > 0)
-    points = coordinates.select(*others, F.posexplode(F.split("_coordinates", " ")).alias("_pos", "_triple"))
-    part = F.split("_triple", ",")
-    return points.select(
-        *others,
-        (F.col("_pos") + 1).cast("long").alias("punto"),
-        part[1].cast("double").alias("latitude"),
-        part[0].cast("double").alias("longitude"),
-        part[2].cast("double").alias("altitude"),
-    )
+    first = F.expr(f"xpath_string(`{document}`, '(//LineString/coordinates)[1]')")
+    return documents.select(*others, F.trim(F.regexp_replace(first, r"\s+", " ")).alias("coordenadas")).where(F.length("coordenadas") > 0)
 
 
-def number_files(points: DataFrame) -> DataFrame:
-    """Trip id per file: its place among the files, by path, that hold a line.
+def number_files(lines: DataFrame, file: str = "_file") -> DataFrame:
+    """Replace the file by a trip id: its place among the files, by path, that hold a line.
 
-    The window sorts one row per file, not the points.
+    Lines are numbered before they become points: the window sorts one short row per file, and no
+    points are shuffled.
     """
-    files = points.where("punto = 1").select("_file")
-    numbered = files.select("_file", F.row_number().over(Window.orderBy("_file")).cast("long").alias("viaje"))
-    return points.join(numbered, "_file").select("viaje", "punto", "latitude", "longitude", "altitude")
+    numbered = lines.select(file).withColumn("viaje", F.row_number().over(Window.orderBy(file)).cast("long"))
+    return lines.join(numbered, file).drop(file)
+
+
+def points(lines: DataFrame) -> DataFrame:
+    """One row per point: ``punto`` (from 1), ``latitude``, ``longitude``, ``altitude``."""
+    others = [c for c in lines.columns if c != "coordenadas"]
+    each = lines.select(*others, F.posexplode(F.split("coordenadas", " ")).alias("_pos", "_triple"))
+    part = F.split("_triple", ",")
+    return each.select(
+        *others, (F.col("_pos") + 1).cast("long").alias("punto"),
+        part[1].cast("double").alias("latitude"), part[0].cast("double").alias("longitude"), part[2].cast("double").alias("altitude"),
+    )
 
 
 def read_routes(spark: SparkSession, path: str) -> DataFrame:
     """All ``*.kml`` files of a folder as (viaje, punto, latitude, longitude, altitude)."""
-    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.kml").select(
-        "value", F.input_file_name().alias("_file")
-    )
-    return number_files(parse_documents(raw))
+    raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.kml").select("value", F.input_file_name().alias("_file"))
+    return points(number_files(lines(raw)))
