@@ -29,7 +29,8 @@ def _offsets(hashed: DataFrame) -> DataFrame:
 
 
 def rank_by_hash(df: DataFrame, key, seed: int, out: str = "posicion") -> DataFrame:
-    """Place of each row (from 1) in hash order, without sorting everything in one task.
+    """Place of each row (from 1) in hash order, without sorting everything in one task. Rows that
+    share a key take adjoining places in any order, so a key that names one row makes it repeatable.
 
     The hash spreads rows evenly, so buckets are even too: rank inside the bucket plus the rows
     before it.
