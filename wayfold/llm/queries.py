@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import compression, language, packing, secrets, simhash, tiling, toxicity, warc
+from wayfold.llm import compression, language, packing, quotes, secrets, simhash, suffixes, tiling, toxicity, warc
 from wayfold.llm.batches import held_out
+from wayfold.session import durable
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +24,20 @@ def op1_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as a mail archive with nested quotes, and from that back to messages without quotes in reply order."""
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("thread"), F.col("turn").alias("seq"), "role", "text")
+    turns = durable(turns.select("*", F.monotonically_increasing_id().alias("mid")), "turns")
+    linked = quotes.link(quotes.as_mail(turns.select("mid", "thread", "seq", "text")))
+    at = turns.select(F.col("mid").alias("id"), F.col("thread").alias("conv"), F.col("seq").alias("place"))
+    met = linked.join(turns.select("mid", "role"), "mid")
+    for name in ("parent", "root"):
+        met = met.join(at.toDF(name, f"{name}_conv", f"{name}_turn"), name, "left")
+    return met.select(
+        F.col("thread").alias("conv_id"), F.col("seq").alias("turn"), "role", F.col("own").alias("text"), "n_quoted", "parent_conv", "parent_turn", "root_conv", "root_turn", "depth",
+    )
+
+
 def op3_language_bitmask(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -38,6 +53,11 @@ def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.with_originals(warc.read_archives(spark, path)).withColumnRenamed("record_id", "page_id")
 
 
+def op5_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that stand in a 200-byte string found elsewhere too, removed."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash_balls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash.near_copies(table(spark, sf_dir, "documents"), 3, 2)
@@ -76,8 +96,8 @@ def op10_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_compression_bands, op3_language_bitmask, op4_warc_revisits, op6_simhash_balls, op7_string_tiling,
-        op8_toxic_grammar, op9_certified_packing, op10_owned_secrets,
+        op1_compression_bands, op2_quotation_links, op3_language_bitmask, op4_warc_revisits, op5_suffix_merge, op6_simhash_balls,
+        op7_string_tiling, op8_toxic_grammar, op9_certified_packing, op10_owned_secrets,
     )
 }
 SQL: dict[str, str] = {}
