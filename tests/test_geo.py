@@ -20,7 +20,30 @@ def test_published_baseline(spark):
 
 def test_same_point_and_unsettled(spark):
     assert one(spark, 39.47, -0.37, 39.47, -0.37) == 0.0
-    assert one(spark, 0.0, 0.0, 0.3, 179.8) is None
+    assert one(spark, 0.0, 0.0, 0.3, 179.8) is None  # three steps do not settle it
+
+
+def settled(spark, *points):
+    df = spark.createDataFrame(points, "a double, b double, c double, d double")
+    return [r.km for r in geo.with_geodesic_km(df, "a", "b", "c", "d", "km", far=True).collect()]
+
+
+def test_almost_opposite_points_have_a_distance(spark):
+    # Published solutions of the inverse problem: equator 0.5 degrees short of opposite with latitude 0.5, and the half meridian.
+    got = settled(spark, (0.0, 0.0, 0.5, 179.5), (0.0, 0.0, 0.0, 180.0), (30.0, 10.0, -30.0, -170.0), (90.0, 0.0, -90.0, 55.0), (0.0, 0.0, 0.5, 179.7))
+    assert got[0] == pytest.approx(19936.288579, abs=1e-3)
+    assert got[1:4] == pytest.approx([20003.931459] * 3, abs=1e-3)
+    assert got[4] == pytest.approx(19944.127421, abs=1e-3)
+
+
+def test_other_continents(spark):
+    valencia = (39.4699, -0.3763)
+    got = settled(spark, *[(*valencia, *far) for far in ((-33.8688, 151.2093), (-33.4489, -70.6693), (-36.8509, 174.7645))])
+    flat = [17420, 10840, 19494]
+    assert all(x == pytest.approx(y, rel=0.01) for x, y in zip(got, flat))
+    df = spark.createDataFrame([(*valencia, -36.8509, 174.7645)], "a double, b double, c double, d double")
+    within = df.select(*[geo.is_within_km("a", "b", "c", "d", got[2] + gap).alias(n) for n, gap in (("wide", 5.0), ("tight", -5.0))]).first()
+    assert within.wide and not within.tight
 
 
 def test_far_points_and_both_forms(spark):
@@ -38,13 +61,13 @@ def test_filter_on_the_result_stays_above_the_series(spark):
     assert 0 < near.count() < 1000
 
 
-@pytest.mark.parametrize("base", [(39.46, -0.37), (0.0, 0.0), (-80.2, 179.99), (89.2, 10.0), (66.5, -179.98)])
+@pytest.mark.parametrize("base", [(39.46, -0.37), (0.0, 0.0), (-80.2, 179.99), (89.2, 10.0), (66.5, -179.98), (89.97, 0.0), (-89.98, 90.0)])
 def test_cells_lose_no_pair(spark, base):
     rnd = random.Random(7)
-    spread = 0.06 / max(math.cos(math.radians(base[0])), 0.02)
+    spread = 0.06 / max(math.cos(math.radians(base[0])), 0.02) if abs(base[0]) < 89.9 else 180.0
 
     def points(n):
-        return [(i, min(base[0] + rnd.uniform(-0.05, 0.05), 90.0), (base[1] + rnd.uniform(-spread, spread) + 180) % 360 - 180) for i in range(n)]
+        return [(i, max(min(base[0] + rnd.uniform(-0.05, 0.05), 90.0), -90.0), (base[1] + rnd.uniform(-spread, spread) + 180) % 360 - 180) for i in range(n)]
 
     a = spark.createDataFrame(points(120), "i long, lat double, lon double")
     b = spark.createDataFrame(points(120), "j long, lat2 double, lon2 double")

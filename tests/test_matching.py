@@ -142,3 +142,39 @@ def test_spread_cells_give_the_same_pairs(spark):
     v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
     plain, spread = (M.candidates(v, u, "60 seconds", 2.0, spread=n).select("v_event", "u_event", "distancia_km") for n in (1, 5))
     assert plain.count() == spread.count() > 0 and plain.exceptAll(spread).isEmpty()
+
+
+def test_event_ids_may_repeat(spark):
+    """Two sources that number their events alike: a ping is one vehicle at one instant."""
+    vs, us = data(12)
+    vs = [(v[0] % 4, *v[1:]) for v in vs]
+    got = M.greedy_match(spark.createDataFrame(vs, V), spark.createDataFrame(us, U), "30 seconds", 2.0).collect()
+    expected = loop(vs, us, 30, 2.0)
+    assert {(r.v_event, r.u_event, r.cliente_id, r.plazas_ocupadas) for r in got} == expected and expected
+    place = (39.45, -0.4)
+    both = [(7, START, 1, 1, 1, *place, *place), (7, START, 1, 2, 1, *place, *place)]
+    riders = [(k, START, 1, k, *place, 5.0, "Bizum") for k in (1, 2)]
+    rides = M.greedy_match(spark.createDataFrame(both, V), spark.createDataFrame(riders, U), "30 seconds", 2.0)
+    assert sorted((r.vehiculo_id, r.cliente_id) for r in rides.collect()) == [(1, 1), (2, 2)]
+    seats = M.open_seats(spark.createDataFrame(both, V), rides).select("vehiculo_id", "plazas_ocupadas").collect()
+    assert sorted(tuple(r) for r in seats) == [(1, 1), (2, 1)]
+
+
+def test_incomplete_pings_are_set_aside(spark):
+    place = (39.45, -0.4)
+    vs = [(1, START, 1, 1, None, *place, *place), (2, START, 1, 2, 1, *place, *place), (3, START, 1, None, 4, *place, *place), (4, None, 1, 4, 4, *place, *place)]
+    us = [(k, START, 1, k if k else None, *place, 5.0, None) for k in range(4)] + [(9, START, 1, 9, None, -0.4, 5.0, "Bizum")]
+    v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+    assert result(M.greedy_match(v, u, "30 seconds", 2.0)) == {(2, 1, 1, 1)}
+    aside = M.set_aside(v, M.VEHICLE_NEEDS)[1].select("event_id", "reason").collect()
+    assert {tuple(r) for r in aside} == {(1, "missing num_plazas"), (3, "missing vehiculo_id"), (4, "missing ts")}
+    assert {tuple(r) for r in M.set_aside(u, M.USER_NEEDS)[1].select("event_id", "reason").collect()} == {(0, "missing cliente_id"), (9, "missing latitud")}
+
+
+def test_fares_to_other_continents(spark):
+    home = (39.4699, -0.3763)
+    goals = [(-33.8688, 151.2093), (-33.4489, -70.6693), (-36.8509, 174.7645), (-39.4699, 179.6237)]
+    vs = [(k, START, k, k, 1, *home, *goal) for k, goal in enumerate(goals)]
+    us = [(k, START, k, k, *home, 5.0, "Bizum") for k in range(len(goals))]
+    fares = {r.viaje_id: r.pago_viaje for r in M.greedy_match(spark.createDataFrame(vs, V), spark.createDataFrame(us, U)).collect()}
+    assert all(fares[k] == pytest.approx(km(*home, *goals[k]), abs=1e-3) for k in range(3)) and 19_900 < fares[3] < 20_010

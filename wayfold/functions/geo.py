@@ -48,8 +48,7 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     code; as one nested expression it would either blow up or fall back to interpretation. It is
     written as SQL text because that is analysed once, not once per projection. From a first-order
     start, three steps settle the series far below a millimetre up to a few thousand kilometres;
-    where it has not settled the result is NULL, or, with ``far``, comes from the slower
-    ``geodesic_km`` with more steps.
+    where it has not settled the result is NULL, or, with ``far``, comes from ``settled_km``.
 
     A generated method beyond 8 kB of bytecode is not compiled by the JVM. So steps are few, missing
     inputs become NaN at the start, and a tiny addend guards the quotients, which spares a NULL or
@@ -82,7 +81,7 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     for layer in layers:
         text = f"(SELECT *, {layer} FROM {text})"
     result = df.sparkSession.sql(f"SELECT {keep}, {km} AS `{out}` FROM {text}", puntos=df)
-    return result.withColumn(out, F.coalesce(out, geodesic_km(lat1, lon1, lat2, lon2, 20))) if far else result
+    return result.withColumn(out, F.coalesce(out, settled_km(lat1, lon1, lat2, lon2))) if far else result
 
 
 def _let(fn, **values: Column) -> Column:
@@ -150,14 +149,58 @@ def geodesic_km(lat1, lon1, lat2, lon2, steps: int = 3) -> Column:
     return _let(start, u=F.atan(b * F.tan(lat1)), w=F.atan(b * F.tan(lat2)), big=lon2 - lon1)
 
 
+def opposite_km(lat1, lon1, lat2, lon2) -> Column:
+    """The distance of two points that are almost opposite, for which the series does not settle.
+
+    Any shortest line passes one of the points a quarter circle from its start. Both halves by way
+    of such a point settle, and their sum is least on the line; it is searched by direction, in three
+    rounds of finer steps. The sum is flat around its least value, so the last step of 0.01 degrees
+    leaves less than a centimetre.
+    """
+    lat1, lon1, lat2, lon2 = (_col(c) for c in (lat1, lon1, lat2, lon2))
+
+    def by_way_of(turn: Column) -> Column:
+        theta = F.radians(turn)
+        lat = F.asin(F.cos(F.radians(lat1)) * F.cos(theta))
+        lon = F.degrees(F.atan2(F.sin(theta) * F.cos(F.radians(lat1)), -F.sin(F.radians(lat1)) * F.sin(lat)))
+        return _let(
+            lambda m: F.struct(
+                (geodesic_km(lat1, F.lit(0.0), m["lat"], m["lon"], 20) + geodesic_km(m["lat"], m["lon"], lat2, lon2 - lon1, 20)).alias("km"), turn.alias("turn")
+            ),
+            lat=F.degrees(lat), lon=lon,
+        )
+
+    def search(centre: Column, step: float, reach: int) -> Column:
+        tries = F.transform(F.sequence(F.lit(-reach), F.lit(reach)), lambda k: by_way_of(centre + k * F.lit(step)))
+        return F.array_min(F.filter(tries, lambda t: t["km"].isNotNull()))
+
+    return _let(
+        lambda a: _let(lambda b: search(b["best"]["turn"], 0.01, 25)["km"], best=search(a["best"]["turn"], 0.25, 20)),
+        best=search(F.lit(180.0), 5.0, 36),
+    )
+
+
+def settled_km(lat1, lon1, lat2, lon2) -> Column:
+    """The distance of any two points: the series with more steps, else the search for opposite points. NULL for NULLs only."""
+    known = F.lit(True)
+    for c in (lat1, lon1, lat2, lon2):
+        known = known & _col(c).isNotNull()
+    return F.when(known, F.coalesce(geodesic_km(lat1, lon1, lat2, lon2, 20), opposite_km(lat1, lon1, lat2, lon2)))
+
+
+# The series settles within three steps for pairs nearer than this.
+NEAR_KM = 2000.0
+
+
 def is_within_km(lat1, lon1, lat2, lon2, km: float) -> Column:
     """At most ``km`` apart on the ellipsoid, inclusive.
 
     The great circle settles all pairs but those in a thin ring around the radius; only these pay
-    for the ellipsoid.
+    for the ellipsoid. In the ring of a far radius the series takes more steps.
     """
     flat = haversine_m(lat1, lon1, lat2, lon2) / 1000
-    return (flat <= km * (1 + SPHERE_SLACK)) & ((flat <= km * (1 - SPHERE_SLACK)) | (geodesic_km(lat1, lon1, lat2, lon2) <= km))
+    exact = geodesic_km(lat1, lon1, lat2, lon2) if km <= NEAR_KM else settled_km(lat1, lon1, lat2, lon2)
+    return (flat <= km * (1 + SPHERE_SLACK)) & ((flat <= km * (1 - SPHERE_SLACK)) | (exact <= km))
 
 
 def fare(km, rate: float = 1.0) -> Column:
@@ -181,9 +224,13 @@ def is_available(occupied, seats, done) -> Column:
 # Grid: latitude bands about ``km`` high, each split into columns about ``km`` wide. The number of
 # columns depends on the band, so cells keep their width at every latitude and wrap at the date line.
 
+# Latitude from which a circle may reach around the pole.
+POLAR = 89.9
+
+
 def _columns_in(band: Column, height: float) -> Column:
     middle = F.abs((band + F.lit(0.5)) * F.lit(height) - F.lit(90.0))
-    share = F.cos(F.radians(F.least(middle, F.lit(89.9))))
+    share = F.cos(F.radians(F.least(middle, F.lit(POLAR))))
     return F.greatest(F.lit(1), F.floor(F.lit(360.0 / height) * share)).cast("long")
 
 
@@ -196,10 +243,14 @@ def cell(lat, lon, km: float) -> Column:
 
 
 def cells_around(lat, lon, km: float) -> Column:
-    """Every grid cell that may hold a point at most ``km`` away, as an array without repeats."""
+    """Every grid cell that may hold a point at most ``km`` away, as an array without repeats.
+
+    Where the radius comes near a pole, meridians meet and every column of the band is within reach.
+    """
     height = km / KM_PER_DEGREE
     lat, lon = _col(lat), _col(lon)
-    reach = F.lit(height) / F.cos(F.radians(F.least(F.abs(lat) + height, F.lit(89.9))))
+    polar = F.abs(lat) + height > POLAR
+    reach = F.when(polar, F.lit(360.0)).otherwise(F.lit(height) / F.cos(F.radians(F.least(F.abs(lat) + height, F.lit(POLAR)))))
     own = F.floor((lat + 90.0) / height)
 
     def row(offset: int) -> Column:

@@ -41,16 +41,29 @@ def _instant(keep_window: bool) -> Column:
     return F.timestamp_micros(F.unix_micros("ts")) if keep_window else F.col("ts")
 
 
+VEHICLE_NEEDS = ["ts", "event_id", "viaje_id", "vehiculo_id", "num_plazas", "latitud", "longitud"]
+USER_NEEDS = ["ts", "event_id", "viaje_id", "cliente_id", "latitud", "longitud"]
+
+
+def set_aside(pings: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Pings that can be matched, and the others with a ``reason``: what is missing, first in the order of ``needed``.
+
+    Matching itself only sees the former: a ping without seats, place, time or id can neither take nor be a client.
+    """
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in needed])
+    return pings.where(missing.isNull()), pings.withColumn("reason", missing).where(F.col("reason").isNotNull())
+
+
 def _vehicle_side(vehicles: DataFrame, window: str, keep_window: bool = False) -> DataFrame:
     extra = [c for c in ("tramo",) if c in vehicles.columns]
-    return vehicles.select(
+    return set_aside(vehicles, VEHICLE_NEEDS)[0].select(
         F.window("ts", window).alias("franja"), "viaje_id", _instant(keep_window).alias("v_ts"), "vehiculo_id", F.col("event_id").alias("v_event"),
         "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", *extra,
     )
 
 
 def _user_side(users: DataFrame, window: str, keep_window: bool = False) -> DataFrame:
-    return users.select(
+    return set_aside(users, USER_NEEDS)[0].select(
         F.window("ts", window).alias("franja"), "viaje_id", _instant(keep_window).alias("u_ts"), "cliente_id", F.col("event_id").alias("u_event"),
         F.col("latitud").alias("u_latitud"), F.col("longitud").alias("u_longitud"), "rating", "metodo_pago",
     )
@@ -90,16 +103,17 @@ def candidates(
 def near_route(users: DataFrame, points: DataFrame, radius_km: float = 2.0) -> DataFrame:
     """User pings for which any point of their trip's route lies within the radius.
 
-    A semi join on trip and grid cell: a ping is settled by its first near point, and the key
-    spreads a long route over its cells. Only distinct points are kept, since vehicles repeat them.
+    A semi join on trip and grid cell: a ping sits in one cell and is settled by its first near
+    point, and the key spreads a long route over its cells. The distinct route points, the small
+    side, are sent to the cells around them.
     """
-    around = users.withColumn("celda", F.explode(geo.cells_around("latitud", "longitud", radius_km)))
-    route = points.select(
-        F.col("viaje_id").alias("_viaje"), geo.cell("latitud", "longitud", radius_km).alias("_celda"),
+    here = users.withColumn("celda", geo.cell("latitud", "longitud", radius_km))
+    route = points.select("viaje_id", "latitud", "longitud").distinct().select(
+        F.col("viaje_id").alias("_viaje"), F.explode(geo.cells_around("latitud", "longitud", radius_km)).alias("_celda"),
         F.col("latitud").alias("_lat"), F.col("longitud").alias("_lon"),
-    ).distinct()
+    )
     near = (F.col("viaje_id") == F.col("_viaje")) & (F.col("celda") == F.col("_celda")) & geo.is_within_km("latitud", "longitud", "_lat", "_lon", radius_km)
-    return around.join(route, near, "left_semi").select(*users.columns).dropDuplicates(["event_id"])
+    return here.join(route, near, "left_semi").select(*users.columns)
 
 
 def cogroup(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -> DataFrame:
@@ -130,12 +144,14 @@ def seat_fold(unit: list[str], seat_scope: str):
         for pdf in batches:
             taken = np.zeros(len(pdf), dtype="int64")
             units = zip(*[pdf[c].tolist() for c in unit])
-            ids = zip(*[pdf[c].tolist() for c in ("vehiculo_id", "v_event", "num_plazas", "cliente_id")])
-            for i, (here, (vehicle, ping, seats, client)) in enumerate(zip(units, ids)):
+            instants = pdf["v_ts"].astype("int64").tolist()
+            ids = zip(instants, *[pdf[c].tolist() for c in ("vehiculo_id", "v_event", "num_plazas", "cliente_id")])
+            for i, (here, (instant, vehicle, event, seats, client)) in enumerate(zip(units, ids)):
                 if here != current:
                     current, at, matched, full, seated = here, None, set(), set(), {}
-                if ping != at:
-                    at, closed = ping, vehicle in full
+                # Event ids may repeat between sources; a ping is one vehicle at one instant.
+                if (instant, vehicle, event) != at:
+                    at, closed = (instant, vehicle, event), vehicle in full
                     occupied = seated.get(vehicle, 0) if per_vehicle else 0
                 if closed or occupied >= seats or client in matched:
                     continue
@@ -243,7 +259,7 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
     if largest is None:
         return _fold(candidates(vehicles, users, window, radius_km, distance=False), scope, seat_scope)
     busy = durable(busy, "busy")
-    slices = int(min(max(largest // max_fold + 1, 2), 4096))
+    slices = int(max(largest // max_fold + 1, 2))
     bounds = durable(_slice_bounds(vehicles, busy, window, scope, slices), "bounds")
     v, u = windowed(vehicles, window), windowed(users, window)
     when = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -258,7 +274,7 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
 
 def priced(matches: DataFrame, rate: float, stamp: Column) -> DataFrame:
     """Ride rows of matched pairs. The fare is worked out here, for matches only."""
-    far = geo.with_geodesic_km(matches, "latitud", "longitud", "latitud_final", "longitud_final", "_km")
+    far = geo.with_geodesic_km(matches, "latitud", "longitud", "latitud_final", "longitud_final", "_km", far=True)
     return far.select(
         "ventana", "viaje_id", "vehiculo_id", "v_event", "v_ts", "num_plazas", "plazas_ocupadas", "cliente_id", "u_event",
         F.col("rating").cast("double").alias("rating"), "metodo_pago", geo.fare("_km", rate).alias("pago_viaje"),
@@ -299,7 +315,7 @@ def single_ping_match(vehicles: DataFrame, users: DataFrame, window: str = "30 s
     """``greedy_match`` where each (window, trip) has one vehicle ping: its first ``num_plazas``
     distinct clients by first candidate ping. No Python is involved."""
     pairs = candidates(vehicles, users, window, radius_km, distance=False)
-    ping = ["ventana", "viaje_id", "v_event"]
+    ping = ["ventana", "viaje_id", "v_ts", "vehiculo_id", "v_event"]
     keys = [*ping, "cliente_id"]
     others = [c for c in pairs.columns if c not in keys]
     # A client's first candidate ping, combined before the shuffle; then the first seats inside
@@ -345,8 +361,8 @@ def latest_position(pings: DataFrame) -> DataFrame:
 
 def open_seats(pings: DataFrame, rides: DataFrame) -> DataFrame:
     """Seat predicates per vehicle ping: taken seats, full, available."""
-    taken = rides.groupBy("v_event").agg(F.max("plazas_ocupadas").alias("plazas_ocupadas"))
-    state = finished(pings.join(taken, pings.event_id == taken.v_event, "left").drop("v_event")).withColumn(
+    taken = rides.groupBy(F.col("v_event").alias("event_id"), "vehiculo_id", F.col("v_ts").alias("ts")).agg(F.max("plazas_ocupadas").alias("plazas_ocupadas"))
+    state = finished(pings.join(taken, ["event_id", "vehiculo_id", "ts"], "left")).withColumn(
         "plazas_ocupadas", F.coalesce("plazas_ocupadas", F.lit(0))
     )
     return state.withColumn("lleno", geo.is_full("plazas_ocupadas", "num_plazas")).withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -35,13 +35,14 @@ def _pair_schema(closed: DataFrame) -> T.StructType:
 
 def match_stream(
     vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, watermark: str = "0 seconds",
-    remember: bool = False, rate: float = 1.0, ttl_ms: int | None = None,
+    remember: bool = False, rate: float = 1.0, ttl_ms: int | None = None, stamp: Column | None = None,
 ) -> DataFrame:
     """Rides as a stream, in append mode.
 
     ``remember=False`` matches every window on its own. ``remember=True`` keeps matched clients and
     filled vehicles of each trip in the state store and leaves them out of later windows; ``ttl_ms``
-    forgets them after that long (never, if left out).
+    forgets them after that long (never, if left out). ``stamp`` fills ``timestamp``, for instance
+    with the current time; by default it is the window's end.
     """
     closed = closed_windows(vehicles, users, window, radius_km, watermark)
     schema = _pair_schema(closed)
@@ -51,20 +52,21 @@ def match_stream(
         )
     else:
         matches = closed.mapInPandas(_fold_rows(schema), schema)
-    return priced(matches, rate, F.col("cierre"))
+    return priced(matches, rate, F.col("cierre") if stamp is None else stamp)
 
 
 def _fold_rows(schema: T.StructType):
     """Fold each gathered row by itself."""
     fold = seat_fold(["ventana", "viaje_id"], "ping")
     names = schema.names[:-1]
+    own = [n for n in names if n not in ("ventana", "cierre", "viaje_id")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def pairs():
             for pdf in batches:
                 for ventana, cierre, viaje, pares in zip(pdf["ventana"], pdf["cierre"], pdf["viaje_id"], pdf["pares"]):
-                    rows = pd.DataFrame([dict(p) if isinstance(p, dict) else p.asDict() for p in pares])
-                    yield rows.assign(ventana=ventana, cierre=cierre, viaje_id=viaje)[names]
+                    columns = zip(*[p.values() if isinstance(p, dict) else tuple(p) for p in pares])
+                    yield pd.DataFrame(dict(zip(own, columns))).assign(ventana=ventana, cierre=cierre, viaje_id=viaje)[names]
 
         yield from fold(pairs())
 
@@ -91,16 +93,27 @@ def remembering_processor(schema: T.StructType, ttl_ms: int | None) -> StatefulP
             # Several windows of a trip may close together; they act in time order.
             for ventana, cierre, pares in sorted(windows, key=lambda w: w[0]):
                 at, out = None, []
+                # The store is asked once per client and vehicle of the window.
+                gone, full = {}, {}
                 for p in pares:
                     p = p if isinstance(p, dict) else p.asDict()
                     vehicle, client = int(p["vehiculo_id"]), int(p["cliente_id"])
-                    if p["v_event"] != at:
-                        at, occupied, closed = p["v_event"], 0, self.full.containsKey((vehicle,))
-                    if closed or occupied >= p["num_plazas"] or self.matched.containsKey((client,)):
+                    if (p["v_ts"], vehicle, p["v_event"]) != at:
+                        at, occupied = (p["v_ts"], vehicle, p["v_event"]), 0
+                        if vehicle not in full:
+                            full[vehicle] = self.full.containsKey((vehicle,))
+                        closed = full[vehicle]
+                    if closed or occupied >= p["num_plazas"]:
+                        continue
+                    if client not in gone:
+                        gone[client] = self.matched.containsKey((client,))
+                    if gone[client]:
                         continue
                     occupied += 1
+                    gone[client] = True
                     self.matched.updateValue((client,), (1,))
                     if occupied >= p["num_plazas"]:
+                        full[vehicle] = True
                         self.full.updateValue((vehicle,), (1,))
                     out.append({**p, "ventana": ventana, "cierre": cierre, "viaje_id": key[0], "plazas_ocupadas": occupied})
                 if out:
