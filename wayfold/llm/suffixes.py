@@ -316,7 +316,9 @@ def repeated_ranges(keyed: DataFrame, width: int = WIDTH, gram: int = GRAM, buck
     side = width - gram
     anchors = _anchors(keyed, width, gram)
     often = anchors.groupBy("h").agg(F.count("*").alias("n"), F.min("nb").alias("nb0"), F.max("nb").alias("nb1")).where("n > 1")
-    live = durable(anchors.join(often.select("h", (F.col("nb0") == F.col("nb1")).alias("alike")), "h"), "live-anchors")
+    # Written first: a join that reads the counts from a table deals both sides itself, and can split a hot anchor.
+    often = durable(often.select("h", (F.col("nb0") == F.col("nb1")).alias("alike")), "repeated-anchors")
+    live = durable(anchors.join(often, "h"), "live-anchors")
     classes = live.where("not alike").groupBy("h", "nb").agg(F.count("*").alias("c"), F.min(F.struct("id", "th", "pos")).alias("rep"))
     classes = durable(classes.select("h", "nb", "c", "rep.*"), "anchor-classes")
     sizes = classes.groupBy("h").agg(F.count("*").alias("k"))
