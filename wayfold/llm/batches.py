@@ -11,15 +11,25 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 
+#: Rows that are in Python's hands at once; Spark's batches hold ten thousand, which are many megabytes of text.
+ROWS = 500
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, without copying."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str) -> DataFrame:
     """Map every Arrow batch to columns. ``make`` runs once per task, so it can set up compressors, tables or caches."""
     wanted = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
-        for batch in batches:
-            if batch.num_rows:
-                yield pa.RecordBatch.from_pydict(step(batch), schema=wanted)
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_pydict(step(batch), schema=wanted)
 
     return df.mapInArrow(run, schema)
 

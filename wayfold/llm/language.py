@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.batches import map_batches, raw
+from wayfold.llm.batches import map_batches, raw, slices
 
 GRAM = 4  # bytes
 SLOT_BITS = 21
@@ -26,7 +26,7 @@ LEAST_SHARE = 0.2
 #: Below this corrected share of known n-grams, a text is in none of the languages learned.
 LEAST_KNOWN = 0.25
 LETTER = re.compile(r"[^\W\d_]")
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 _SPACED = bytes.maketrans(bytes(range(65)) + bytes(range(91, 97)) + bytes(range(123, 128)), b" " * 76)
 
 
@@ -95,7 +95,7 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, lea
 
     def count(batches):
         sums: dict[str, dict] = {}
-        for batch in batches:
+        for batch in slices(batches):
             texts, langs = raw(batch, "text"), batch.column("lang").to_pylist()
             for first, last in _pieces(texts):
                 by: dict[str, list] = {}
@@ -108,7 +108,7 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, lea
                     held["g"].append(values)
                     held["c"].append(often)
                     held["n"] += len(values)
-                    if held["n"] > 2_000_000:
+                    if held["n"] > 500_000:
                         _fold(held)
         for lang, held in sums.items():
             _fold(held)
@@ -225,8 +225,8 @@ def in_known_language(docs: DataFrame, model: LanguageModel, least_known: float
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        for batch in batches:
-            langs, _, known = _judge(shared.value, raw(batch, "text")) if batch.num_rows else ([], np.zeros(0), np.zeros(0))
+        for batch in slices(batches):
+            langs, _, known = _judge(shared.value, raw(batch, "text"))
             yield batch.filter(pa.array((np.array(langs, dtype=object) != "und") & (known >= least_known), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayfold.llm.batches import map_batches, raw
+from wayfold.llm.batches import map_batches, raw, slices
 
 MIN_TILE = 5
 COVERAGE = 0.5
@@ -187,7 +187,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
 
         def run(batches, shared=shared):
             index = SeedIndex(shared.value, min_tile)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([next(held_items(index, t, coverage), None) is None for t in raw(batch, "text")], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
