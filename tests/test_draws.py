@@ -57,3 +57,15 @@ def test_vehicles(spark):
     assert cars.where("marca_coche = 'Tesla' AND anio_fabricacion < 2009").isEmpty()
     assert cars.where("kilometraje < 12000 * (2023 - anio_fabricacion) OR kilometraje > 18000 * (2023 - anio_fabricacion)").isEmpty()
     assert {r[0] for r in cars.select("tipo_combustible").distinct().collect()} == {"Gasolina", "Híbrido", "Eléctrico"}
+
+
+def test_letters_of_all_scripts_keep_their_base(spark):
+    import unicodedata
+
+    from wayfold.functions.text import ascii_any_script, strip_accents
+
+    words = ["Dvořák", "Ștefănőć ę š", "ﬁn ½ ㎏ №", "Łódź", "漢字 x", "", None, "José", "".join(chr(c) for c in range(0x80, 0x3000))]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", strip_accents("w").alias("a"), ascii_any_script("w").alias("b")).collect()
+    for r in rows:
+        plain = None if r.w is None else unicodedata.normalize("NFKD", r.w).encode("ascii", "ignore").decode()
+        assert r.a == plain and r.b == plain

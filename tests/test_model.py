@@ -65,3 +65,11 @@ def test_grid_search(parts):
     for values in H.GRID.values():
         total *= len(values)
     assert total == 243
+
+
+def test_forms_send_flags_and_whole_numbers(spark):
+    from wayfold.operators import model as H
+
+    row = H.scoring_frame(spark, [{"tiene_calefaccion": 0, "rating": 9, "latitud_final": "39.5", "kilometraje": 10.0, "puntos_carnet": None}]).first()
+    assert (row.tiene_calefaccion, row.rating, row.latitud_final, row.kilometraje, row.puntos_carnet) == (False, 9.0, 39.5, 10, None)
+    assert H.scoring_frame(spark, [{"tiene_calefaccion": "1"}]).first().tiene_calefaccion is True

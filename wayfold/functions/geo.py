@@ -13,6 +13,9 @@ WGS84_F = 1 / 298.257223563
 # A degree of latitude is never shorter than this many kilometres.
 KM_PER_DEGREE = 110.5
 
+# The series has settled when a step moves the longitude by less than this many radians, a tenth of a millimetre.
+SETTLED = 1e-11
+
 # Ellipsoidal over spherical distance lies inside 1 -/+ this share everywhere.
 SPHERE_SLACK = 0.007
 
@@ -74,7 +77,7 @@ def with_geodesic_km(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str,
     ]
     # A partition id is never negative; asking for it keeps the optimizer from copying the chain
     # into a filter on the result, which would unfold it exponentially.
-    settled = f"abs(_lam{z} - _lam{z - 1}) < 1e-9 AND spark_partition_id() >= 0"
+    settled = f"abs(_lam{z} - _lam{z - 1}) < {SETTLED!r}D AND spark_partition_id() >= 0"
     km = f"CASE WHEN {settled} THEN {WGS84_A / 1000!r}D * {b} * _a * (_sig{z} - _shift) END"
     keep = ", ".join(f"`{c}`" for c in df.columns if c != out)
     text = "{puntos}"
@@ -140,7 +143,7 @@ def geodesic_km(lat1, lon1, lat2, lon2, steps: int = 3) -> Column:
             shift = t["b"] * e["sin"] * (e["m"] + t["b"] / 4 * (
                 e["cos"] * (2 * e["m"] * e["m"] - 1) - t["b"] / 6 * e["m"] * (4 * e["sin"] * e["sin"] - 3) * (4 * e["m"] * e["m"] - 3)
             ))
-            return F.when(F.abs(e["lam"] - e["prev"]) < 1e-9, WGS84_A * b / 1000 * t["a"] * (e["sig"] - shift))
+            return F.when(F.abs(e["lam"] - e["prev"]) < SETTLED, WGS84_A * b / 1000 * t["a"] * (e["sig"] - shift))
 
         k = e["ca"] * (1 / (b * b) - 1)
         return _let(arc, a=1 + k / 16384 * (4096 + k * (-768 + k * (320 - 175 * k))), b=k / 1024 * (256 + k * (-128 + k * (74 - 47 * k))))

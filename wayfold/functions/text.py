@@ -2,32 +2,55 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Mapping
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Latin letters with a canonical decomposition, and their base letters.
-ACCENTED = "ÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝàáâãäåçèéêëìíîïñòóôõöùúûüýÿ"
-PLAIN = "AAAAAACEEEEIIIINOOOOOUUUUYaaaaaaceeeeiiiinooooouuuuyy"
-
 NON_ASCII = r"[^\x00-\x7F]"
 
 
+@lru_cache(1)
+def decomposed() -> tuple[str, str, dict[str, str]]:
+    """All characters whose compatibility decomposition has one ASCII character, these characters, and the rest with several.
+
+    Characters without an ASCII part are in neither: they are dropped.
+    """
+    one, many = {}, {}
+    for code in range(0x80, sys.maxunicode + 1):
+        plain = unicodedata.normalize("NFKD", chr(code)).encode("ascii", "ignore").decode("ascii") if not 0xD800 <= code < 0xE000 else ""
+        if len(plain) == 1 and code < 0x10000:
+            one[chr(code)] = plain
+        elif plain:
+            many[chr(code)] = plain
+    return "".join(one), "".join(one.values()), many
+
+
 def strip_accents(col, mode: str = "decompose") -> Column:
-    """ASCII form of a text: ``decompose`` keeps base letters (José -> Jose), ``drop`` removes
-    accented letters altogether (José -> Jos)."""
+    """ASCII form of a text: ``decompose`` keeps base letters of every script's accented Latin letters
+    (José -> Jose, Dvořák -> Dvorak), ``drop`` removes such letters altogether (José -> Jos).
+
+    Ligatures, fractions and other characters with several ASCII letters are looked up one by one, in
+    texts that have any.
+    """
     col = F.col(col) if isinstance(col, str) else col
     if mode == "decompose":
-        col = F.translate(col, ACCENTED, PLAIN)
+        letters, plain, many = decomposed()
+        table = F.map_from_arrays(F.split(F.lit("\x01".join(many)), "\x01"), F.split(F.lit("\x01".join(many.values())), "\x01"))
+        spelled = F.array_join(F.transform(F.split(col, ""), lambda c: F.coalesce(F.element_at(table, c), c)), "")
+        few = F.translate(col, "".join(many), "\x00" * len(many)) != col
+        col = F.translate(F.when(few, spelled).otherwise(col), letters, plain)
     elif mode != "drop":
         raise ValueError(f"unknown mode {mode!r}")
     return F.regexp_replace(col, NON_ASCII, "")
 
 
 def ascii_any_script(col) -> Column:
-    """Full compatibility decomposition for texts outside Latin-1; Spark has no built-in for it.
+    """The same by the Python library, letter for letter, for checks.
 
     The batch function is local so that it travels to the executors by value.
     """

@@ -173,6 +173,20 @@ def min_max(df: DataFrame, cols: list[str]) -> DataFrame:
     ).drop("_e")
 
 
+def per_ride(rides: DataFrame, dimension: DataFrame, key: str, col: str) -> DataFrame:
+    """Values of a dimension's measure with the rides they stand for, ``x, n``.
+
+    Rides are counted by key before they meet the dimension, so one row per key is joined and not the facts.
+    """
+    counted = _keyed(rides, key).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    met = counted.join(dimension.select(key, F.col(col).cast("double").alias("x")), key)
+    return met.where(F.col("x").isNotNull()).groupBy("x").agg(F.sum("n").alias("n"))
+
+
+def mean_of_tally(counts: DataFrame, out: str) -> DataFrame:
+    return counts.agg((F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias(out))
+
+
 def tally(df: DataFrame, col: str) -> DataFrame:
     """Distinct values with their counts."""
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n"))
@@ -215,14 +229,20 @@ def grid_density(df: DataFrame, lat: str = "latitud", lon: str = "longitud", cel
     )
 
 
-def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None, density: bool = False) -> DataFrame:
+def histogram(df: DataFrame, col: str | None, bins: int, lo: float | None = None, hi: float | None = None, density: bool = False) -> DataFrame:
     """Counts in ``bins`` equal bins of [lo, hi]; the top edge belongs to the last bin.
 
     Bounds left out are the data's own. ``density`` divides by rows x bin width. Values are counted
     before they are binned; where bounds or the number of rows are needed first, the counts are
-    stored, so the rides are read once in any case.
+    stored, so the rides are read once in any case. With known bounds values are binned at once.
+    Without ``col``, ``df`` holds counts already (``x, n``).
     """
-    t = tally(df, col)
+    if col is None:
+        t = df
+    elif lo is not None and hi is not None and not density:
+        t = df.where(F.col(col).isNotNull()).select(F.col(col).cast("double").alias("x"), F.lit(1).cast("long").alias("n"))
+    else:
+        t = tally(df, col)
     if lo is None or hi is None or density:
         t = durable(t, "tally")
         ends = t.agg(F.struct(

@@ -344,9 +344,10 @@ def full_vehicles(rides: DataFrame) -> DataFrame:
     return rides.where("plazas_ocupadas >= num_plazas").select("ventana", "viaje_id", "vehiculo_id", "v_event", "num_plazas")
 
 
-def unmatched(users: DataFrame, rides: DataFrame) -> DataFrame:
-    """Pings of clients that no ride has taken."""
-    return users.join(rides.select("cliente_id", "viaje_id").distinct(), ["cliente_id", "viaje_id"], "left_anti")
+def unmatched(users: DataFrame, rides: DataFrame, within: list[str] | None = None) -> DataFrame:
+    """Pings of clients that no ride of their trip has taken; ``within`` names further columns that must agree, as the window."""
+    keys = ["cliente_id", "viaje_id", *(within or [])]
+    return users.join(rides.select(*keys).distinct(), keys, "left_anti")
 
 
 def finished(pings: DataFrame) -> DataFrame:

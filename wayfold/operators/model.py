@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TARGET = "pago_viaje"
+# Columns that are no features.
 LEFT_OUT = [
     "pago_viaje", "cliente_id", "longitud", "latitud", "vehiculo_id",
     "nombre_cliente", "apellido_cliente", "nombre_conductor", "direccion_cliente",
@@ -139,16 +140,27 @@ GRID = {
 }
 
 
-def grid_search(train: DataFrame, grid: dict | None = None, folds: int = 5, parallelism: int = 4, seed: int = 42, **tree) -> CrossValidatorModel:
-    """Cross-validated search by mean squared error."""
-    pipeline = build_pipeline(train.schema, seed, **tree)
+def grid_search(
+    train: DataFrame, grid: dict | None = None, folds: int = 5, parallelism: int = 4, seed: int = 42, key: list[str] | None = None, **tree,
+) -> CrossValidatorModel:
+    """Cross-validated search by mean squared error.
+
+    With ``key`` a row's fold hangs on a hash of its key, so it is the same under any partitioning;
+    the key is no feature.
+    """
+    columns = {}
+    if key:
+        fold = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(folds)).cast("int")
+        train = train.select(*features(train.drop(*key)).columns, fold.alias("_fold"))
+        columns = {"foldCol": "_fold"}
+    pipeline = build_pipeline(train.drop("_fold").schema, seed, **tree)
     trees = pipeline.getStages()[-1]
     builder = ParamGridBuilder()
     for name, values in (grid or GRID).items():
         builder = builder.addGrid(trees.getParam(name), values)
     evaluator = RegressionEvaluator(labelCol=TARGET, metricName="mse")
     return CrossValidator(
-        estimator=pipeline, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed
+        estimator=pipeline, estimatorParamMaps=builder.build(), evaluator=evaluator, numFolds=folds, parallelism=parallelism, seed=seed, **columns
     ).fit(train)
 
 
@@ -190,12 +202,23 @@ SCORING_DEFAULTS = {
 
 
 def scoring_frame(spark: SparkSession, rows: list[dict] | None = None) -> DataFrame:
-    """A small frame to score; fields left out take the form's defaults."""
+    """A small frame to score; fields left out take the form's defaults.
+
+    Forms send 0 or 1 for yes and no, whole numbers where fractions are possible, and numbers as
+    text: values are turned into the field's type, and None stays.
+    """
     schema = T.StructType([
         T.StructField(n, T.BooleanType() if isinstance(v, bool) else T.LongType() if isinstance(v, int) else T.DoubleType() if isinstance(v, float) else T.StringType())
         for n, v in SCORING_DEFAULTS.items()
     ])
-    data = [tuple({**SCORING_DEFAULTS, **r}[f.name] for f in schema.fields) for r in (rows or [{}])]
+    def typed(value, like):
+        if value is None or isinstance(like, str):
+            return value
+        if isinstance(like, bool) and isinstance(value, str):
+            return value.strip().lower() in ("1", "true", "yes", "on", "sí", "si")
+        return type(like)(float(value)) if isinstance(like, int) and not isinstance(like, bool) else type(like)(value)
+
+    data = [tuple(typed({**SCORING_DEFAULTS, **r}[f.name], SCORING_DEFAULTS[f.name]) for f in schema.fields) for r in (rows or [{}])]
     df = spark.createDataFrame(data, schema)
     return df.withColumn("timestamp", F.try_to_timestamp("timestamp", F.lit("yyyy-MM-dd HH:mm:ss"))).withColumn("fecha_registro", F.to_date("fecha_registro"))
 

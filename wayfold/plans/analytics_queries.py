@@ -90,7 +90,7 @@ def _(i):
 
 @query("mean_client_age", "enriched", "SELECT round(avg(edad_cliente), 6) AS edad_media FROM enriched")
 def _(i):
-    return rounded(A.mean(i.rides_by_client, "edad_cliente", "edad_media"), "edad_media")
+    return rounded(A.mean_of_tally(A.per_ride(i.rides, i.clients, "cliente_id", "edad_cliente"), "edad_media"), "edad_media")
 
 
 @query("mean_registration_year", "enriched", "SELECT round(avg(anio_registro_app), 6) AS anio_registro_medio FROM enriched")
@@ -294,7 +294,7 @@ def _(i):
     histogram_sql("SELECT CAST(puntos_carnet AS DOUBLE) AS x FROM enriched", 14, "min(x) OVER ()", "max(x) OVER ()", ", round(count(*) / (total * w), 6) AS densidad"),
 )
 def _(i):
-    return rounded(A.histogram(i.rides_by_vehicle, "puntos_carnet", 14, density=True), "desde", "hasta", "densidad")
+    return rounded(A.histogram(A.per_ride(i.rides, i.vehicles, "vehiculo_id", "puntos_carnet"), None, 14, density=True), "desde", "hasta", "densidad")
 
 
 @query(
@@ -302,7 +302,7 @@ def _(i):
     histogram_sql("SELECT CAST(edad_cliente AS DOUBLE) AS x FROM enriched", 20, "min(x) OVER ()", "max(x) OVER ()"),
 )
 def _(i):
-    return rounded(A.histogram(i.rides_by_client, "edad_cliente", 20), "desde", "hasta")
+    return rounded(A.histogram(A.per_ride(i.rides, i.clients, "cliente_id", "edad_cliente"), None, 20), "desde", "hasta")
 
 
 @query(

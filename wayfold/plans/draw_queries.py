@@ -224,7 +224,7 @@ def _(i):
 
 # Client names and labels.
 
-NAMED = """gente AS (SELECT c_custkey AS cliente_id, CASE c_custkey % 3 WHEN 0 THEN 'José' WHEN 1 THEN 'Núñez' ELSE 'Íñigo' END || c_name AS nombre,
+NAMED = """gente AS (SELECT c_custkey AS cliente_id, CASE c_custkey % 5 WHEN 0 THEN 'José' WHEN 1 THEN 'Núñez' WHEN 2 THEN 'Íñigo' WHEN 3 THEN 'Dvořák' ELSE 'Ștefănőć' END || c_name AS nombre,
  CASE c_custkey % 2 WHEN 0 THEN 'Peña ' ELSE 'Güell ' END || c_mktsegment AS apellido, 'Avenida de la Constitución ' || c_nationkey || ' 3º' AS direccion,
  CASE c_custkey % 7 WHEN 0 THEN 'male' WHEN 1 THEN 'female' WHEN 2 THEN 'unknown' WHEN 3 THEN 'andy' WHEN 4 THEN 'mostly_male' WHEN 5 THEN 'mostly_female' ELSE 'otro' END AS genero FROM customer)"""
 
@@ -232,7 +232,7 @@ NAMED = """gente AS (SELECT c_custkey AS cliente_id, CASE c_custkey % 3 WHEN 0 T
 def people(i):
     at = lambda options, n: F.element_at(F.array(*[F.lit(o) for o in options]), (F.col("c_custkey") % n + 1).cast("int"))
     return i.customer.select(
-        F.col("c_custkey").alias("cliente_id"), F.concat(at(["José", "Núñez", "Íñigo"], 3), "c_name").alias("nombre"),
+        F.col("c_custkey").alias("cliente_id"), F.concat(at(["José", "Núñez", "Íñigo", "Dvořák", "Ștefănőć"], 5), "c_name").alias("nombre"),
         F.concat(at(["Peña ", "Güell "], 2), "c_mktsegment").alias("apellido"),
         F.concat(F.lit("Avenida de la Constitución "), F.col("c_nationkey").cast("string"), F.lit(" 3º")).alias("direccion"),
         at(["male", "female", "unknown", "andy", "mostly_male", "mostly_female", "otro"], 7).alias("genero"),
@@ -307,7 +307,7 @@ def _(i):
     return replay.replay_routes(i.route_points, run_frame(i)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-N_CLIENTS = 50
+N_CLIENTS = 200
 KEYS = "c.cliente_id, t.tick"
 
 

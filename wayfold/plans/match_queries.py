@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from wayfold.functions import geo
 from wayfold.operators import matching as M
 from wayfold.plans.geodesic_sql import geodesic_stages
-from wayfold.plans.proxy import WINDOW
+from wayfold.plans.proxy import VIEWS, WINDOW
 from wayfold.plans.registry import query
 from wayfold.schemas import CLIENT_MESSAGE, VEHICLE_MESSAGE
 from wayfold.sources import messages as S
@@ -118,10 +119,8 @@ FIRST_PING = (
 @query(
     "single_ping_match", "client_pings",
     RIDE_SQL,
-    more="todos AS ("
-    + "SELECT event_id, ts, 1 + event_id % 6 AS viaje_id, 1 + user_id % 40 AS vehiculo_id, 1 + event_id % 4 AS num_plazas, 39.45e0 + (event_id * 37 % 500) / 1e4 AS latitud, "
-    "-0.40e0 + (event_id * 91 % 600) / 1e4 AS longitud, 39.45e0 + (event_id * 53 % 500) / 1e4 AS latitud_final, -0.40e0 + (event_id * 71 % 600) / 1e4 AS longitud_final "
-    f"FROM events WHERE event_type = 'signup'),\nvehicle_pings AS ({FIRST_PING}),\n{CLOUD},\n{fold_cte(['ventana', 'viaje_id'])},\n{FARE}",
+    more="todos AS (" + VIEWS["vehicle_pings"][1].format(events="events")
+    + f"),\nvehicle_pings AS ({FIRST_PING}),\n{CLOUD},\n{fold_cte(['ventana', 'viaje_id'])},\n{FARE}",
 )
 def _(i):
     ranked = F.min_by(F.struct(*i.vehicle_pings.columns), F.struct("ts", "vehiculo_id", "event_id")).alias("p")
@@ -138,6 +137,38 @@ def _(i):
     return M.occupancy_log(M.greedy_match(i.vehicle_pings, i.client_pings, WINDOW, 2.0)).withColumn("ventana", F.col("ventana").cast("timestamp_ntz"))
 
 
+@query(
+    "ride_timestamps", PINGS, "SELECT v_event, cliente_id, ventana + INTERVAL 6 HOUR AS momento FROM hits", more=f"{CLOUD},\n{fold_cte(['ventana', 'viaje_id'])}",
+)
+def _(i):
+    return M.greedy_match(i.vehicle_pings, i.client_pings, WINDOW, 2.0).select("v_event", "cliente_id", F.col("timestamp").cast("timestamp_ntz").alias("momento"))
+
+
+# Destinations on other continents, down to the point opposite: the same series with many steps.
+FAR = """lejos AS (SELECT event_id, latitud, longitud, CASE event_id % 4 WHEN 0 THEN -33.8688e0 WHEN 1 THEN -33.4489e0 WHEN 2 THEN 40.7128e0 ELSE -36.8509e0 END + (event_id % 1000) / 1e4 AS lat_fin,
+ CASE event_id % 4 WHEN 0 THEN 151.2093e0 WHEN 1 THEN -70.6693e0 WHEN 2 THEN -74.006e0 ELSE 174.7645e0 END + (event_id % 777) / 1e4 AS lon_fin FROM vehicle_pings)"""
+FAR_OUT = geodesic_stages("lejos", "latitud", "longitud", "lat_fin", "lon_fin", "event_id", steps=24)
+
+
+def far_goals(i):
+    pick = lambda *values: F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("event_id") % 4 + 1).cast("int"))
+    return i.vehicle_pings.select(
+        "event_id", "latitud", "longitud", (pick(-33.8688, -33.4489, 40.7128, -36.8509) + (F.col("event_id") % 1000) / F.lit(1e4)).alias("lat_fin"),
+        (pick(151.2093, -70.6693, -74.006, 174.7645) + (F.col("event_id") % 777) / F.lit(1e4)).alias("lon_fin"),
+    )
+
+
+@query("fare_to_far_destination", "vehicle_pings", "SELECT event_id, round(km, 6) AS pago_viaje FROM geo_out", more=f"{FAR},\n{FAR_OUT}")
+def _(i):
+    far = geo.with_geodesic_km(far_goals(i), "latitud", "longitud", "lat_fin", "lon_fin", "km", far=True)
+    return far.select("event_id", F.round(geo.fare("km"), 6).alias("pago_viaje"))
+
+
+@query("pings_within_far_radius", "vehicle_pings", "SELECT event_id FROM geo_out WHERE km <= 17400e0", more=f"{FAR},\n{FAR_OUT}")
+def _(i):
+    return far_goals(i).where(geo.is_within_km("latitud", "longitud", "lat_fin", "lon_fin", 17400.0)).select("event_id")
+
+
 @query(
     "full_vehicles", PINGS,
     "SELECT ventana, viaje_id, vehiculo_id, v_event, num_plazas FROM hits GROUP BY ALL HAVING count(*) = num_plazas",
@@ -149,12 +180,12 @@ def _(i):
 
 @query(
     "unmatched_requests", PINGS,
-    "SELECT event_id, cliente_id, viaje_id FROM client_pings u WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.cliente_id = u.cliente_id AND h.viaje_id = u.viaje_id)",
-    more=f"{LOCAL},\n{fold_cte(['viaje_id'])}",
+    "SELECT event_id, cliente_id, viaje_id FROM client_pings u WHERE NOT EXISTS (SELECT 1 FROM hits h WHERE h.cliente_id = u.cliente_id AND h.viaje_id = u.viaje_id AND h.ventana = time_bucket(INTERVAL 6 HOUR, u.ts))",
+    more=f"{CLOUD},\n{fold_cte(['ventana', 'viaje_id'])}",
 )
 def _(i):
-    taken = M.greedy_match_remembering(i.vehicle_pings, i.client_pings, REMEMBER_WINDOW, 5.0)
-    return M.unmatched(i.client_pings, taken).select("event_id", "cliente_id", "viaje_id")
+    taken = M.greedy_match(i.vehicle_pings, i.client_pings, WINDOW, 2.0)
+    return M.unmatched(M.windowed(i.client_pings, WINDOW), taken, ["ventana"]).select("event_id", "cliente_id", "viaje_id")
 
 
 @query(

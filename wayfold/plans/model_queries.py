@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from wayfold.operators.sampling import split
 from wayfold.plans.analytics_queries import rounded
 from wayfold.plans.draw_queries import u_sql
 from wayfold.plans.registry import query
+from wayfold.session import durable, shared_folder
 
 NUMERIC = ["rating", "anio_fabricacion", "puntos_carnet", "cilindraje_motor", "kilometraje", "anio_registro_app", "edad_cliente"]
 TEXT = ["metodo_pago", "marca_coche", "tipo_combustible", "genero_cliente", "trabajo_cliente"]
@@ -32,8 +35,9 @@ def _(i):
     more=TRAIN,
 )
 def _(i):
-    train, _ = split(i.enriched, KEY)
-    return rounded(H.impute_mean(i.enriched.select(*KEY, *NUMERIC), NUMERIC, train), *NUMERIC)
+    # Written once, so that the joins run once for the statistics and the rows.
+    rows = durable(i.enriched.select(*KEY, *NUMERIC), "enriched")
+    return rounded(H.impute_mean(rows, NUMERIC, split(rows, KEY)[0]), *NUMERIC)
 
 
 @query(
@@ -54,9 +58,9 @@ MODE = "(SELECT {c} FROM train WHERE {c} IS NOT NULL GROUP BY {c} ORDER BY count
     more=TRAIN,
 )
 def _(i):
-    train, _ = split(i.enriched, KEY)
     cols = [*TEXT, "tiene_calefaccion"]
-    return H.impute_mode(i.enriched.select(*KEY, *cols), cols, train)
+    rows = durable(i.enriched.select(*KEY, *cols), "enriched")
+    return H.impute_mode(rows, cols, split(rows, KEY)[0])
 
 
 @query(
@@ -139,11 +143,27 @@ def _(i):
     return H.score(fitted, test).select(*KEY, "pago_viaje", "pago_previsto")
 
 
+@query(
+    "saved_fare_model", "enriched",
+    f"SELECT count(*) AS filas, count(*) AS previstas, count(*) AS iguales FROM enriched WHERE NOT ({u_sql('pedido, linea', 'particion')} < 0.8e0)",
+)
+def _(i):
+    """Train, save and load, and score the test rows with both: all get a fare, and the same one."""
+    train, test = split(i.enriched, KEY)
+    rows = H.features(train.drop(*KEY))
+    path = f"{shared_folder(i.spark)}/model-{uuid.uuid4().hex}"
+    fitted = H.build_pipeline(rows.schema, maxIter=5, maxDepth=3).fit(rows)
+    H.save(fitted, path)
+    both = H.score(H.load(path), H.score(fitted, test).withColumnRenamed("pago_previsto", "antes"))
+    same = F.count(F.when(F.col("antes") == F.col("pago_previsto"), 1))
+    return both.agg(F.count(F.lit(1)).alias("filas"), F.count("pago_previsto").alias("previstas"), same.alias("iguales"))
+
+
 @query("fare_grid_search")
 def _(i):
     """Cross-validated error of each setting of a small grid."""
     train, _ = split(i.enriched, KEY)
     grid = {"maxIter": [2, 4], "maxDepth": [2]}
-    found = H.grid_search(H.features(train.drop(*KEY)), grid, folds=2, parallelism=2)
+    found = H.grid_search(train, grid, folds=2, parallelism=2, key=KEY)
     settings = [(int(m[p]), float(e)) for m, e in zip(found.getEstimatorParamMaps(), found.avgMetrics) for p in m if p.name == "maxIter"]
     return i.spark.createDataFrame(settings, "max_iter long, mse double")

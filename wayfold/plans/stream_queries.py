@@ -1,6 +1,6 @@
-"""The streaming matcher run over the event table as a file stream.
+"""The streaming matcher run over the event table as a file stream, from message text to a stored table.
 
-All rows arrive, the watermark moves to the last event, and windows that end by then are emitted; the
+Pings are written as JSON text, decoded, matched and appended to a table. All rows arrive, the watermark moves to the last event, and windows that end by then are emitted; the
 checks select the same windows.
 """
 
@@ -13,9 +13,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from wayfold.plans import proxy
-from wayfold.plans.match_queries import CLOUD, FARE, LOCAL, PINGS, REMEMBER_WINDOW, RIDE_SQL, fold_cte, shown
+from wayfold.plans.match_queries import CLOUD, FARE, LOCAL, PINGS, REMEMBER_WINDOW, RIDE_SQL, fold_cte, shown, whole_rating
 from wayfold.plans.registry import query
+from wayfold.schemas import CLIENT_MESSAGE, VEHICLE_MESSAGE
 from wayfold.session import shared_folder
+from wayfold.sources import messages, tables
 from wayfold.streaming.match import match_stream
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -34,23 +36,26 @@ def settings(spark: SparkSession, **conf: str):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def timed(pings):
+    return pings.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def run_stream(i, window: str, km: float, remember: bool):
     spark, folder = i.spark, f"{shared_folder(i.spark)}/stream-{uuid.uuid4().hex}"
     events = spark.readStream.schema(i.events.schema).parquet(f"{i.sf_dir}/*events.parquet")
     v, u = (
-        spark.sql(proxy.VIEWS[name][1], events=events).withColumn("ts", F.col("ts").cast("timestamp")) for name in ("vehicle_pings", "client_pings")
+        messages.decode(messages.to_messages(sent(spark.sql(proxy.VIEWS[name][1], events=events))), schema)[0]
+        for name, sent, schema in (("vehicle_pings", timed, VEHICLE_MESSAGE), ("client_pings", lambda pings: whole_rating(timed(pings)), CLIENT_MESSAGE))
     )
     conf = {"spark.sql.streaming.stateStore.providerClass": ROCKSDB}
-    if spark.sparkContext.master.startswith("local"):
-        conf["spark.sql.shuffle.partitions"] = "4"
     rides = match_stream(v, u, window, km, remember=remember)
+    table = f"rides_{uuid.uuid4().hex}"
     with settings(spark, **conf):
-        q = (
-            rides.writeStream.format("parquet").option("path", f"{folder}/rides").option("checkpointLocation", f"{folder}/checkpoint")
-            .outputMode("append").trigger(availableNow=True).start()
-        )
-        q.awaitTermination()
-    return shown(spark.read.schema(rides.schema).parquet(f"{folder}/rides"))
+        tables.ensure_table(spark, table, rides.schema, path=f"{folder}/rides")
+        tables.start_append_stream(rides, table, f"{folder}/checkpoint", rides.schema).awaitTermination()
+    stored = shown(spark.read.schema(rides.schema).parquet(f"{folder}/rides"))
+    spark.sql(f"DROP TABLE {table}")  # its files stay in the folder
+    return stored
 
 
 def closed(hours: int) -> str:

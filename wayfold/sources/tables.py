@@ -16,12 +16,13 @@ def scan(spark: SparkSession, table: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: str | None = None) -> None:
-    """Create the table unless it exists; required columns are declared NOT NULL."""
+def ensure_table(spark: SparkSession, name: str, schema: T.StructType, partition_by: str | None = None, path: str | None = None) -> None:
+    """Create the table unless it exists, in ``path`` if one is named; required columns are declared NOT NULL."""
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
     )
     tail = f" PARTITIONED BY (`{partition_by}`)" if partition_by else ""
+    tail += f" LOCATION '{path}'" if path else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{tail}")
 
 
@@ -46,7 +47,9 @@ def append(df: DataFrame, table: str, schema: T.StructType, rename: Mapping[str,
     conform(df, schema, rename).write.mode("append").format("parquet").saveAsTable(table)
 
 
-def replace(df: DataFrame, table: str) -> None:
+def replace(df: DataFrame, table: str, schema: T.StructType | None = None, rename: Mapping[str, str] | None = None) -> None:
+    """Write a table anew, with the declared schema if one is given."""
+    df = df if schema is None else conform(df, schema, rename)
     df.write.mode("overwrite").format("parquet").saveAsTable(table)
 
 
