@@ -100,4 +100,33 @@ QUERIES = {
         op7_string_tiling, op8_toxic_grammar, op9_certified_packing, op10_owned_secrets,
     )
 }
-SQL: dict[str, str] = {}
+_BASE32 = " || ".join(f"substr('{warc.ALPHABET}', CAST((v >> {shift}) & 31 AS INT) + 1, 1)" for shift in (15, 10, 5, 0))
+WARC_SQL = f"""WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+ d AS (SELECT h, sha1(h) AS x, max(page_id) AS holder FROM p GROUP BY h),
+ g AS (SELECT h, holder, i, CAST('0x' || substr(x, CAST(5 * i + 1 AS INT), 5) AS BIGINT) AS v FROM d, range(8) r(i)),
+ b AS (SELECT h, holder, string_agg({_BASE32}, '' ORDER BY i) AS digest FROM g GROUP BY h, holder)
+SELECT page_id, CAST(strlen(p.h) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+ CASE WHEN page_id = holder THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> holder THEN holder END AS refers_to FROM p JOIN b ON p.h = b.h"""
+
+
+def _kind_sql(place: int, kind: str, pattern: str, group: int, least: int) -> str:
+    p = "'" + pattern.replace("'", "''") + "'"
+    return (
+        f"SELECT doc_id, o, {place} AS place, '{kind}' AS kind, {least} AS least, unnest(h) AS h, unnest(v) AS v, unnest(g[1:len(h)]) AS g, unnest(range(len(h))) AS i FROM "
+        f"(SELECT doc_id, o, regexp_extract_all(t, {p}, 0) AS h, regexp_extract_all(t, {p}, {group}) AS v, regexp_split_to_array(t, {p}) AS g FROM d)"
+    )
+
+
+SECRETS_SQL = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, source AS o FROM documents),
+ c AS ({" UNION ALL ".join(_kind_sql(k, *kind) for k, kind in enumerate(secrets.BASE + secrets.PROVIDER))}),
+ s AS (SELECT *, CAST(sum(length(g) + length(h)) OVER (PARTITION BY doc_id, place ORDER BY i) AS BIGINT) AS fin FROM c),
+ f AS (SELECT doc_id, o, place, kind, v, kind || ':' || (fin - length(h)) || ':' || fin AS span, fin - length(h) AS ini FROM s WHERE length(v) >= least),
+ n AS (SELECT v, count(DISTINCT o) <= {secrets.MOST_OWNERS} AS live FROM f GROUP BY v),
+ a AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+  string_agg(span, ',' ORDER BY ini, place) FILTER (place < {len(secrets.BASE)}) AS base, string_agg(span, ',' ORDER BY ini, place) FILTER (place < {len(secrets.BASE)} OR live) AS spans,
+  count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_common FROM f JOIN n USING (v) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+ coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_common, 0) AS n_common FROM d LEFT JOIN a USING (doc_id)"""
+
+#: The others need compression, XXH64, byte-pair ids, learned tables or repeated search; tests hold them against plain Python.
+SQL: dict[str, str] = {"op4_warc_revisits": WARC_SQL, "op10_owned_secrets": SECRETS_SQL}
