@@ -103,17 +103,23 @@ def _parsed(messages: DataFrame) -> DataFrame:
 
 
 def _roots(parents: DataFrame) -> DataFrame:
-    """``mid, root, depth`` by doubling: every round, each message looks past the ancestor that it knows to that one's."""
-    state = durable(parents.select("mid", F.coalesce("parent", "mid").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).cast("long").alias("depth")), "ancestors")
-    before = state.agg(F.sum("depth")).first()[0]
-    while before:
-        up = state.select(F.col("mid").alias("root"), F.col("root").alias("next"), F.col("depth").alias("more"))
-        state = durable(state.join(up, "root").select("mid", F.col("next").alias("root"), (F.col("depth") + F.col("more")).alias("depth")), "ancestors")
-        after = state.agg(F.sum("depth")).first()[0]
-        if after == before:
-            break
-        before = after
-    return state
+    """``mid, root, depth`` by doubling: every round, each message looks past the ancestor that it knows to that one's.
+
+    Messages that have found their root are done and move no more, so a long conversation costs rounds for itself only.
+    """
+    done = [durable(parents.where("parent is null").select("mid", F.col("mid").alias("root"), F.lit(0).cast("long").alias("depth")), "ancestors")]
+    pending = durable(parents.where("parent is not null").select("mid", F.col("parent").alias("up"), F.lit(1).cast("long").alias("steps")), "ancestors")
+    while not pending.isEmpty():
+        known = pending.select(F.col("mid").alias("up"), F.col("up").alias("next"), F.col("steps").alias("more"), F.lit(False).alias("end"))
+        for part in done:
+            known = known.union(part.select("mid", "root", "depth", F.lit(True)))
+        moved = durable(pending.join(known, "up").select("mid", F.col("next").alias("up"), (F.col("steps") + F.col("more")).alias("steps"), "end"), "ancestors")
+        done.append(moved.where("end").select("mid", F.col("up").alias("root"), F.col("steps").alias("depth")))
+        pending = moved.where("not end").drop("end")
+    out = done[0]
+    for part in done[1:]:
+        out = out.union(part)
+    return out
 
 
 def as_mail(messages: DataFrame) -> DataFrame:
