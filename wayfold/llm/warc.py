@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from wayfold.session import shared_folder
+from wayfold.session import durable, shared_folder
 
 BREAK = "\r\n\r\n"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -127,13 +127,14 @@ def with_originals(records: DataFrame) -> DataFrame:
     """Join revisits to the responses that they refer to: ``payload_bytes`` and ``payload_digest`` of the full payload.
 
     The length and digest of responses are taken from the bodies read. A response's side has one row per record id.
+    Archives are read once; what meets is headers, from tables, so that the revisits of one hot response can be split.
     """
-    full = records.select(
+    full = durable(records.select(
         "record_id", "record_type", "refers_to", "payload_digest",
         F.octet_length("payload").cast("long").alias("own_bytes"), F.when(F.col("record_type") == "response", base32_sha1(F.col("payload"))).alias("own_digest"),
-    )
+    ), "headers")
     kept = full.where("record_type = 'response' and record_id is not null").groupBy(F.col("record_id").alias("holder")).agg(F.first("own_bytes").alias("held_bytes"), F.first("own_digest").alias("held_digest"))
-    out = full.join(kept, F.col("refers_to") == F.col("holder"), "left")
+    out = full.join(durable(kept, "responses"), F.col("refers_to") == F.col("holder"), "left")
     return out.select(
         "record_id", F.coalesce("held_bytes", "own_bytes").alias("payload_bytes"), F.coalesce("held_digest", "own_digest").alias("payload_digest"), "record_type", "refers_to",
     )
