@@ -72,16 +72,17 @@ def link(messages: DataFrame) -> DataFrame:
     """
     parsed = durable(_parsed(messages), "messages")
     placed = parsed.where("thread is not null and seq is not null")
-    # Reduced to the first holder before anything is joined: a line that all messages have is one row.
+    # Reduced to the first holder before anything is joined: a line that all messages have is one row. What is joined
+    # comes from tables, so that a hot line or thread can be split.
     inside = placed.select("thread", F.explode("units").alias("unit"), F.struct("thread", "seq", "mid").alias("at")).groupBy("thread", "unit").agg(F.min("at").alias("near"))
     inside = durable(inside, "originals")
-    first = inside.groupBy("unit").agg(F.min("near").alias("far"))
+    first = durable(inside.groupBy("unit").agg(F.min("near").alias("far")), "originals")
     quotes = placed.select("mid", "thread", F.struct("thread", "seq", "mid").alias("at"), F.explode("quotes").alias("q")).select("mid", "thread", "at", "q.*")
     met = quotes.join(inside, ["thread", "unit"], "left").join(first, "unit", "left")
     origin = F.when(F.col("near") < F.col("at"), F.col("near")).when(F.col("far") < F.col("at"), F.col("far"))
     votes = met.select("mid", "level", "weight", origin.alias("origin")).where("origin is not null").groupBy("mid", "level", "origin").agg(F.sum("weight").alias("weight"))
     best = votes.groupBy("mid").agg(F.max(F.struct((-F.col("level")).alias("close"), "weight", "origin")).alias("b")).select("mid", F.col("b.origin.mid").alias("quoted"))
-    heads = placed.groupBy("thread").agg(F.min(F.struct("seq", "mid")).alias("head")).select("thread", F.col("head.mid").alias("head"))
+    heads = durable(placed.groupBy("thread").agg(F.min(F.struct("seq", "mid")).alias("head")).select("thread", F.col("head.mid").alias("head")), "heads")
     linked = parsed.select("mid", "thread", "seq", "own", "n_quoted").join(best, "mid", "left").join(heads, "thread", "left")
     other = F.when(F.col("seq").isNotNull() & (F.col("head") != F.col("mid")), F.col("head"))
     linked = durable(linked.select("mid", "thread", "seq", "own", "n_quoted", F.coalesce("quoted", other).alias("parent")), "replies")
