@@ -13,7 +13,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round ties every node to the smallest of its neighbourhood, first for larger neighbours, then for smaller ones;
     rounds grow with the logarithm of the longest chain. A node's neighbours are never gathered: the minimum is combined
-    before the shuffle and joined back, and a join with a hot node can be split. Every round is a written table. Loops
+    before the shuffle and joined back, and a join with a hot node can be split. Minima and rounds are written tables. Loops
     and nulls are ignored; repeated edges count once; no edges give no rows.
     """
     now = durable(
@@ -22,11 +22,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = _state(now)
     while before[0]:
         both = now.union(now.select("b", "a"))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m"))
+        least = durable(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), F.least("a", "m").alias("m")), "components")
         large = both.join(least, both.a == least.u).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = large.where("a != b").distinct()
         large = durable(large, "components")
-        down = large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m")
+        down = durable(large.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("u"), "m"), "components")
         small = large.join(down, large.a == down.u).select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("u", "m"))
         now = durable(small.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "components")
         after = _state(now)

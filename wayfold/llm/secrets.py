@@ -77,7 +77,9 @@ def _judged(found: DataFrame, most_owners: int) -> DataFrame:
     each = found.where(F.size("spans") > 0).select("row_id", "owner", "repo", F.explode("spans").alias("s"))
     each = each.select("row_id", "owner", "repo", "s", F.sha2("s.value", 256).alias("value_hash"))
     live = (F.col("n_owners") <= most_owners) & (F.col("n_repos") <= most_owners)
-    return each.join(ownership(each), "value_hash").groupBy("row_id").agg(
+    # From a table, so that a value that very many documents hold can be split where it meets its count.
+    counted = durable(ownership(each), "secret-owners")
+    return each.join(counted, "value_hash").groupBy("row_id").agg(
         F.count(F.when(live, 1)).alias("n_live"), F.count(F.when(~live, 1)).alias("n_common"),
         F.array_sort(F.collect_list(F.when((F.col("s.place") < len(BASE)) | live, F.col("s")))).alias("spans"),
     )
