@@ -106,12 +106,12 @@ def redact(docs: DataFrame, owner: str = "source", repo: str = "source", most_ow
 
     Base kinds are replaced row by row. Only rows with a provider's key meet the corpus-wide counts, by row number.
     """
-    inside = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text", F.col(owner).cast("string").alias("owner"), F.col(repo).cast("string").alias("repo"))
+    inside = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "text", F.col(owner).cast("string").alias("owner"), F.col(repo).cast("string").alias("repo"))
     found = durable(candidates(inside).drop("text").select("*", F.monotonically_increasing_id().alias("row_id")), "secret-rows")
     some = F.exists("spans", lambda s: s["place"] >= len(BASE))
     kept = found.where(some).drop("spans").join(_judged(found.select("row_id", "owner", "repo", "spans"), most_owners).select("row_id", "spans"), "row_id")
-    both = found.where(~some).select("row", "spans").union(kept.select("row", "spans"))
-    out = both.select(*[F.col(f"row.`{c}`") for c in docs.columns if c != "text"], redacted(F.col("row.text"), F.col("spans")).alias("text"))
+    both = found.where(~some).select("__row", "spans").union(kept.select("__row", "spans"))
+    out = both.select(*[F.col(f"__row.`{c}`") for c in docs.columns if c != "text"], redacted(F.col("__row.text"), F.col("spans")).alias("text"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
