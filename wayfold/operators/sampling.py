@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wayfold.functions.draws import hash_hex, uniform
+from wayfold.session import durable
 
 # Leading hash digits that form a bucket: 16**4 buckets.
 BUCKET_DIGITS = 4
@@ -54,19 +55,22 @@ def sample_n(df: DataFrame, key: str | Sequence[str], n: int, seed: int) -> Data
 def sample_frac(df: DataFrame, key, f: float, seed: int, exact: bool = True) -> DataFrame:
     """The share ``f`` of the rows.
 
-    ``exact`` gives round(f * count) rows: whole buckets below the cut are taken as they are and only
-    rows of the bucket at the cut are ranked. Otherwise each row is drawn by its own hash, in one scan.
+    ``exact`` gives round(f * count) rows: buckets are counted once, whole buckets below the cut are taken
+    as they are and only rows of the bucket at the cut are ranked. Otherwise each row is drawn by its own hash, in one scan.
     """
     if not exact:
         return df.where(uniform(_keys(key), seed, "orden") < f)
     hashed = _with_hash(df, key, seed)
-    offsets = _offsets(hashed)
-    wanted = offsets.agg(F.bround(F.sum("_n") * F.lit(float(f)), 0).cast("long").alias("n")).scalar()
-    placed = hashed.join(F.broadcast(offsets.withColumn("_want", wanted)), "_b").where("_before < _want")
-    whole = placed.where("_before + _n <= _want")
-    rank = F.row_number().over(Window.partitionBy("_b").orderBy("_h", *_keys(key)))
-    cut = placed.where("_before + _n > _want").withColumn("_r", rank).where("_before + _r <= _want").drop("_r")
-    return whole.unionByName(cut).select(*df.columns)
+    offsets = durable(_offsets(hashed), "offsets")
+    wanted = offsets.agg(F.bround(F.sum("_n") * F.lit(float(f)), 0).cast("long").alias("n")).first().n or 0
+    cut = offsets.where(F.col("_before") < wanted).orderBy(F.desc("_before")).first()
+    if cut is None:
+        return df.limit(0)
+    # The cut is known by now, so that rows are chosen by a filter on their own hash.
+    if cut["_before"] + cut["_n"] <= wanted:
+        return hashed.where(F.col("_b") <= cut["_b"]).select(*df.columns)
+    rest = hashed.where(F.col("_b") == cut["_b"]).orderBy("_h", *_keys(key)).limit(wanted - cut["_before"])
+    return hashed.where(F.col("_b") < cut["_b"]).unionByName(rest).select(*df.columns)
 
 
 def split(df: DataFrame, key, f: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

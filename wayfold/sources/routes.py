@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wayfold.session import durable
+
 
 def lines(documents: DataFrame, document: str = "value") -> DataFrame:
     """Replace a KML text column by the coordinate text of its first LineString as ``coordenadas``.
@@ -36,6 +38,7 @@ def points(lines: DataFrame) -> DataFrame:
 
 
 def read_routes(spark: SparkSession, path: str) -> DataFrame:
-    """All ``*.kml`` files of a folder as (viaje, punto, latitude, longitude, altitude)."""
+    """All ``*.kml`` files of a folder as (viaje, punto, latitude, longitude, altitude). Files are parsed once: their lines
+    are written, and numbered and cut into points from there."""
     raw = spark.read.text(path, wholetext=True, pathGlobFilter="*.kml").select("value", F.input_file_name().alias("_file"))
-    return points(number_files(lines(raw)))
+    return points(number_files(durable(lines(raw), "routes")))
