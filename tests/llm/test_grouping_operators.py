@@ -27,6 +27,8 @@ def frame(spark, rows):
 def test_archives_round_trip(spark, tmp_path):
     nasty = "WARC/1.1\r\n\r\nContent-Length: 3\r\n\r\n\r\n\r\nx\r\n\r\n"
     bodies = [(1, "u1", "same"), (2, "u\r\n2", "same"), (9, None, "same"), (3, "u3", None), (4, "u4", ""), (5, "u5", nasty), (6, "u6", nasty), (7, "u", "é \n\r"), (8, "u", "z" * 200_000)]
+    # Line ends that run into the break behind a record.
+    bodies += [(10 + k, "u", end) for k, end in enumerate(("a\r\n", "\r\n", "a\r", "\n\r\n", "\r\n\r", "a\r\n\r\n\r\n", "\r\n\r\na", "a\r\n"))]
     records = spark.createDataFrame([(a, b, None if c is None else c.encode(), "x") for a, b, c in bodies], "record_id long, url string, payload binary, holder string")
     for least, name in ((0, "a"), (5, "b")):
         path = f"{tmp_path}/{name}"

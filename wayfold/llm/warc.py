@@ -75,6 +75,13 @@ def write_archives(resolved: DataFrame, path: str, records_per_file: int = 50_00
 
 def parse(lines, out_schema: pa.Schema):
     """Records from (file, piece) batches, where pieces are what stood between two breaks, in file order."""
+    def opened(piece: bytes):
+        """A record's fields and the length of its block; none for what stands between a record and the end of the file."""
+        if not piece:
+            return None, 0
+        fields = dict(part.split(b": ", 1) for part in piece.split(b"\r\n")[1:] if b": " in part)
+        return fields, int(fields[b"Content-Length"])
+
     rows: list[tuple] = []
     size = 0
     file = head = None
@@ -87,18 +94,18 @@ def parse(lines, out_schema: pa.Schema):
                     raise ValueError(f"{file} ends inside a record")
                 file = name
             if head is None:
-                if not piece:
-                    continue
-                head = dict(part.split(b": ", 1) for part in piece.split(b"\r\n")[1:] if b": " in part)
-                want, got, have = int(head[b"Content-Length"]), 0, []
+                head, want = opened(piece)
+                got, have = 0, []
                 continue
             got += len(piece) + (4 if have else 0)
             have.append(piece)
             if got < want:
                 continue
             block = b"\r\n\r\n".join(have)
-            if len(block) != want:
-                raise ValueError(f"{file} has a block of {len(block)} bytes where {want} were said")
+            # A block's last line end and the break behind it hold an earlier break: what follows, up to the next one, is the next head.
+            block, rest = block[:want], block[want:]
+            if rest and not rest.startswith(b"\r\n\r\n"):
+                raise ValueError(f"{file} has no break after a block of {want} bytes")
             payload = block.split(b"\r\n\r\n", 1)[1] if b"\r\n\r\n" in block else b""
             number = lambda key: int(v[14:-1]) if (v := head.get(key)) and v != b"<urn:x-record:none>" else None
             rows.append((
@@ -106,7 +113,8 @@ def parse(lines, out_schema: pa.Schema):
                 head[b"WARC-Payload-Digest"].decode().removeprefix("sha1:"), payload,
             ))
             size += len(payload)
-            head = None
+            head, want = opened(rest[4:])
+            got, have = 0, []
             if size > 1 << 24 or len(rows) >= 5000:
                 yield pa.RecordBatch.from_pydict(dict(zip(out_schema.names, zip(*rows))), schema=out_schema)
                 rows, size = [], 0
