@@ -25,13 +25,19 @@ RECORD = "record_id long, record_type string, url string, refers_to long, payloa
 
 
 def base32_sha1(payload: Column) -> Column:
-    """SHA-1 of a binary column in upper-case base32: five hexadecimal digits are four base32 characters."""
-    digits = F.sha1(payload)
-    chars = []
-    for k in range(8):
-        twenty = F.conv(F.substring(digits, 5 * k + 1, 5), 16, 10).cast("int")
-        chars += [F.substring(F.lit(ALPHABET), F.shiftright(twenty, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
-    return F.concat(*chars)
+    """SHA-1 of a binary column in upper-case base32: five hexadecimal digits are four base32 characters.
+
+    The digits are a lambda's variable, so that a payload is hashed once and not for each character, in a branch too.
+    """
+
+    def spelt(digits: Column) -> Column:
+        chars = []
+        for k in range(8):
+            twenty = F.conv(F.substring(digits, 5 * k + 1, 5), 16, 10).cast("int")
+            chars += [F.substring(F.lit(ALPHABET), F.shiftright(twenty, s).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for s in (15, 10, 5, 0)]
+        return F.concat(*chars)
+
+    return F.transform(F.array(F.sha1(payload)), spelt)[0]
 
 
 def resolve(records: DataFrame, min_bytes: int = 0) -> DataFrame:
