@@ -267,6 +267,12 @@ def test_replies_follow_quotes(spark):
     assert quotes.link(spark.createDataFrame([], "mid long, thread long, seq long, text string")).collect() == []
 
 
+def test_other_line_ends_stay_inside_a_quoted_line(spark):
+    rows = [(1, 1, 0, "one\rtwo\u2028three\nfour"), (2, 1, 1, "answer")]
+    mail = {r.mid: r.text for r in quotes.as_mail(spark.createDataFrame(rows, "mid long, thread long, seq long, text string")).collect()}
+    assert mail[2] == "They wrote:\n> one\rtwo\u2028three\n> four\nanswer"
+
+
 def test_conversations_come_back_from_mail(spark, small):
     turns = {(r.conv_id, r.turn): r for r in spark.read.parquet(f"{small}/conversations.parquet").collect()}
     rows = q.op2_quotation_links(spark, small).collect()

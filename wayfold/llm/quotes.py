@@ -129,7 +129,7 @@ def as_mail(messages: DataFrame) -> DataFrame:
     Of several messages at one place the least text is quoted. Message k is quoted by k + 1, so places are joined, not windows sorted.
     """
     places = messages.where("text is not null").groupBy("thread", "seq").agg(F.min("text").alias("said"))
-    one = places.select("thread", (F.col("seq") + 1).alias("seq"), F.regexp_replace("said", "(?m)^", "> ").alias("q1"))
-    two = places.select("thread", (F.col("seq") + 2).alias("seq"), F.regexp_replace("said", "(?m)^", "> > ").alias("q2"))
+    one = places.select("thread", (F.col("seq") + 1).alias("seq"), F.regexp_replace("said", "(?md)^", "> ").alias("q1"))
+    two = places.select("thread", (F.col("seq") + 2).alias("seq"), F.regexp_replace("said", "(?md)^", "> > ").alias("q2"))
     met = messages.join(one, ["thread", "seq"], "left").join(two, ["thread", "seq"], "left")
     return met.select("mid", "thread", "seq", F.concat_ws("\n", F.when(F.col("q1").isNotNull(), "They wrote:"), "q2", "q1", "text").alias("text"))
