@@ -63,6 +63,23 @@ def test_noise_in_chunks_is_out_of_band(spark):
     assert 4 * rows[2].n_bad_chunks > rows[2].n_chunks
 
 
+def test_chunks_cover_the_whole_text(spark):
+    import random
+
+    assert compression.chunk_spans(4095) == [] and compression.chunk_spans(4096) == [(0, 4096)]
+    assert compression.chunk_spans(4159) == [(0, 4159)] and compression.chunk_spans(8192 + 64) == [(0, 4096), (4096, 8192), (8192, 8256)]
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8)))
+    often = [word() for _ in range(50)]
+    prose = " ".join(rng.choice(often) if rng.random() < 0.4 else word() for _ in range(4000))
+    noise = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(4095))
+    rows = [(1, prose[:4096] + noise), (2, prose[:8191]), (3, prose[:8192] + noise[:3000]), (4, prose[:16384] + noise[:4000]), (5, prose[:11000])]
+    got = {r.doc_id: r for r in compression.compression_bands(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: (r.n_chunks, r.n_bad_chunks) for k, r in got.items()} == {1: (2, 1), 2: (2, 0), 3: (3, 1), 4: (5, 1), 5: (3, 0)}
+    # One bad chunk of three or five: judged by the bytes it holds, 3000 of 11192 and 4000 of 20384.
+    assert got[1].ratio > 1.5 and {k: r.in_band for k, r in got.items()} == {1: False, 2: True, 3: False, 4: True, 5: True}
+
+
 def test_language_held_out_accuracy_and_corner_cases(spark, odd, none, small):
     sf = small.replace("0.001", "0.01")
     docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

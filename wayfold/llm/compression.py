@@ -2,7 +2,8 @@
 
 Text that compresses far better than prose of its length repeats itself; text that hardly compresses is noise. What
 is usual depends on the length, so limits are given by length. A document fails when its whole ratio is outside its
-band, or when more than ``bad_share`` of its chunks are outside the band of a chunk.
+band, or when chunks outside the band of their length hold more than ``bad_share`` of its bytes. Chunks cover the whole
+text: what is left behind the last full one is judged by its own length.
 """
 
 from __future__ import annotations
@@ -68,6 +69,15 @@ def band_of(n_bytes: int, bands=BANDS) -> tuple[float, float] | None:
     return found
 
 
+def chunk_spans(n_bytes: int, chunk_bytes: int = CHUNK_BYTES, bands=BANDS) -> list[tuple[int, int]]:
+    """Where the chunks of a text begin and end; none below one full chunk. A rest too short for a band is part of the last chunk."""
+    rest = n_bytes % chunk_bytes
+    edges = [*range(0, n_bytes - rest + 1, chunk_bytes)]
+    if len(edges) > 1 and rest:
+        edges[len(edges) if band_of(rest, bands) else -1 :] = [n_bytes]
+    return list(zip(edges, edges[1:]))
+
+
 def compression_bands(docs: DataFrame, level: int = LEVEL, chunk_bytes: int = CHUNK_BYTES, bands=BANDS, bad_share: float = BAD_SHARE) -> DataFrame:
     """One row per document with its base measures, whole ratio, chunk counts and verdict ``in_band``.
 
@@ -85,14 +95,14 @@ def compression_bands(docs: DataFrame, level: int = LEVEL, chunk_bytes: int = CH
             if band is None:
                 return size, None if not size else size / len(shrink(text)), 0, 0, True
             ratio = size / len(shrink(text))
-            chunks = bad = 0
-            if size >= 2 * chunk_bytes:
-                low, high = band_of(chunk_bytes, bands) or (0.0, float("inf"))
-                for start in range(0, size - chunk_bytes + 1, chunk_bytes):
-                    part = chunk_bytes / len(shrink(text[start : start + chunk_bytes]))
-                    chunks += 1
-                    bad += not low <= part <= high
-            return size, ratio, chunks, bad, band[0] <= ratio <= band[1] and bad <= bad_share * chunks
+            chunks = bad = bad_bytes = 0
+            for start, end in chunk_spans(size, chunk_bytes, bands):
+                low, high = band_of(end - start, bands) or (0.0, float("inf"))
+                chunks += 1
+                if not low <= (end - start) / len(shrink(text[start:end])) <= high:
+                    bad += 1
+                    bad_bytes += end - start
+            return size, ratio, chunks, bad, band[0] <= ratio <= band[1] and bad_bytes <= bad_share * size
 
         def step(batch: pa.RecordBatch) -> dict:
             texts = [t or b"" for t in raw(batch, "text")]
