@@ -104,6 +104,29 @@ def test_filter_hits_equal_sets_but_for_false_ones(spark):
     assert hits[0][0] == pytest.approx(total[0], abs=1.5)
 
 
+def test_what_is_known_does_not_grow_with_the_corpus(spark):
+    import random
+
+    rng = random.Random(5)
+
+    def words(letters, n):
+        return ["".join(rng.choice(letters) for _ in range(rng.randint(3, 7))) for _ in range(n)]
+
+    often, rare, foreign = words("abcdefghi", 300), words("rstuvwxyz", 3000), " ".join(words("jklmnopq", 40))
+    rows = [(" ".join(rng.choices(often, k=60)), "aa") for _ in range(800)] + [(foreign, "aa")]
+    # Of the small language many n-grams are seen too seldom to be known.
+    small = [" ".join(rng.choices(rare, [1 / (k + 1) for k in range(3000)], k=50)) for _ in range(40)]
+    rows += [(t, "bb") for t in small[:20]]
+    docs = spark.createDataFrame([(0, foreign), (1, " ".join(rng.choices(often, k=30))), *enumerate(small[20:], 2)], "doc_id long, text string")
+    known = []
+    for times in (1, 8):
+        model = language.learn(spark.createDataFrame(rows[:801] * times + rows[801:], "text string, lang string"))
+        assert {r.doc_id for r in language.in_known_language(docs, model).collect()} == set(range(1, 22))
+        known.append((model.words & 1).sum())
+        assert 0.1 < model.least_known[1] < model.least_known[0] <= 0.5
+    assert known[0] == known[1]
+
+
 def tile_brute(item, doc, width):
     """The plain algorithm: scan for the longest unmarked match, mark it, repeat."""
     a, b, covered = [False] * len(item), [False] * len(doc), 0

@@ -20,11 +20,14 @@ from wayfold.llm.batches import map_batches, raw, slices
 GRAM = 4  # bytes
 SLOT_BITS = 21
 HASHES = 3
-#: An n-gram belongs to a language if seen there this often, and at least this share of its rate where it is most common.
-LEAST_SEEN = 5
+#: An n-gram belongs to a language if it is this share of the language's n-grams, and at least this share of its rate where it is most
+#: common. A rate, so that what is known does not grow with the corpus; in small ones it must have been seen this often too.
+LEAST_RATE = 1e-5
+LEAST_SEEN = 3
 LEAST_SHARE = 0.2
-#: Below this corrected share of known n-grams, a text is in none of the languages learned.
-LEAST_KNOWN = 0.25
+#: Below this part of a language's usual corrected share of known n-grams (the median of its own training rows), a text is not in it.
+LEAST_KNOWN = 0.5
+_BINS = 1000
 LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 20
 _SPACED = bytes.maketrans(bytes(range(65)) + bytes(range(91, 97)) + bytes(range(123, 128)), b" " * 76)
@@ -75,21 +78,26 @@ def _pieces(texts: list[bytes | None]):
 
 @dataclass
 class LanguageModel:
-    """Filter words (64 languages each), languages by bit, their false-hit rates, and the commonest language."""
+    """Filter words (64 languages each), languages by bit, their false-hit rates and least known shares, and the commonest language."""
 
     langs: list[str]
     words: np.ndarray
     false_rate: np.ndarray
+    least_known: np.ndarray
     common: str | None
     bits: int = SLOT_BITS
     hashes: int = HASHES
 
 
-def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, least_seen: int = LEAST_SEEN, least_share: float = LEAST_SHARE) -> LanguageModel:
+def learn(
+    docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, least_seen: int = LEAST_SEEN, least_share: float = LEAST_SHARE,
+    least_rate: float = LEAST_RATE, least_known: float = LEAST_KNOWN,
+) -> LanguageModel:
     """Learn from the rows of ``docs`` (``text``, ``lang``) in which neither is null.
 
     N-grams are counted inside tasks and summed by (language, n-gram), which no hot document or source can skew: a task
-    sends at most one row per language and n-gram. The driver gets the filter's slots only, 2**slot_bits at most.
+    sends at most one row per language and n-gram. The driver gets the filter's slots only, 2**slot_bits at most. A second
+    pass over the same rows counts known shares, in ``_BINS`` steps per language.
     """
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
 
@@ -126,7 +134,7 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, lea
     totals = {r.lang: r.seen for r in counts.groupBy("lang").agg(F.sum("seen").alias("seen")).collect()}
     langs = sorted(totals)
     if not langs:
-        return LanguageModel([], np.zeros((0, 1 << slot_bits), np.uint64), np.zeros(0), None, slot_bits, hashes)
+        return LanguageModel([], np.zeros((0, 1 << slot_bits), np.uint64), np.zeros(0), np.zeros(0), None, slot_bits, hashes)
     rate = F.lit(0.0)
     for lang in langs:
         rate = F.when(F.col("lang") == lang, F.col("seen") / F.lit(float(totals[lang]))).otherwise(rate)
@@ -138,7 +146,7 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, lea
         counts.select("gram", "seen", rate.alias("rate"), place.alias("place"))
         .groupBy("gram").agg(F.collect_list(F.struct("place", "rate", "seen")).alias("by"), F.max("rate").alias("most"))  # a struct per language
         .select("gram", F.explode("by").alias("x"), "most")
-        .where((F.col("x.seen") >= least_seen) & (F.col("x.rate") >= least_share * F.col("most")))
+        .where((F.col("x.seen") >= least_seen) & (F.col("x.rate") >= least_rate) & (F.col("x.rate") >= least_share * F.col("most")))
         .select("gram", F.col("x.place").alias("place"))
     )
 
@@ -154,7 +162,33 @@ def learn(docs: DataFrame, slot_bits: int = SLOT_BITS, hashes: int = HASHES, lea
     words = np.zeros(((len(langs) + 63) // 64, 1 << slot_bits), np.uint64)
     words[filled["word"].to_numpy(), filled["slot"].to_numpy()] = filled["bits"].to_numpy().astype(np.int64).view(np.uint64)
     fill = np.array([np.count_nonzero(words[k // 64] >> np.uint64(k % 64) & np.uint64(1)) for k in range(len(langs))]) / (1 << slot_bits)
-    return LanguageModel(langs, words, fill**hashes, max(langs, key=lambda x: totals[x]), slot_bits, hashes)
+    model = LanguageModel(langs, words, fill**hashes, np.zeros(len(langs)), max(langs, key=lambda x: totals[x]), slot_bits, hashes)
+    model.least_known = least_known * _usual_shares(known, model)
+    return model
+
+
+def _usual_shares(known: DataFrame, model: LanguageModel) -> np.ndarray:
+    """Per language, the median of its own rows' corrected share of n-grams that it knows."""
+    shared = known.sparkSession.sparkContext.broadcast(model)
+
+    def count(batches):
+        m = shared.value
+        at = {lang: k for k, lang in enumerate(m.langs)}
+        sums = np.zeros((len(m.langs), _BINS + 1), np.int64)
+        for batch in slices(batches):
+            place = np.array([at.get(x, -1) for x in batch.column("lang").to_pylist()])
+            total, hits = corrected_hits(m, raw(batch, "text"))
+            rows = np.flatnonzero((place >= 0) & (total > 0))
+            share = np.minimum(1, hits[rows, place[rows]] / total[rows])
+            np.add.at(sums, (place[rows], np.round(share * _BINS).astype(np.int64)), 1)
+        place, step = np.nonzero(sums)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(place.astype(np.int32)), "step": pa.array(step.astype(np.int32)), "n": pa.array(sums[place, step])})
+
+    steps = known.mapInArrow(count, "place int, step int, n long").groupBy("place", "step").agg(F.sum("n").alias("n")).toPandas()
+    sums = np.zeros((len(model.langs), _BINS + 1), np.int64)
+    sums[steps["place"].to_numpy(), steps["step"].to_numpy()] = steps["n"].to_numpy()
+    upto = sums.cumsum(axis=1)
+    return (2 * upto >= upto[:, -1:]).argmax(axis=1) / _BINS
 
 
 def _fold(held: dict) -> None:
@@ -217,16 +251,19 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     return map_batches(docs.selectExpr("cast(doc_id as long) doc_id", "text"), make, "doc_id long, lang_pred string, score double, known double")
 
 
-def in_known_language(docs: DataFrame, model: LanguageModel, least_known: float = LEAST_KNOWN) -> DataFrame:
+def in_known_language(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """The rows of ``docs``, all columns as they are, whose text is in one of the languages learned.
 
-    Rejected: null texts, texts without a letter, and texts of whose n-grams no language knows ``least_known``.
+    Rejected: null texts, texts without a letter, and texts of whose n-grams the likeliest language knows less than its own
+    ``least_known``.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    limits = dict(zip(model.langs, model.least_known))
 
     def run(batches):
         for batch in slices(batches):
             langs, _, known = _judge(shared.value, raw(batch, "text"))
-            yield batch.filter(pa.array((np.array(langs, dtype=object) != "und") & (known >= least_known), pa.bool_()))
+            least = np.array([limits.get(x, np.inf) for x in langs])
+            yield batch.filter(pa.array((known > 0) & (known >= least), pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
