@@ -183,6 +183,17 @@ def test_packing_in_rounds_and_corner_cases(spark):
     assert packing.pack(frame(spark, [])).collect() == []
 
 
+def test_packing_splits_at_added_tokens(spark, tmp_path):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    end = "<|endoftext|>"
+    texts = [end, f"a{end}b", f"a {end} b c", f" {end}\n\n{end}{end} ", f"one two{end}three  four", "<|endoftext |>", "<|endoftext", "plain words", f"{'on the way ' * 900}{end} and back", "", None]
+    frame(spark, list(enumerate(texts))).write.parquet(f"{tmp_path}/documents.parquet")
+    check_packing(q.op9_certified_packing(spark, str(tmp_path)).collect(), list(enumerate(texts)), 2048, lambda t: tokenizer.encode(t, add_special_tokens=False).ids)
+
+
 def test_bounds_never_exceed_a_packing():
     rng = random.Random(4)
     for _ in range(300):

@@ -9,6 +9,8 @@ one group holds the rest.
 from __future__ import annotations
 
 import base64
+import json
+import os
 import re
 import zlib
 from array import array
@@ -50,8 +52,23 @@ class _Known(dict):
         return found
 
 
-def encoder(path: str):
-    """A function from text to ids as little-endian 32-bit integers, for a rank file; strings of special tokens are text."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of the JSON form that lies beside a rank file, with their ids; none without such a file."""
+    path = os.path.splitext(path)[0] + ".json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in found):
+        raise ValueError(f"added tokens of {path} that depend on the text around them")
+    return {t["content"]: t["id"] for t in found}
+
+
+def encoder(path: str, specials_as_text: bool = True):
+    """A function from text to ids as little-endian 32-bit integers, for a rank file.
+
+    Strings of added tokens are text, or else split the text and give their own ids, as the tokenizers library does by default.
+    """
     import public_tokenizers
     import tiktoken
 
@@ -68,19 +85,28 @@ def encoder(path: str):
         first, *rest = text.split(" ")
         return encode(first) + b"".join(map(known.__getitem__, rest))
 
-    return ids
+    added = {} if specials_as_text else {t: k.to_bytes(4, "little") for t, k in added_tokens(path).items()}
+    if not added:
+        return ids
+    border = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def split_ids(text: str) -> bytes:
+        parts = border.split(text)  # texts and added tokens by turns
+        return ids(text) if len(parts) == 1 else b"".join(added[part] if at % 2 else ids(part) for at, part in enumerate(parts))
+
+    return split_ids
 
 
-def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False, specials_as_text: bool = True) -> DataFrame:
     """Token pieces of every document: its ids and an end mark, cut from the back into ``capacity`` tokens.
 
     The first piece takes the remainder. A null text is an empty one: its only token is the end mark. ``with_ids`` adds the
-    ids themselves (``array<int>``). Map only; repeated rows give repeated pieces.
+    ids themselves (``array<int>``). ``specials_as_text`` is that of ``encoder``. Map only; repeated rows give repeated pieces.
     """
     path = path or vocabulary()
 
     def make():
-        encode = encoder(path)
+        encode = encoder(path, specials_as_text)
         end = END.to_bytes(4, "little")
 
         def step(batch: pa.RecordBatch) -> dict:
@@ -193,8 +219,8 @@ def _packer(names: list[str], capacity: int, turn: int, last: bool, given_up: in
 
 
 def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with the sequence and the offset that each is placed at."""
-    return place(pieces(docs, path, capacity, with_ids), capacity)
+    """Pieces of all documents with the sequence and the offset that each is placed at; strings of added tokens get their own ids."""
+    return place(pieces(docs, path, capacity, with_ids, specials_as_text=False), capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:
