@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import alignment, compression, language, packing, quotes, secrets, simhash, suffixes, tiling, toxicity, warc
+from wayfold.llm import alignment, compression, language, packing, quotes, secrets, simhash, suffixes, tiling, toxicity, warc, whitening
 from wayfold.llm.batches import held_out
 from wayfold.session import durable
 
@@ -93,6 +93,11 @@ def op10_owned_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of all usable embeddings."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between two tokenizers' tokens of every document."""
     return alignment.align(table(spark, sf_dir, "documents"))
@@ -103,7 +108,7 @@ QUERIES = {
     for f in (
         op1_compression_bands, op2_quotation_links, op3_language_bitmask, op4_warc_revisits, op5_suffix_merge, op6_simhash_balls,
         op7_string_tiling, op8_toxic_grammar, op9_certified_packing, op10_owned_secrets,
-        op13_tokenizer_alignment,
+        op11_embedding_whitening, op13_tokenizer_alignment,
     )
 }
 _BASE32 = " || ".join(f"substr('{warc.ALPHABET}', CAST((v >> {shift}) & 31 AS INT) + 1, 1)" for shift in (15, 10, 5, 0))
