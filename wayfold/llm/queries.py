@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayfold.llm import alignment, compression, language, packing, quotes, secrets, simhash, suffixes, tiling, toxicity, warc, whitening
+from wayfold.llm import alignment, compression, language, mixing, packing, quotes, secrets, simhash, suffixes, tiling, toxicity, warc, whitening
 from wayfold.llm.batches import held_out
 from wayfold.session import durable
 
@@ -98,6 +100,16 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of every document, learned from the rows whose id's check sum is no multiple of ten."""
+    left_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10 == 0, F.lit(False))
+    found = mixing.score(table(spark, sf_dir, "documents"), ~left_out)
+    return found.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score",
+        F.try_divide(-F.col("score") / math.log10(2), F.col("n_bytes")).alias("bits_per_byte"),
+    )
+
+
 def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links between two tokenizers' tokens of every document."""
     return alignment.align(table(spark, sf_dir, "documents"))
@@ -108,7 +120,7 @@ QUERIES = {
     for f in (
         op1_compression_bands, op2_quotation_links, op3_language_bitmask, op4_warc_revisits, op5_suffix_merge, op6_simhash_balls,
         op7_string_tiling, op8_toxic_grammar, op9_certified_packing, op10_owned_secrets,
-        op11_embedding_whitening, op13_tokenizer_alignment,
+        op11_embedding_whitening, op12_context_mixing, op13_tokenizer_alignment,
     )
 }
 _BASE32 = " || ".join(f"substr('{warc.ALPHABET}', CAST((v >> {shift}) & 31 AS INT) + 1, 1)" for shift in (15, 10, 5, 0))
