@@ -20,6 +20,12 @@ def contexts(data: bytes, at: int):
     yield "word", before[start:]
 
 
+def side(counter: Counter, byte: int, k: int) -> float:
+    """Log odds, in steps, that bit ``k`` is as in ``byte``, given the bits before it."""
+    here, taken = (sum(c for b, c in counter.items() if b >> s == byte >> s) for s in (8 - k, 7 - k))
+    return max(-127, min(127, round(math.log((taken + mixing.PRIOR) / (here - taken + mixing.PRIOR)) / mixing.STEP))) * mixing.STEP
+
+
 def plain(texts, learned):
     """Counts in a dictionary, then every text by itself, byte by byte and bit by bit."""
     following = {}
@@ -43,20 +49,13 @@ def plain(texts, learned):
             refined = [[1 / (1 + math.exp(-((k + 0.5) * width - mixing.FARTHEST))) for k in range(mixing.BUCKETS)] for _ in range(8)]
             for t, byte in enumerate(text[start : start + mixing.SEGMENT]):
                 known = [following.get(c, Counter()) for c in contexts(text, start + t)]
-                gate = sum(1 for c in known if c)
+                predictions = [[side(counter, byte, k) for k in range(8)] for counter in known]
+                gate = sum(any(own) for own in predictions)
                 learned = np.zeros(mixing.K)
                 rate = max(mixing.RATE / (1 + t / 64), mixing.LEAST_RATE)
                 for k in range(8):
-                    bit, prefix = byte >> (7 - k) & 1, byte >> (8 - k)
-                    x = []
-                    for counter in known:
-                        sides = [0, 0]
-                        for b, c in counter.items():
-                            if b >> (8 - k) == prefix:
-                                sides[b >> (7 - k) & 1] += c
-                        odds = math.log((sides[1] + mixing.PRIOR) / (sides[0] + mixing.PRIOR))
-                        x.append(max(-127, min(127, round(odds / mixing.STEP))) * mixing.STEP)
-                    x = np.array(x)
+                    bit = byte >> (7 - k) & 1
+                    x = np.array([own[k] * (1 if bit else -1) for own in predictions])
                     dot = min(max(float(weights[gate] @ x), -mixing.FARTHEST + 1e-3), mixing.FARTHEST - 1e-3)
                     p, cell = 1 / (1 + math.exp(-dot)), int((dot + mixing.FARTHEST) / width)
                     final = p + mixing.MAP_SHARE * (refined[k][cell] - p)
@@ -111,6 +110,15 @@ def test_scores_do_not_hang_on_blocks(spark, monkeypatch):
 def test_predictions_come_from_exact_counts():
     keys = np.array([(5 << 8) | 65, (5 << 8) | 66, (9 << 8) | 65], np.uint64)
     found = mixing.bit_predictions(keys, np.array([3, 1, 0]))
-    assert found[:, 8].tolist() == [1, 1, 0] and found[2, :8].tolist() == [0] * 8
-    odds = lambda one, zero: round(math.log((one + mixing.PRIOR) / (zero + mixing.PRIOR)) / mixing.STEP)
-    assert found[0, 0] == odds(0, 4) and found[0, 1] == odds(4, 0) and found[0, 7] == odds(3, 0) and found[0, 6] == found[1, 6] == odds(1, 3)
+    assert found[2].tolist() == [0] * 8
+    odds = lambda own, other: round(math.log((own + mixing.PRIOR) / (other + mixing.PRIOR)) / mixing.STEP)
+    assert found[0].tolist() == [odds(4, 0)] * 6 + [odds(3, 1), odds(3, 0)] and found[1].tolist() == [odds(4, 0)] * 6 + [odds(1, 3), odds(1, 0)]
+
+
+def test_keys_are_packed_without_loss():
+    rng = np.random.default_rng(1)
+    keys = np.unique(np.concatenate([rng.integers(0, 1 << 52, 3000, np.uint64), np.arange(300, dtype=np.uint64) + np.uint64(7 << 30)]))
+    assert (mixing._unpack_keys(mixing._pack_keys(keys)) == keys).all() and len(mixing._unpack_keys(b"")) == 0
+    where = mixing._Places(keys)
+    wanted = rng.choice(keys, 5000)
+    assert (keys[where.of(wanted)] == wanted).all()

@@ -1,7 +1,7 @@
 """Language-model scores by online logistic mixing of hashed contexts.
 
 A text is the bytes of its lower-cased words, a space behind each, and an end mark. Bit predictors hang on hashed contexts:
-the last two to four bytes, and the word so far. What they know are counts of next bytes over all training texts, gathered by
+the last two and four bytes, and the word so far. What they know are counts of next bytes over all training texts, gathered by
 shards of the hash range, so that the table grows with the corpus and never lies whole anywhere: a block of documents sends
 its distinct contexts with its own counts to their shards, each shard adds up what all blocks have, and the bit predictions
 come back to the blocks that asked. Within a text the predictions are mixed by weights chosen by how many contexts are known
@@ -28,21 +28,20 @@ from wayfold.llm.batches import raw, slices
 from wayfold.session import durable
 
 #: Byte contexts by length; the word so far is one more.
-ORDERS = (2, 3, 4)
+ORDERS = (2, 4)
 K = len(ORDERS) + 1
 #: Weights and the refining map begin anew after so many bytes of a text, so that long texts are as parallel as short ones.
 SEGMENT = 1024
 #: Bytes of text in a block (and one text more at most), in what is sorted and in what is mixed at once, and for a shard of the table.
-BLOCK, SORTED, MIXED, SHARD = 1 << 24, 1 << 20, 1 << 21, 1 << 22
-HASH_BITS = 44
+BLOCK, SORTED, MIXED, SHARD = 1 << 24, 1 << 19, 1 << 20, 1 << 22
 #: Added to the counts of both sides of a bit; steps of the eight-bit form of a log odds; bounds of the mixed log odds.
 PRIOR, STEP, FARTHEST = 0.03, 1 / 12, 11.0
 START_WEIGHT, RATE, LEAST_RATE = 0.35, 0.02, 0.004
 BUCKETS, MAP_RATE, MAP_SHARE = 25, 0.02, 0.25
 BASE_PRIOR = 0.1
 END = b"\n"
-#: The bits of every byte, highest first.
-BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).T.astype(np.float32)
+#: The bits of every byte, highest first, as 1 and -1.
+SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).T.astype(np.float32) * 2 - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PARTS = (
     "block long, shard int, ids array<long>, learn array<boolean>, sizes array<int>, payload binary, counts binary, words binary, word_counts binary"
@@ -63,36 +62,52 @@ def as_bytes(words: list[bytes]) -> bytes:
     return b" ".join(words) + b" \n" if words else b"\n"
 
 
-def _hashed(h: np.ndarray, order: int) -> np.ndarray:
-    h = (h + np.uint64(order + 1)) * _MIX
+def hash_bits(n_bytes: int) -> int:
+    """Bits of a hashed context for a corpus of so many bytes: some hundred slots for each byte."""
+    return min(max(n_bytes.bit_length() + 8, 32), 48)
+
+
+def _hashed(h: np.ndarray, order: int, bits: int) -> np.ndarray:
+    h += np.uint64(order + 1)
+    h *= _MIX
     h ^= h >> np.uint64(32)
     h *= _ODD
-    return h >> np.uint64(64 - HASH_BITS)
+    h >>= np.uint64(64 - bits)
+    return h
+
+
+_powers: list[np.ndarray] = [np.zeros(0, np.uint64)] * 2
 
 
-def context_keys(buffer: np.ndarray) -> Iterator[np.ndarray]:
-    """Hashed context and next byte for every place of texts that each begin behind ``_PAD``; one array per predictor."""
+def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd factor and of its inverse modulo 2**64, kept for the next call."""
+    if len(_powers[0]) < n:
+        for k, base in enumerate((int(_ODD), pow(int(_ODD), -1, 1 << 64))):
+            _powers[k] = np.full(n, np.uint64(base), np.uint64)
+            _powers[k][0] = 1
+            np.multiply.accumulate(_powers[k], out=_powers[k])
+    return _powers[0][:n], _powers[1][:n]
+
+
+def context_keys(buffer: np.ndarray, bits: int) -> Iterator[np.ndarray]:
+    """Context of ``bits`` bits and next byte for every place of texts that each begin behind ``_PAD``; one array per predictor."""
     n, byte = len(buffer), buffer.astype(np.uint64)
     h = np.zeros(n, np.uint64)
     for k in range(1, max(ORDERS) + 1):
         h *= _ODD
         h[k:] += byte[: n - k] + np.uint64(1)
         if k in ORDERS:
-            yield _hashed(h, k) << np.uint64(8) | byte
+            yield _hashed(h.copy(), k, bits) << np.uint64(8) | byte
     # The word so far: differences of a polynomial sum, divided by the power at the word's start.
-    power = np.full(n + 1, _ODD, np.uint64)
-    power[0] = 1
-    np.multiply.accumulate(power, out=power)
+    power, inverse = _powers_of(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((byte + np.uint64(1)) * power[:n], out=total[1:])
     border = (buffer == 32) | (buffer == 10)
-    start = np.zeros(n, np.int64)
-    start[1:] = np.maximum.accumulate(np.where(border[:-1], np.arange(1, n), 0))
-    del power
-    inverse = np.full(n + 1, np.uint64(pow(int(_ODD), -1, 1 << 64)), np.uint64)
-    inverse[0] = 1
-    np.multiply.accumulate(inverse, out=inverse)
-    yield _hashed((total[:n] - total[start]) * inverse[start], 99) << np.uint64(8) | byte
+    start = np.zeros(n, np.int32)
+    start[1:] = np.maximum.accumulate(np.where(border[:-1], np.arange(1, n, dtype=np.int32), 0))
+    h = total[:n] - total.take(start)
+    h *= inverse.take(start)
+    yield _hashed(h, 99, bits) << np.uint64(8) | byte
 
 
 def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,11 +138,25 @@ def _unpacked(data: bytes, dtype, width: int = 1) -> np.ndarray:
 
 
 def _pack_keys(keys: np.ndarray) -> bytes:
-    return _packed(np.diff(keys, prepend=np.uint64(0)))
+    """Sorted distinct keys as gaps between contexts, number of next bytes of each, and next bytes."""
+    if not len(keys):
+        return b""
+    contexts = keys >> np.uint64(8)
+    at = _runs(contexts)
+    gaps = np.diff(contexts[at], prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T
+    many = (np.diff(np.append(at, len(keys))) - 1).astype(np.uint8)  # 1 to 256 next bytes
+    head = np.array([len(at)], np.int64).tobytes()
+    return zstandard.ZstdCompressor(1).compress(head + gaps.tobytes() + many.tobytes() + keys.astype(np.uint8).tobytes())
 
 
 def _unpack_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+    if not data:
+        return np.zeros(0, np.uint64)
+    data = zstandard.ZstdDecompressor().decompress(data)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
+    gaps = np.ascontiguousarray(np.frombuffer(data, np.uint8, 8 * n, 8).reshape(8, n).T).view(np.uint64).ravel()
+    many = np.frombuffer(data, np.uint8, n, 8 + 8 * n).astype(np.int64) + 1
+    return np.repeat(np.cumsum(gaps, dtype=np.uint64), many) << np.uint64(8) | np.frombuffer(data, np.uint8, -1, 8 + 9 * n)
 
 
 def _runs(keys: np.ndarray) -> np.ndarray:
@@ -181,7 +210,7 @@ def _by_shard(words: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
     return found
 
 
-def gather(docs: DataFrame, learn: Column, shards: int) -> DataFrame:
+def gather(docs: DataFrame, learn: Column, shards: int, bits: int) -> DataFrame:
     """Blocks of documents: their bytes, and by shard their contexts and words with training counts."""
     schema = to_arrow_schema(StructType.fromDDL(PARTS))
 
@@ -207,14 +236,14 @@ def gather(docs: DataFrame, learn: Column, shards: int) -> DataFrame:
                 part = [t for t, l in zip(texts, learns) if l is own]
                 for at in _split(part, SORTED):
                     buffer, scored = _padded(part[at])
-                    for keys in context_keys(buffer):
+                    for keys in context_keys(buffer, bits):
                         counted.add(keys[scored], own)
             keys, counts = counted.merged()
             yield rows(
                 block=[turn], ids=[ids], learn=[learns], sizes=[[len(t) for t in texts]],
                 payload=[zstandard.ZstdCompressor(3).compress(b"".join(texts))],
             )
-            shard = ((keys >> np.uint64(16)) * np.uint64(shards) >> np.uint64(HASH_BITS - 8)).astype(np.int32)
+            shard = ((keys >> np.uint64(16)) * np.uint64(shards) >> np.uint64(bits - 8)).astype(np.int32)
             bounds, named = np.searchsorted(shard, np.arange(shards + 1)), _by_shard(words, shards)
             present = sorted({*shard[_runs(shard)].tolist(), *named})
             for k in range(0, len(present), 256):
@@ -243,11 +272,11 @@ def gather(docs: DataFrame, learn: Column, shards: int) -> DataFrame:
 
 
 def bit_predictions(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """For each sorted distinct key nine small numbers: the log odds of a set bit at each bit of its byte, and a sign of being known.
+    """For each sorted distinct key, at each bit of its byte, the log odds of that bit as the byte has it, as a small number.
 
     A key is a context and a next byte; the count of each bit's two sides is what the keys below them add up to.
     """
-    found = np.empty((len(keys), 9), np.int8)
+    found = np.empty((len(keys), 8), np.int8)
     total = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
 
     def below(bits: int) -> np.ndarray:
@@ -257,12 +286,10 @@ def bit_predictions(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.repeat(total[ends] - total[at], ends - at)
 
     here = below(8)
-    found[:, 8] = here > 0
     for k in range(8):
         taken = below(7 - k)
-        one = (keys >> np.uint64(7 - k) & np.uint64(1)).astype(bool)
         odds = np.log((taken + PRIOR) / (here - taken + PRIOR))
-        found[:, k] = np.clip(np.rint(np.where(one, odds, -odds) / STEP), -127, 127)
+        found[:, k] = np.clip(np.rint(odds / STEP), -127, 127)
         here = taken
     return found
 
@@ -344,12 +371,14 @@ class _Places:
         return found
 
 
-def mix(buffer: np.ndarray, places: np.ndarray, values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probability of each segment of ``buffer``; all segments are walked at once, a byte at a time.
 
-    ``places`` says where in ``values`` each predictor's bit predictions for a place of the buffer stand. Segments must come
-    longest first. Every segment has its own weights, one set for each number of known contexts, and its own refining map
-    for each bit of a byte. All bits of a byte are coded before what they teach is added to the weights.
+    ``places`` says where in ``odds`` each predictor's bit predictions for a place of the buffer stand; eight in one whole
+    number, none but zeros for a context that is not known. Segments must come longest first. Every segment has its own
+    weights, one set for each number of known contexts, and its own refining map for each bit of a byte. All bits of a byte
+    are coded before what they teach is added to the weights. Log odds are those of the bit that came, so an error is what
+    its probability lacks; only the map is about set bits.
     """
     n = len(starts)
     weights = np.full((K + 1) * K * n, START_WEIGHT, np.float32)
@@ -357,42 +386,40 @@ def mix(buffer: np.ndarray, places: np.ndarray, values: np.ndarray, starts: np.n
     refined = np.tile((1 / (1 + np.exp(-centres))).astype(np.float32), 8 * n)
     found = np.zeros(n)
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left") if n else []
-    odds, seen = np.ascontiguousarray(values[:, :8]).view(np.int64).ravel(), np.ascontiguousarray(values[:, 8])
-    lanes = np.arange(n)
-    sets = np.arange(K)[:, None] * n + lanes
-    cells = (np.arange(8)[:, None] * n + lanes) * BUCKETS
-    bound, bucket_of = np.float32(FARTHEST - 1e-3), np.float32(BUCKETS / (2 * FARTHEST))
+    lanes = np.arange(n, dtype=np.int32)
+    sets = lanes[:, None] + np.arange(K, dtype=np.int32) * n
+    cells = (np.arange(8, dtype=np.int32)[:, None] * n + lanes) * BUCKETS
+    bound, bucket_of, middle = np.float32(FARTHEST - 1e-3), np.float32(BUCKETS / (2 * FARTHEST)), np.float32(BUCKETS / 2)
     for t, a in enumerate(active):
         at = starts[:a] + t
-        place = places.take(at, axis=1)
-        own = seen.take(place).sum(0) * (K * n) + sets[:, :a]
-        x = np.ascontiguousarray(odds.take(place).view(np.int8).reshape(K, a, 8).transpose(2, 0, 1)).astype(np.float32)
+        eight = odds.take(places.take(at, axis=0))
+        own = (np.count_nonzero(eight, axis=1).astype(np.int32) * (K * n))[:, None] + sets[:a]
+        x = np.ascontiguousarray(eight.view(np.int8).reshape(a, K, 8).transpose(2, 1, 0)).astype(np.float32)
         x *= np.float32(STEP)
-        bit = BITS.take(buffer.take(at), axis=1)
-        w = weights.take(own)
+        sign = SIGNS.take(buffer.take(at), axis=1)
+        w = weights.take(own.T)
         moved = x * w
         total = moved.sum(1)
         np.maximum(total, -bound, out=total)
         np.minimum(total, bound, out=total)
-        cell = ((total + np.float32(FARTHEST)) * bucket_of).astype(np.int64)
+        cell = (total * sign * bucket_of + middle).astype(np.int32)
         cell += cells[:, :a]
         np.negative(total, out=total)
         np.exp(total, out=total)
         total += 1
         p = np.reciprocal(total, out=total)
-        map_p = refined.take(cell)
-        error = bit - p
-        # The chance of what came: the mixed probability, drawn towards the map's.
+        set_p = refined.take(cell)
+        # The map's probability of the bit that came; the mixed one is drawn towards it.
+        map_p = (set_p - np.float32(0.5)) * sign + np.float32(0.5)
         chance = p + np.float32(MAP_SHARE) * (map_p - p)
-        chance += bit
-        chance -= 1
-        found[:a] += np.log(np.abs(chance).prod(0, dtype=np.float64))
-        map_p += np.float32(MAP_RATE) * (bit - map_p)
-        refined[cell] = map_p
-        error *= np.float32(max(RATE / (1 + t / 64), LEAST_RATE))
+        found[:a] += np.log(chance.prod(0, dtype=np.float64))
+        map_p -= 1
+        set_p -= np.float32(MAP_RATE) * map_p * sign
+        refined[cell] = set_p
+        error = (1 - p) * np.float32(max(RATE / (1 + t / 64), LEAST_RATE))
         np.multiply(x, error[:, None], out=moved)
         w += moved.sum(0)
-        weights[own] = w
+        weights[own.T] = w
     return found
 
 
@@ -408,22 +435,22 @@ def _segments(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts[order], lengths[order], docs[order]
 
 
-def log_probabilities(texts: list[bytes], keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+def log_probabilities(texts: list[bytes], keys: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
     """Base-10 log probability of each text, given the bit predictions of all its keys."""
-    where, found = _Places(keys), []
+    where, odds, found = _Places(keys), np.ascontiguousarray(values).view(np.int64).ravel(), []
     for at in _split(texts, MIXED):
         buffer, scored = _padded(texts[at])
-        places = np.zeros((K, len(buffer)), np.int32)
-        for k, wanted in enumerate(context_keys(buffer)):
-            places[k, scored] = where.of(wanted[scored])
+        places, scored = np.zeros((len(buffer), K), np.int32), np.flatnonzero(scored)
+        for k, wanted in enumerate(context_keys(buffer, bits)):
+            places[scored, k] = where.of(wanted.take(scored))
         starts, lengths, docs = _segments([len(t) for t in texts[at]])
-        of_segments = mix(buffer, places, values, starts, lengths)
+        of_segments = mix(buffer, places, odds, starts, lengths)
         order = np.lexsort((starts, docs))
         found.append(np.add.reduceat(of_segments[order], _runs(docs[order])))
     return np.concatenate(found) / math.log(10) if found else np.zeros(0)
 
 
-def _score(n_tokens: int, n_distinct: int, shards: int):
+def _score(n_tokens: int, n_distinct: int, shards: int, bits: int):
     """A function that scores the documents of one block from its bytes, word counts and bit predictions."""
     schema = to_arrow_schema(StructType.fromDDL(RESULT))
 
@@ -436,21 +463,25 @@ def _score(n_tokens: int, n_distinct: int, shards: int):
         del data
         answers = table.filter(pa.compute.is_valid(table.column("shard"))).sort_by("shard")
         keys = np.concatenate([_unpack_keys(p) for p in answers.column("payload").to_pylist()])
-        values = np.concatenate([_unpacked(v, np.int8, 9) for v in answers.column("values").to_pylist()])
-        score = log_probabilities(texts, keys, values)
-        split = [text.split(b" ") for text in texts]
+        values = np.concatenate([_unpacked(v, np.int8, 8) for v in answers.column("values").to_pylist()])
+        score = log_probabilities(texts, keys, values, bits)
+        del keys, values
         # The block's words by shard, in the order of their first place, as it asked for them.
-        named, counts = _by_shard(dict.fromkeys(word for words in split for word in words), shards), {}
+        named = _by_shard(dict.fromkeys(word for text in texts for word in text.split(b" ")), shards)
+        whole, logs, unknown = n_tokens + BASE_PRIOR * (n_distinct + 1), {}, set()
         for shard, known in zip(answers.column("shard").to_pylist(), answers.column("word_counts").to_pylist()):
-            counts.update(zip(named.pop(shard, []), _unpacked(known, np.int64).tolist()))
-        whole = n_tokens + BASE_PRIOR * (n_distinct + 1)
-        logs = {word: math.log10((c + BASE_PRIOR) / whole) for word, c in counts.items()}
-        unknown = {word for word, c in counts.items() if c == 0}
+            counts, words = _unpacked(known, np.int64), named.pop(shard, [])
+            logs.update(zip(words, np.log10((counts + BASE_PRIOR) / whole).tolist()))
+            unknown.update(words[at] for at in np.flatnonzero(counts == 0).tolist())
+        of_docs = []
+        for text, own in zip(texts, head["learn"]):
+            words = text.split(b" ")
+            base = float(np.fromiter(map(logs.__getitem__, words), float, len(words)).sum())
+            of_docs.append((len(words), len(words) - (0 if own else sum(map(unknown.__contains__, words))), base))
+        n, known, base = (list(c) for c in zip(*of_docs))
         return pa.Table.from_pydict({
-            "doc_id": head["ids"], "learned": head["learn"], "n_tokens": [len(s) for s in split],
-            "n_known": [len(s) - sum(map(unknown.__contains__, s)) if unknown else len(s) for s in split],
-            "train_tokens": [n_tokens] * len(texts), "base_score": [math.fsum(map(logs.__getitem__, s)) for s in split],
-            "score": score, "n_bytes": [len(t) for t in texts],
+            "doc_id": head["ids"], "learned": head["learn"], "n_tokens": n, "n_known": known, "train_tokens": [n_tokens] * len(texts),
+            "base_score": base, "score": score, "n_bytes": [len(t) for t in texts],
         }, schema=schema)
 
     return run
@@ -468,7 +499,8 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
     if size["last"] is None:
         return docs.sparkSession.createDataFrame([], RESULT)
     shards = min((size["bytes"] or 0) // SHARD + size["last"] + 1, 1 << 28)
-    parts = durable(gather(docs, learn, shards), "contexts")
+    bits = hash_bits(size["bytes"] or 0)
+    parts = durable(gather(docs, learn, shards, bits), "contexts")
     asked = parts.where(F.col("shard").isNotNull())
     words = asked.select("shard", "words", "word_counts").groupBy("shard").applyInArrow(_vocabulary, "n long, v long")
     known = words.agg(F.sum("n").alias("n"), F.sum("v").alias("v")).first()
@@ -476,4 +508,4 @@ def score(docs: DataFrame, learn: Column) -> DataFrame:
         _answer(), "block long, shard int, payload binary, values binary, word_counts binary",
     )
     rows = parts.where(F.col("ids").isNotNull()).select("block", "ids", "learn", "sizes", "payload").unionByName(answers, allowMissingColumns=True)
-    return rows.groupBy("block").applyInArrow(_score(known["n"], known["v"], shards), RESULT)
+    return rows.groupBy("block").applyInArrow(_score(known["n"], known["v"], shards, bits), RESULT)
