@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -13,6 +14,7 @@ import xxhash
 
 from wayfold.llm import graph, packing, quotes, secrets, simhash, warc
 from wayfold.llm import queries as q
+from wayfold.session import durable
 
 DOCS = "doc_id long, text string, lang string, source string, root long, n_chars long"
 
@@ -102,7 +104,7 @@ def test_links_connect_what_is_close(spark, bits):
     links = simhash.links(spark.createDataFrame([(p,) for p in signed], "fp long"), bits)
     found = {r.node: r.root for r in graph.components(links).collect()}
     assert all((signed[r.a] ^ signed[r.b]).bit_count() <= bits for r in links.collect())
-    want = groups_of(signed, bits) if False else groups_of({k: v for k, v in signed.items()}, bits)
+    want = groups_of(signed, bits)
     assert {k: found.get(k, k) for k in signed} == want
 
 
@@ -204,6 +206,56 @@ def test_bounds_never_exceed_a_packing():
     assert packing.lower_bound(np.array([33] * 10), 64) == 10 and packing.lower_bound(np.array([22] * 9), 64) == 5
 
 
+def fewest_bins(items, capacity):
+    """Least number of bins by trying all packings."""
+    best = len(items)
+
+    def place(at, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if at == len(items):
+            best = len(rooms)
+            return
+        for room in {r for r in rooms if r >= items[at]}:
+            rest = list(rooms)
+            rest[rest.index(room)] -= items[at]
+            place(at + 1, rest)
+        place(at + 1, [*rooms, capacity - items[at]])
+
+    place(0, [])
+    return best
+
+
+def test_bounds_lie_under_the_best_packing():
+    rng = random.Random(6)
+    for k in range(200):
+        capacity = rng.randint(10, 60)
+        low, high = ((1, capacity), (capacity // 4 or 1, capacity // 2 + 1))[k % 2]
+        items = sorted((rng.randint(low, high) for _ in range(rng.randint(1, 9))), reverse=True)
+        bins, offsets, fill, bound = packing.packed_group(np.array(items), capacity)
+        assert bound <= fewest_bins(items, capacity) <= len(fill) and fill.max() <= capacity
+        for own in range(len(fill)):
+            inside = sorted((o, length) for b, o, length in zip(bins, offsets, items) if b == own)
+            assert [o for o, _ in inside] == [sum(n for _, n in inside[:i]) for i in range(len(inside))]
+
+
+def test_mixes_that_leave_gaps_are_packed_in_few_rounds(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(packing, "durable", lambda df, label: rounds.append(label) or durable(df, label))
+    rng = random.Random(7)
+    lengths = [rng.choice([684, 684, 681]) for _ in range(3000)]
+    sized = spark.createDataFrame([(k, n, 5, True) for k, n in enumerate(lengths)], "doc_id long, length long, offset int, certified boolean")
+    placed = packing.place(sized, group_rows=200)
+    rows = placed.collect()
+    used, least = packing.certificate(placed)
+    assert len(rows) == 3000 and used == len({r.sequence_id for r in rows}) <= 1.02 * least
+    assert rounds.count("packed") <= math.log2(15) + 2
+    assert all(r.bound > 0 for r in rows) and any(r.certified for r in rows)
+    _, _, fill, bound = packing.packed_group(np.array([684] * 100 + [681] * 49))
+    assert len(fill) == bound == 63
+
+
 # --- secrets
 
 
