@@ -49,12 +49,12 @@ def km(a, b, c, d):
     return 6378.137 * (1 - f) * big * (sigma - shift)
 
 
-def loop(vs, us, seconds, radius, remember=False, per_vehicle=False):
-    """Every vehicle ping looks at every user ping of its window and trip, in order."""
+def loop(vs, us, seconds, radius, remember=False, per_vehicle=False, shared=False):
+    """Every vehicle ping looks at every user ping of its window and trip, in order; a memory is a trip's or, if shared, everyone's."""
     out, kept = set(), {}
     slot = lambda t: int((t - START).total_seconds()) // seconds
     for w, trip in sorted({(slot(v[1]), v[2]) for v in vs}):
-        matched, full = kept.setdefault(trip, (set(), set())) if remember else (set(), set())
+        matched, full = kept.setdefault(0 if shared else trip, (set(), set())) if remember else (set(), set())
         seated = {}
         users = sorted((u for u in us if slot(u[1]) == w and u[2] == trip), key=lambda u: (u[1], u[3], u[0]))
         for v in sorted((v for v in vs if slot(v[1]) == w and v[2] == trip), key=lambda v: (v[1], v[3], v[0])):
@@ -109,6 +109,37 @@ def test_busy_window_is_sliced_with_the_same_result(spark):
     assert result(M.greedy_match(v, u, "60 seconds", 3.0, max_fold=500)) == loop(vs, us, 60, 3.0)
 
 
+@pytest.mark.parametrize("max_fold", [20, 400])
+def test_seats_per_vehicle_in_slices(spark, max_fold):
+    vs, us = data(13, pings=90, hot=0.5, minutes=2)
+    v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+    assert result(M.greedy_match(v, u, "60 seconds", 3.0, seat_scope="vehicle", max_fold=max_fold)) == loop(vs, us, 60, 3.0, per_vehicle=True)
+
+
+def test_one_memory_for_all_trips(spark):
+    vs, us = data(14, pings=120, minutes=3)
+    v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+    expected = loop(vs, us, 15, 3.0, remember=True, shared=True)
+    assert result(M.greedy_match_shared_memory(v, u, "15 seconds", 3.0)) == expected != loop(vs, us, 15, 3.0, remember=True)
+
+
+def test_pairs_of_a_busy_window_are_not_all_made(spark, monkeypatch):
+    made, candidates = [], M.candidates
+
+    def counted(*args, **kwargs):
+        pairs = candidates(*args, **kwargs)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(M, "candidates", counted)
+    rnd = random.Random(4)
+    place = lambda: (39.45 + rnd.uniform(0, 0.005), -0.40 + rnd.uniform(0, 0.005))
+    vs = [(k, START + dt.timedelta(seconds=rnd.randrange(3000)), 1, k, 60, *place(), *place()) for k in range(300)]
+    us = [(k, START + dt.timedelta(seconds=rnd.randrange(3000)), 1, k, *place(), 5.0, "Bizum") for k in range(400)]
+    got = result(M.greedy_match(spark.createDataFrame(vs, V), spark.createDataFrame(us, U), "60 minutes", 3.0, max_fold=2000))
+    assert got == loop(vs, us, 3600, 3.0) and 400 <= sum(made) < 300 * 400 / 10
+
+
 def test_one_ping_per_group(spark):
     vs, us = data(4)
     firsts = {}

@@ -10,6 +10,8 @@ event_id) and look at users in the order (ts, cliente_id, event_id).
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,7 +57,7 @@ def set_aside(pings: DataFrame, needed: list[str]) -> tuple[DataFrame, DataFrame
 
 
 def _vehicle_side(vehicles: DataFrame, window: str, keep_window: bool = False) -> DataFrame:
-    extra = [c for c in ("tramo",) if c in vehicles.columns]
+    extra = [c for c in ("tramo", "sentados") if c in vehicles.columns]
     return set_aside(vehicles, VEHICLE_NEEDS)[0].select(
         F.window("ts", window).alias("franja"), "viaje_id", _instant(keep_window).alias("v_ts"), "vehiculo_id", F.col("event_id").alias("v_event"),
         "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", *extra,
@@ -133,7 +135,8 @@ def cogroup(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -
 def seat_fold(unit: list[str], seat_scope: str):
     """First-come seat assignment over candidate pairs that arrive in matching order.
 
-    Holds only the client and vehicle ids used so far in the current unit; pairs stream through.
+    Holds only the client and vehicle ids used so far in the current unit; pairs stream through. A column ``sentados``
+    says how many clients earlier slices have seated in the vehicle.
     An inner function travels to the executors by value, so they need not have this package.
     """
     per_vehicle = seat_scope == "vehicle"
@@ -145,14 +148,15 @@ def seat_fold(unit: list[str], seat_scope: str):
             taken = np.zeros(len(pdf), dtype="int64")
             units = zip(*[pdf[c].tolist() for c in unit])
             instants = pdf["v_ts"].astype("int64").tolist()
-            ids = zip(instants, *[pdf[c].tolist() for c in ("vehiculo_id", "v_event", "num_plazas", "cliente_id")])
-            for i, (here, (instant, vehicle, event, seats, client)) in enumerate(zip(units, ids)):
+            before = pdf["sentados"].tolist() if "sentados" in pdf else [0] * len(pdf)
+            ids = zip(instants, *[pdf[c].tolist() for c in ("vehiculo_id", "v_event", "num_plazas", "cliente_id")], before)
+            for i, (here, (instant, vehicle, event, seats, client, start)) in enumerate(zip(units, ids)):
                 if here != current:
                     current, at, matched, full, seated = here, None, set(), set(), {}
                 # Event ids may repeat between sources; a ping is one vehicle at one instant.
                 if (instant, vehicle, event) != at:
                     at, closed = (instant, vehicle, event), vehicle in full
-                    occupied = seated.get(vehicle, 0) if per_vehicle else 0
+                    occupied = seated.get(vehicle, start) if per_vehicle else 0
                 if closed or occupied >= seats or client in matched:
                     continue
                 matched.add(client)
@@ -176,17 +180,14 @@ def _fold(pairs: DataFrame, unit: list[str], seat_scope: str) -> DataFrame:
 
 def _busy(vehicles: DataFrame, users: DataFrame, window: str, scope: list[str], max_fold: int) -> DataFrame:
     """Memories (groups that share matched clients) with more ping pairs than one task should fold."""
-    def count(pings: DataFrame, name: str) -> DataFrame:
-        return windowed(pings, window).groupBy("ventana", "viaje_id").agg(F.count(F.lit(1)).alias(name))
-
-    pairs = count(vehicles, "n_v").join(count(users, "n_u"), ["ventana", "viaje_id"])
-    total = F.sum(F.col("n_v").cast("double") * F.col("n_u"))
-    return pairs.groupBy(*scope).agg(total.alias("pares")).where(F.col("pares") > max_fold)
+    sides = [windowed(p, window).select("ventana", "viaje_id", F.lit(v).alias("v"), F.lit(1 - v).alias("u")) for p, v in ((vehicles, 1), (users, 0))]
+    pairs = sides[0].unionByName(sides[1]).groupBy("ventana", "viaje_id").agg((F.sum("v").cast("double") * F.sum("u")).alias("pares"))
+    return (pairs if scope == ["ventana", "viaje_id"] else pairs.groupBy(*scope).agg(F.sum("pares").alias("pares"))).where(F.col("pares") > max_fold)
 
 
 def _slice_bounds(vehicles: DataFrame, busy: DataFrame, window: str, scope: list[str], slices: int) -> DataFrame:
-    """Times that cut the vehicle pings of each busy memory into about equal runs."""
-    shares = [i / slices for i in range(1, slices)]
+    """Times that cut the vehicle pings of each busy memory into slices, each about as long as all before it."""
+    shares = [0.5**k for k in range(slices - 1, 0, -1)]
     when = F.unix_micros(F.col("ts").cast("timestamp"))
     return (
         windowed(vehicles, window).join(busy.select(*scope), scope)
@@ -195,6 +196,30 @@ def _slice_bounds(vehicles: DataFrame, busy: DataFrame, window: str, scope: list
     )
 
 
+def _progressive(cut: DataFrame, users: DataFrame, window: str, radius_km: float, scope: list[str], seat_scope: str, slices: int) -> DataFrame:
+    """Exact assignment for busy memories, one growing time slice after the other.
+
+    Candidates of a slice are made only when all earlier slices are settled, from clients not yet matched and vehicles not
+    yet filled. Of a pair within the radius, the client is matched or the vehicle out of seats once its slice is over. Where
+    clients are fewer than seats, few are left after the first slices and the pairs that are ever made grow about with the
+    pings; where seats are fewer, every slice still meets all clients near it that are left.
+    """
+    cut, users, done = durable(cut, "cut"), durable(users, "open_users"), []
+    for k in range(slices):
+        v, u = cut.where(F.col("tramo") == k), users
+        if done:
+            before = functools.reduce(DataFrame.unionByName, done)
+            filled = before.where("plazas_ocupadas >= num_plazas").select(*scope, "vehiculo_id").distinct()
+            v = windowed(v, window).join(filled, [*scope, "vehiculo_id"], "left_anti")
+            u = windowed(u, window).join(before.select(*scope, "cliente_id").distinct(), [*scope, "cliente_id"], "left_anti")
+            if seat_scope == "vehicle":
+                seated = before.groupBy(*scope, "vehiculo_id").agg(F.max("plazas_ocupadas").alias("sentados"))
+                v = v.join(seated, [*scope, "vehiculo_id"], "left").withColumn("sentados", F.coalesce("sentados", F.lit(0).cast("long")))
+        pairs = candidates(v, u, window, radius_km, distance=False, spread=BUSY_SPREAD)
+        done.append(durable(_fold(pairs, scope, seat_scope).drop("sentados"), "slice"))
+    return functools.reduce(DataFrame.unionByName, done)
+
+
 def _first_use(matches: DataFrame, scope: list[str]) -> DataFrame:
     """Slice in which each client was first matched and each vehicle first filled."""
     clients = matches.select(*scope, "tramo", F.lit("c").alias("kind"), F.col("cliente_id").alias("id"))
@@ -210,7 +235,7 @@ KINDS = (("c", "cliente_id"), ("v", "vehiculo_id"))
 
 
 def _replay_slices(pairs: DataFrame, scope: list[str], seat_scope: str) -> DataFrame:
-    """Exact assignment for memories that are cut into slices, slices in parallel.
+    """Exact assignment for memories that are cut into parts, ordered by ``tramo``, parts in parallel.
 
     A slice needs to know which clients were matched and which vehicles were filled in earlier
     slices. First every slice is folded as if nothing had been used. Each round then looks up who was
@@ -223,7 +248,7 @@ def _replay_slices(pairs: DataFrame, scope: list[str], seat_scope: str) -> DataF
     pairs = durable(pairs, "pairs")
     matches = durable(_fold(pairs, unit, seat_scope), "matches")
     used = durable(_first_use(matches, scope), "used")
-    changed = used.select(*scope, "kind", "id", F.col("uso").alias("desde"), F.lit(None).cast("int").alias("hasta"))
+    changed = used.select(*scope, "kind", "id", F.col("uso").alias("desde"), F.lit(None).cast(used.schema["uso"].dataType).alias("hasta"))
     while True:
         touched = [
             pairs.select(*unit, key).join(_of_kind(changed, kind, key), [*scope, key])
@@ -252,14 +277,14 @@ def _replay_slices(pairs: DataFrame, scope: list[str], seat_scope: str) -> DataF
 def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float, scope: list[str], seat_scope: str, max_fold: int | None) -> DataFrame:
     if seat_scope not in ("ping", "vehicle"):
         raise ValueError(f"unknown seat_scope {seat_scope!r}")
-    if max_fold is None or seat_scope == "vehicle":
+    if max_fold is None:
         return _fold(candidates(vehicles, users, window, radius_km, distance=False), scope, seat_scope)
     busy = _busy(vehicles, users, window, scope, max_fold)
     largest = busy.agg(F.max("pares")).first()[0]
     if largest is None:
         return _fold(candidates(vehicles, users, window, radius_km, distance=False), scope, seat_scope)
     busy = durable(busy, "busy")
-    slices = int(max(largest // max_fold + 1, 2))
+    slices = math.ceil(math.log2(largest / max_fold)) + 1
     bounds = durable(_slice_bounds(vehicles, busy, window, scope, slices), "bounds")
     v, u = windowed(vehicles, window), windowed(users, window)
     when = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -268,14 +293,20 @@ def _assign(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float
         candidates(v.join(busy, scope, "left_anti").drop("ventana"), u.join(busy, scope, "left_anti").drop("ventana"), window, radius_km, distance=False),
         scope, seat_scope,
     )
-    sliced = candidates(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km, distance=False, spread=BUSY_SPREAD)
-    return calm.unionByName(_replay_slices(sliced, scope, seat_scope).drop("tramo"))
+    sliced = _progressive(cut, u.join(busy, scope, "left_semi").drop("ventana"), window, radius_km, scope, seat_scope, slices)
+    return calm.unionByName(sliced.drop("tramo"))
+
+
+HERE_TO_GOAL = ("latitud", "longitud", "latitud_final", "longitud_final")
 
 
-def priced(matches: DataFrame, rate: float, stamp: Column) -> DataFrame:
-    """Ride rows of matched pairs. The fare is worked out here, for matches only."""
-    far = geo.with_geodesic_km(matches, "latitud", "longitud", "latitud_final", "longitud_final", "_km", far=True)
-    return far.select(
+def priced(matches: DataFrame, rate: float, stamp: Column, far: bool = True) -> DataFrame:
+    """Ride rows of matched pairs. The fare is worked out here, for matches only; without ``far`` it is NULL where the series needs more steps."""
+    return _as_rides(geo.with_geodesic_km(matches, *HERE_TO_GOAL, "_km", far=far), rate, stamp)
+
+
+def _as_rides(measured: DataFrame, rate: float, stamp: Column) -> DataFrame:
+    return measured.select(
         "ventana", "viaje_id", "vehiculo_id", "v_event", "v_ts", "num_plazas", "plazas_ocupadas", "cliente_id", "u_event",
         F.col("rating").cast("double").alias("rating"), "metodo_pago", geo.fare("_km", rate).alias("pago_viaje"),
         "latitud", "longitud", "latitud_final", "longitud_final", stamp.alias("timestamp"),
@@ -283,7 +314,16 @@ def priced(matches: DataFrame, rate: float, stamp: Column) -> DataFrame:
 
 
 def _rides(matches: DataFrame, window: str, rate: float, stamp: Column | None) -> DataFrame:
-    return priced(matches, rate, F.col("ventana") + F.expr(f"INTERVAL {window}") if stamp is None else stamp)
+    """Rides of a batch: the matches are written, and only those too far for the series go the long way, if there are any."""
+    stamp = F.col("ventana") + F.expr(f"INTERVAL {window}") if stamp is None else stamp
+    matches = durable(matches, "matches")
+    measured = geo.with_geodesic_km(matches, *HERE_TO_GOAL, "_km")
+    given = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in HERE_TO_GOAL])
+    far = measured.where(F.col("_km").isNull() & given)
+    if far.isEmpty():
+        return _as_rides(measured, rate, stamp)
+    near = measured.where(F.col("_km").isNotNull() | ~given)
+    return _as_rides(near.unionByName(far.withColumn("_km", geo.settled_km(*HERE_TO_GOAL))), rate, stamp)
 
 
 def greedy_match(
@@ -295,7 +335,7 @@ def greedy_match(
     Seats are counted per ping (``seat_scope='ping'``), so a vehicle whose pings stay below capacity
     may carry more clients in a window than it has seats; ``'vehicle'`` counts them per vehicle.
     ``stamp`` fills ``timestamp``; by default it is the window's end. Groups with more than
-    ``max_fold`` ping pairs are cut into time slices that run in parallel (same result).
+    ``max_fold`` ping pairs are settled in growing time slices (same result).
     """
     matches = _assign(vehicles, users, window, radius_km, ["ventana", "viaje_id"], seat_scope, max_fold)
     return _rides(matches, window, rate, stamp)
@@ -306,11 +346,24 @@ def greedy_match_remembering(
     stamp: Column | None = None, max_fold: int | None = MAX_FOLD,
 ) -> DataFrame:
     """As ``greedy_match``, but matched clients and filled vehicles stay out in all later windows of
-    their trip. Busy trips are cut into time slices that run in parallel (same result)."""
+    their trip. Busy trips are settled in growing time slices (same result)."""
     matches = _assign(vehicles, users, window, radius_km, ["viaje_id"], "ping", max_fold)
     return _rides(matches, window, rate, stamp)
 
 
+def greedy_match_shared_memory(
+    vehicles: DataFrame, users: DataFrame, window: str = "15 seconds", radius_km: float = 5.0, rate: float = 1.0, stamp: Column | None = None,
+) -> DataFrame:
+    """As ``greedy_match_remembering``, but one memory spans all trips: a client matched or a vehicle filled on any trip is
+    out of all later windows, and within a window of trips with a higher number.
+
+    Every (window, trip) is folded by itself; then only those are folded again that use an id which an earlier one has
+    taken, until none does.
+    """
+    pairs = candidates(vehicles, users, window, radius_km, distance=False).withColumn("tramo", F.struct("ventana", "viaje_id"))
+    return _rides(_replay_slices(pairs, [], "ping").drop("tramo"), window, rate, stamp)
+
+
 def single_ping_match(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, rate: float = 1.0) -> DataFrame:
     """``greedy_match`` where each (window, trip) has one vehicle ping: its first ``num_plazas``
     distinct clients by first candidate ping. No Python is involved."""

@@ -32,16 +32,17 @@ def pairs_cte(window: str, km: float) -> str:
 
 def fold_cte(unit: list[str], seats_per: str = "ping") -> str:
     """First-come assignment as a recursive query: one step per candidate pair and unit, carrying the
-    clients matched, the vehicles filled, the current ping and its taken seats."""
-    key = ", ".join(unit)
-    join = " AND ".join(f"p.{c} = s.{c}" for c in unit)
-    own = ", ".join(f"p.{c}" for c in unit)
+    clients matched, the vehicles filled, the current ping and its taken seats. No unit is one memory for all."""
+    key = ", ".join(unit) or "0 AS uno"
+    own = ", ".join(f"p.{c}" for c in unit) or "0 AS uno"
+    join = " AND ".join([*(f"p.{c} = s.{c}" for c in unit), "p.k = s.k + 1"])
+    part, using = (f"PARTITION BY {key}" if unit else ""), ", ".join([*unit, "k"])
     seat = "CASE WHEN p.v_event = s.at THEN s.occ ELSE 0 END"
     if seats_per == "vehicle":
         seat = "len(list_filter(s.log, lambda x: x = p.vehiculo_id))"
     closed = "CASE WHEN p.v_event = s.at THEN s.closed ELSE list_contains(s.full_v, p.vehiculo_id) END"
     takes = f"(NOT ({closed}) AND ({seat}) < p.num_plazas AND NOT list_contains(s.used, p.cliente_id))"
-    return f"""num AS (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ventana, v_ts, vehiculo_id, v_event, u_ts, cliente_id, u_event) AS k FROM cand),
+    return f"""num AS (SELECT *, row_number() OVER ({part} ORDER BY ventana, viaje_id, v_ts, vehiculo_id, v_event, u_ts, cliente_id, u_event) AS k FROM cand),
  ini AS (SELECT DISTINCT {key} FROM num),
  fold AS (
   SELECT {key}, CAST(0 AS BIGINT) AS k, CAST([] AS BIGINT[]) AS used, CAST([] AS BIGINT[]) AS full_v, CAST([] AS BIGINT[]) AS log, CAST(-1 AS BIGINT) AS at, CAST(0 AS BIGINT) AS occ, FALSE AS closed, FALSE AS taken FROM ini
@@ -50,8 +51,8 @@ def fold_cte(unit: list[str], seats_per: str = "ping") -> str:
    CASE WHEN {takes} AND ({seat}) + 1 >= p.num_plazas THEN list_append(s.full_v, p.vehiculo_id) ELSE s.full_v END,
    CASE WHEN {takes} THEN list_append(s.log, p.vehiculo_id) ELSE s.log END,
    p.v_event, CAST(({seat}) + CASE WHEN {takes} THEN 1 ELSE 0 END AS BIGINT), {closed}, {takes}
-  FROM fold s JOIN num p ON {join} AND p.k = s.k + 1),
- hits AS (SELECT n.*, f.occ AS plazas_ocupadas FROM fold f JOIN num n USING ({key}, k) WHERE f.taken)"""
+  FROM fold s JOIN num p ON {join}),
+ hits AS (SELECT n.*, f.occ AS plazas_ocupadas FROM fold f JOIN num n USING ({using}) WHERE f.taken)"""
 
 
 FARE = geodesic_stages("vehicle_pings", "latitud", "longitud", "latitud_final", "longitud_final", "event_id").replace("geo_", "fare_")
@@ -111,6 +112,11 @@ def _(i):
     return shown(M.greedy_match_remembering(i.vehicle_pings, i.client_pings, REMEMBER_WINDOW, 5.0))
 
 
+@query("greedy_match_shared_memory", PINGS, RIDE_SQL, more=f"{LOCAL},\n{fold_cte([])},\n{FARE}")
+def _(i):
+    return shown(M.greedy_match_shared_memory(i.vehicle_pings, i.client_pings, REMEMBER_WINDOW, 5.0))
+
+
 FIRST_PING = (
     "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY time_bucket(INTERVAL 6 HOUR, ts), viaje_id ORDER BY ts, vehiculo_id, event_id) AS rn FROM todos) WHERE rn = 1"
 )

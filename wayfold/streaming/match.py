@@ -1,125 +1,197 @@
-"""The matcher on unbounded input."""
+"""The matcher on unbounded input.
+
+Candidate pairs reach the state of their trip as rows, filed by time slice of the vehicle ping. When the watermark has
+passed a window, a timer walks through its slices in order and folds them one by one, so a task holds the pairs of one
+slice and the ids used so far, never those of a whole window.
+"""
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from wayfold.operators.matching import USER_ORDER, VEHICLE_ORDER, candidates, priced, seat_fold
+from wayfold.operators.matching import candidates, priced
 
-# What a candidate pair carries into the fold, matching order first.
-PAIR = [*VEHICLE_ORDER, *USER_ORDER, "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", "rating", "metodo_pago"]
+#: What a candidate pair carries into the fold, matching order first; instants are microseconds.
+ORDER = ["v_us", "vehiculo_id", "v_event", "u_us", "cliente_id", "u_event"]
+PAIR = [*ORDER, "num_plazas", "latitud", "longitud", "latitud_final", "longitud_final", "rating", "metodo_pago"]
+#: Slices of a window, where no span is given.
+SLICES = 16
 
 
-def closed_windows(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float, watermark: str) -> DataFrame:
-    """One row per (window, trip) with its candidate pairs in matching order.
+def near_pairs(vehicles: DataFrame, users: DataFrame, window: str, radius_km: float, watermark: str) -> DataFrame:
+    """Candidate pairs as the streams bring them, each with its window's bounds in microseconds.
 
-    A row is emitted once, when the watermark (that of the slower stream) has passed the window;
-    records that come later are dropped. The streams are joined on window, trip and grid cell, so
-    join state and distance work spread over cells, and only pairs within the radius are gathered.
+    The streams are joined on window, trip and grid cell, so join state and distance work spread over cells, and only
+    pairs within the radius go on. ``momento`` carries the watermark (that of the slower stream); later records are dropped.
     """
     pairs = candidates(vehicles.withWatermark("ts", watermark), users.withWatermark("ts", watermark), window, radius_km, keep_window=True, distance=False)
-    gathered = pairs.groupBy("franja", "viaje_id").agg(F.sort_array(F.collect_list(F.struct(*PAIR))).alias("pares"))
-    return gathered.select(F.col("franja.start").alias("ventana"), F.col("franja.end").alias("cierre"), "viaje_id", "pares")
-
-
-def _pair_schema(closed: DataFrame) -> T.StructType:
-    own = [f for f in closed.schema.fields if f.name != "pares"]
-    return T.StructType(own + closed.schema["pares"].dataType.elementType.fields + [T.StructField("plazas_ocupadas", T.LongType())])
+    return pairs.select(
+        F.window_time("franja").alias("momento"), F.unix_micros("franja.start").alias("inicio"), F.unix_micros("franja.end").alias("cierre"), "viaje_id",
+        F.unix_micros("v_ts").alias("v_us"), F.unix_micros("u_ts").alias("u_us"), *[c for c in PAIR if c not in ("v_us", "u_us")],
+    )
 
 
 def match_stream(
     vehicles: DataFrame, users: DataFrame, window: str = "30 seconds", radius_km: float = 2.0, watermark: str = "0 seconds",
-    remember: bool = False, rate: float = 1.0, ttl_ms: int | None = None, stamp: Column | None = None,
+    remember: bool = False, rate: float = 1.0, ttl_ms: int | None = None, stamp: Column | None = None, time_slice: str | None = None,
 ) -> DataFrame:
     """Rides as a stream, in append mode.
 
     ``remember=False`` matches every window on its own. ``remember=True`` keeps matched clients and
     filled vehicles of each trip in the state store and leaves them out of later windows; ``ttl_ms``
-    forgets them after that long (never, if left out). ``stamp`` fills ``timestamp``, for instance
-    with the current time; by default it is the window's end.
+    forgets them once a window ends that long after the one that took them (never, if left out). ``stamp`` fills
+    ``timestamp``, for instance with the current time; by default it is the window's end. ``time_slice`` bounds what is folded at once:
+    the pairs of one trip whose vehicle pings fall into that span, by default a sixteenth of the window.
     """
-    closed = closed_windows(vehicles, users, window, radius_km, watermark)
-    schema = _pair_schema(closed)
-    if remember:
-        matches = closed.groupBy("viaje_id").transformWithStateInPandas(
-            statefulProcessor=remembering_processor(schema, ttl_ms), outputStructType=schema, outputMode="Append", timeMode="ProcessingTime" if ttl_ms else "None",
-        )
-    else:
-        matches = closed.mapInPandas(_fold_rows(schema), schema)
+    pairs = near_pairs(vehicles, users, window, radius_km, watermark)
+    kept = [f for f in pairs.schema.fields if f.name in ("inicio", "cierre", "viaje_id", *PAIR)]
+    schema = T.StructType([*kept, T.StructField("plazas_ocupadas", T.LongType())])
+    unit = ["viaje_id"] if remember else ["viaje_id", "inicio"]
+    span = max(int(pd.Timedelta(time_slice or window) / pd.Timedelta(microseconds=1)) // (1 if time_slice else SLICES), 1)
+    folded = pairs.groupBy(*unit).transformWithStateInPandas(
+        statefulProcessor=slice_fold(schema, span, remember, None if ttl_ms is None else ttl_ms * 1000), outputStructType=schema,
+        outputMode="Append", timeMode="EventTime",
+    )
+    matches = folded.select(
+        F.timestamp_micros("inicio").alias("ventana"), F.timestamp_micros("cierre").alias("cierre"), F.timestamp_micros("v_us").alias("v_ts"),
+        *[c for c in schema.names if c not in ("inicio", "cierre", "v_us", "u_us")],
+    )
     return priced(matches, rate, F.col("cierre") if stamp is None else stamp)
 
 
-def _fold_rows(schema: T.StructType):
-    """Fold each gathered row by itself."""
-    fold = seat_fold(["ventana", "viaje_id"], "ping")
-    names = schema.names[:-1]
-    own = [n for n in names if n not in ("ventana", "cierre", "viaje_id")]
+def slice_fold(schema: T.StructType, span: int, remember: bool, ttl: int | None) -> StatefulProcessor:
+    """Processor that files pairs by (window, slice of ``span`` microseconds) and folds a window once it is closed.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def pairs():
-            for pdf in batches:
-                for ventana, cierre, viaje, pares in zip(pdf["ventana"], pdf["cierre"], pdf["viaje_id"], pdf["pares"]):
-                    columns = zip(*[p.values() if isinstance(p, dict) else tuple(p) for p in pares])
-                    yield pd.DataFrame(dict(zip(own, columns))).assign(ventana=ventana, cierre=cierre, viaje_id=viaje)[names]
+    Rows of one slice that come in one batch are one entry; a slice knows how many entries it has. With ``remember``, ids
+    of matched clients and filled vehicles stay in state with the window that took them, and with ``ttl`` a timer of that
+    window removes them. The class is local so that it travels to the executors by value.
+    """
+    names, order = schema.names, ORDER
 
-        yield from fold(pairs())
+    def longs(*fields: str) -> T.StructType:
+        return T.StructType([T.StructField(f, T.LongType()) for f in fields])
 
-    return run
+    binary = T.StructType([T.StructField("filas", T.BinaryType())])
 
+    def packed(rows: pd.DataFrame) -> bytes:
+        table, sink = pa.Table.from_pandas(rows, preserve_index=False), io.BytesIO()
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        return sink.getvalue()
 
-def remembering_processor(schema: T.StructType, ttl_ms: int | None) -> StatefulProcessor:
-    """Processor whose state is the set of matched clients and the set of filled vehicles of a trip.
+    def unpacked(data: bytes) -> pd.DataFrame:
+        with pa.ipc.open_stream(data) as reader:
+            return reader.read_pandas()
 
-    The class is local so that it travels to the executors by value.
-    """
-    names = schema.names
+    def millis(instant: int) -> int:
+        return -(-instant // 1000)
 
-    class Remembering(StatefulProcessor):
-        def init(self, handle: StatefulProcessorHandle) -> None:
-            key, seen = T.StructType([T.StructField("id", T.LongType())]), T.StructType([T.StructField("hasta", T.LongType())])
-            self.matched = handle.getMapState("clientes", key, seen, ttl_ms)
-            self.full = handle.getMapState("vehiculos", key, seen, ttl_ms)
+    class Memory:
+        """Ids of one kind that may not be used again: those of this window, and with a store those of earlier ones."""
+
+        def __init__(self, store, close: int):
+            self.store, self.close, self.known, self.fresh = store, close, {}, []
+
+        def has(self, one: int) -> bool:
+            if one not in self.known:
+                seen = self.store.getValue((one,)) if self.store is not None and self.store.containsKey((one,)) else None
+                self.known[one] = seen is not None and (ttl is None or seen[0] + ttl > self.close)
+            return self.known[one]
 
-        def handleInputRows(self, key, rows, timer_values) -> Iterator[pd.DataFrame]:
-            windows = []
+        def add(self, one: int) -> None:
+            self.known[one] = True
+            if self.store is not None:
+                self.store.updateValue((one,), (self.close,))
+                self.fresh.append(one)
+
+    class Folding(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.sizes = handle.getMapState("tramos", longs("cierre", "tramo"), longs("partes"))
+            self.parts = handle.getMapState("partes", longs("cierre", "tramo", "parte"), binary)
+            self.matched = handle.getMapState("clientes", longs("id"), longs("cierre")) if remember else None
+            self.full = handle.getMapState("vehiculos", longs("id"), longs("cierre")) if remember else None
+            self.taken = handle.getMapState("usados", longs("cierre", "clase"), binary) if ttl is not None else None
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+            closes = set()
             for pdf in rows:
-                windows += list(zip(pdf["ventana"], pdf["cierre"], pdf["pares"]))
-            # Several windows of a trip may close together; they act in time order.
-            for ventana, cierre, pares in sorted(windows, key=lambda w: w[0]):
-                at, out = None, []
-                # The store is asked once per client and vehicle of the window.
-                gone, full = {}, {}
-                for p in pares:
-                    p = p if isinstance(p, dict) else p.asDict()
-                    vehicle, client = int(p["vehiculo_id"]), int(p["cliente_id"])
-                    if (p["v_ts"], vehicle, p["v_event"]) != at:
-                        at, occupied = (p["v_ts"], vehicle, p["v_event"]), 0
-                        if vehicle not in full:
-                            full[vehicle] = self.full.containsKey((vehicle,))
-                        closed = full[vehicle]
-                    if closed or occupied >= p["num_plazas"]:
-                        continue
-                    if client not in gone:
-                        gone[client] = self.matched.containsKey((client,))
-                    if gone[client]:
-                        continue
-                    occupied += 1
-                    gone[client] = True
-                    self.matched.updateValue((client,), (1,))
-                    if occupied >= p["num_plazas"]:
-                        full[vehicle] = True
-                        self.full.updateValue((vehicle,), (1,))
-                    out.append({**p, "ventana": ventana, "cierre": cierre, "viaje_id": key[0], "plazas_ocupadas": occupied})
-                if out:
-                    yield pd.DataFrame(out)[names]
+                for (close, part), own in pdf[names[:-1]].groupby([pdf["cierre"], pdf["v_us"] // span]):
+                    at = (int(close), int(part))
+                    count = self.sizes.getValue(at)[0] if self.sizes.containsKey(at) else 0
+                    self.parts.updateValue((*at, count), (packed(own),))
+                    self.sizes.updateValue(at, (count + 1,))
+                    closes.add(at[0])
+            for close in closes:
+                self.handle.registerTimer(millis(close))
+            return iter([])
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            now = expiredTimerInfo.getExpiryTimeInMs() * 1000
+            if ttl is not None:
+                self.forget(now - ttl)
+            # Windows act in time order, whatever the order of timers that expire together.
+            filed = sorted((int(c), int(s), int(n[0])) for (c, s), n in self.sizes.iterator() if c <= now)
+            close = None
+            for here, part, count in filed:
+                if here != close:
+                    self.keep(close, close is not None and (matched, full))
+                    close, matched, full = here, Memory(self.matched, here), Memory(self.full, here)
+                places = [(here, part, k) for k in range(count)]
+                rows = pd.concat([unpacked(self.parts.getValue(p)[0]) for p in places], ignore_index=True)
+                for place in places:
+                    self.parts.removeKey(place)
+                self.sizes.removeKey((here, part))
+                out = self.fold(rows.sort_values(order, kind="stable"), matched, full)
+                if len(out):
+                    yield out
+            self.keep(close, close is not None and (matched, full))
+
+        def fold(self, rows: pd.DataFrame, matched: Memory, full: Memory) -> pd.DataFrame:
+            """The rides of one slice; all pairs of a vehicle ping are in one slice."""
+            at, occupied, closed, seats_after = None, 0, False, []
+            for instant, vehicle, event, client, seats in zip(*[rows[c].tolist() for c in ("v_us", "vehiculo_id", "v_event", "cliente_id", "num_plazas")]):
+                if (instant, vehicle, event) != at:
+                    at, occupied, closed = (instant, vehicle, event), 0, full.has(vehicle)
+                if closed or occupied >= seats or matched.has(client):
+                    seats_after.append(0)
+                    continue
+                occupied += 1
+                matched.add(client)
+                if occupied >= seats:
+                    full.add(vehicle)
+                seats_after.append(occupied)
+            rows = rows.assign(plazas_ocupadas=seats_after)
+            return rows[rows["plazas_ocupadas"] > 0][names]
+
+        def keep(self, close: int | None, memories) -> None:
+            """Note what a window took, so that its timer can forget it."""
+            if ttl is None or not memories:
+                return
+            for kind, memory in enumerate(memories):
+                if memory.fresh:
+                    self.taken.updateValue((close, kind), (np.array(memory.fresh, np.int64).tobytes(),))
+            self.handle.registerTimer(millis(close + ttl))
+
+        def forget(self, until: int) -> None:
+            due = [(int(c), int(k)) for c, k in self.taken.keys() if c <= until]
+            for close, kind in due:
+                store = (self.matched, self.full)[kind]
+                for one in np.frombuffer(self.taken.getValue((close, kind))[0], np.int64).tolist():
+                    if store.containsKey((one,)) and store.getValue((one,))[0] == close:
+                        store.removeKey((one,))
+                self.taken.removeKey((close, kind))
 
         def close(self) -> None:
             pass
 
-    return Remembering()
+    return Folding()
