@@ -41,7 +41,7 @@ BUCKETS, MAP_RATE, MAP_SHARE = 25, 0.02, 0.25
 BASE_PRIOR = 0.1
 END = b"\n"
 #: The bits of every byte, highest first, as 1 and -1.
-SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).T.astype(np.float32) * 2 - 1
+SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32) * 2 - 1
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PARTS = (
     "block long, shard int, ids array<long>, learn array<boolean>, sizes array<int>, payload binary, counts binary, words binary, word_counts binary"
@@ -381,45 +381,56 @@ def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.nda
     its probability lacks; only the map is about set bits.
     """
     n = len(starts)
-    weights = np.full((K + 1) * K * n, START_WEIGHT, np.float32)
+    # Weights are kept times STEP, so that the small numbers serve as they are; the map's probabilities less a half.
+    weights = np.full((K + 1) * K * n, START_WEIGHT * STEP, np.float32)
     centres = (np.arange(BUCKETS) + 0.5) * (2 * FARTHEST / BUCKETS) - FARTHEST
-    refined = np.tile((1 / (1 + np.exp(-centres))).astype(np.float32), 8 * n)
+    refined = np.tile((1 / (1 + np.exp(-centres)) - 0.5).astype(np.float32), 8 * n)
     found = np.zeros(n)
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left") if n else []
-    lanes = np.arange(n, dtype=np.int32)
-    sets = lanes[:, None] + np.arange(K, dtype=np.int32) * n
-    cells = (np.arange(8, dtype=np.int32)[:, None] * n + lanes) * BUCKETS
+    lanes = np.arange(n)
+    sets, cells = np.arange(K)[:, None] * n + lanes, (np.arange(8)[:, None] * n + lanes) * BUCKETS
     bound, bucket_of, middle = np.float32(FARTHEST - 1e-3), np.float32(BUCKETS / (2 * FARTHEST)), np.float32(BUCKETS / 2)
+    keep, share, half, fade = (np.float32(c) for c in (1 - MAP_SHARE, MAP_SHARE, MAP_SHARE / 2, 1 - MAP_RATE))
     for t, a in enumerate(active):
         at = starts[:a] + t
         eight = odds.take(places.take(at, axis=0))
-        own = (np.count_nonzero(eight, axis=1).astype(np.int32) * (K * n))[:, None] + sets[:a]
+        known = eight != 0
+        gate = known[:, 0].astype(np.int64)
+        for k in range(1, K):
+            gate += known[:, k]
+        gate *= K * n
+        own = sets[:, :a] + gate
         x = np.ascontiguousarray(eight.view(np.int8).reshape(a, K, 8).transpose(2, 1, 0)).astype(np.float32)
-        x *= np.float32(STEP)
-        sign = SIGNS.take(buffer.take(at), axis=1)
-        w = weights.take(own.T)
-        moved = x * w
-        total = moved.sum(1)
+        sign = np.ascontiguousarray(SIGNS.take(buffer.take(at), axis=0).T)
+        w = weights.take(own)
+        total = np.einsum("bka,ka->ba", x, w)
         np.maximum(total, -bound, out=total)
         np.minimum(total, bound, out=total)
-        cell = (total * sign * bucket_of + middle).astype(np.int32)
+        # The map is about set bits: the cell is that of the mixed log odds of a set bit.
+        cell = total * sign
+        cell *= bucket_of
+        cell += middle
+        cell = cell.astype(np.int64)
         cell += cells[:, :a]
         np.negative(total, out=total)
         np.exp(total, out=total)
         total += 1
         p = np.reciprocal(total, out=total)
+        # The chance of what came: the mixed probability, drawn towards the map's.
         set_p = refined.take(cell)
-        # The map's probability of the bit that came; the mixed one is drawn towards it.
-        map_p = (set_p - np.float32(0.5)) * sign + np.float32(0.5)
-        chance = p + np.float32(MAP_SHARE) * (map_p - p)
-        found[:a] += np.log(chance.prod(0, dtype=np.float64))
-        map_p -= 1
-        set_p -= np.float32(MAP_RATE) * map_p * sign
+        chance = set_p * sign
+        chance *= share
+        chance += half
+        chance += p * keep
+        found[:a] += np.log(np.multiply.reduce(chance, axis=0))
+        set_p *= fade
+        sign *= np.float32(MAP_RATE / 2)
+        set_p += sign
         refined[cell] = set_p
-        error = (1 - p) * np.float32(max(RATE / (1 + t / 64), LEAST_RATE))
-        np.multiply(x, error[:, None], out=moved)
-        w += moved.sum(0)
-        weights[own.T] = w
+        np.subtract(1, p, out=p)
+        p *= np.float32(max(RATE / (1 + t / 64), LEAST_RATE) * STEP * STEP)
+        w += np.einsum("bka,ba->ka", x, p)
+        weights[own] = w
     return found
 
 
