@@ -63,8 +63,8 @@ def as_bytes(words: list[bytes]) -> bytes:
 
 
 def hash_bits(n_bytes: int) -> int:
-    """Bits of a hashed context for a corpus of so many bytes: some hundred slots for each byte."""
-    return min(max(n_bytes.bit_length() + 8, 32), 48)
+    """Bits of a hashed context for a corpus of so many bytes: some ten slots for each byte."""
+    return min(max(n_bytes.bit_length() + 4, 32), 48)
 
 
 def _hashed(h: np.ndarray, order: int, bits: int) -> np.ndarray:
@@ -385,7 +385,7 @@ def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.nda
     weights = np.full((K + 1) * K * n, START_WEIGHT * STEP, np.float32)
     centres = (np.arange(BUCKETS) + 0.5) * (2 * FARTHEST / BUCKETS) - FARTHEST
     refined = np.tile((1 / (1 + np.exp(-centres)) - 0.5).astype(np.float32), 8 * n)
-    found = np.zeros(n)
+    found, product = np.zeros(n), np.ones(n)
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left") if n else []
     lanes = np.arange(n)
     sets, cells = np.arange(K)[:, None] * n + lanes, (np.arange(8)[:, None] * n + lanes) * BUCKETS
@@ -422,7 +422,10 @@ def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.nda
         chance *= share
         chance += half
         chance += p * keep
-        found[:a] += np.log(np.multiply.reduce(chance, axis=0))
+        product[:a] *= np.multiply.reduce(chance, axis=0)
+        if t % 4 == 3:  # the chances of 32 bits are far from the least double
+            found += np.log(product)
+            product.fill(1)
         set_p *= fade
         sign *= np.float32(MAP_RATE / 2)
         set_p += sign
@@ -431,7 +434,7 @@ def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.nda
         p *= np.float32(max(RATE / (1 + t / 64), LEAST_RATE) * STEP * STEP)
         w += np.einsum("bka,ba->ka", x, p)
         weights[own] = w
-    return found
+    return found + np.log(product)
 
 
 def _segments(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
