@@ -162,6 +162,35 @@ def test_tiles_against_the_plain_algorithm():
         assert covered == tile_brute(item, doc, 5)
 
 
+def test_runs_of_one_word_and_short_items():
+    import time
+
+    index = tiling.SeedIndex([(1, "go " * 1200), (2, "paris is the capital"), (3, "a b " * 300)], 5)
+    start = time.perf_counter()
+    assert list(tiling.held_items(index, b"go " * 12000, 0.5)) == [(1, 1200, 1200, 1, 1200)]
+    assert list(tiling.held_items(index, b"b a " * 4000, 0.5)) == [(3, 600, 600, 1, 600)]
+    assert time.perf_counter() - start < 1.0
+    assert list(tiling.held_items(index, b"Paris is the capital.", 0.5)) == [(2, 4, 4, 1, 4)]
+    assert list(tiling.held_items(index, b"Paris is a capital.", 0.5)) == []
+
+
+def test_leaks_of_documents_against_the_plain_algorithm(spark):
+    import random
+
+    rng = random.Random(8)
+    items = [[rng.choice("abcdef") for _ in range(rng.randint(1, 14))] for _ in range(12)]
+    docs = [sum(([*rng.choice(items)[rng.randint(0, 4) :], rng.choice("abz")] for _ in range(3)), []) for _ in range(40)]
+    frames = [spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(rows)], f"{name} long, text string") for rows, name in ((docs, "doc_id"), (items, "item_id"))]
+    found = {(r.doc_id, r.item_id): r.n_covered for r in tiling.leaks(*frames).collect()}
+    want = {}
+    for d, doc in enumerate(docs):
+        for i, item in enumerate(items):
+            covered = tile_brute(item, doc, min(5, len(item)))
+            if covered >= 0.5 * len(item):
+                want[d, i] = covered
+    assert found == want and want
+
+
 def test_leaks_reordered_blocks_and_corner_cases(spark, odd, none):
     item = "one two three four five six seven eight nine ten eleven twelve"
     turned = "X seven EIGHT, nine ten eleven twelve! then one two three four five six"
@@ -196,3 +225,25 @@ def test_toxicity_held_out(spark, small):
     bad = [r for r in rows if labels[r.doc_id]]
     assert sum(r.predicted for r in bad) / len(bad) > 0.8
     assert sum(r.predicted for r in rows if not labels[r.doc_id]) / (len(rows) - len(bad)) < 0.05
+
+
+def test_bands_reject_noise_and_keep_labelled_prose(spark, small):
+    import base64
+    import random
+
+    import zstandard
+
+    rng, shrink = random.Random(9), zstandard.ZstdCompressor(level=compression.LEVEL).compress
+    for size in (256, 400, 512, 1000, 1024, 2000, 2048, 4000, 4096, 9000):
+        low = compression.band_of(size)[0]
+        noise = [" ".join(base64.b64encode(rng.randbytes(rng.randint(3, 9))).decode().rstrip("=") for _ in range(size // 4))[:size].encode() for _ in range(60)]
+        assert sum(size / len(shrink(t)) < low for t in noise) > 0.95 * 60
+    sf = small.replace("0.001", "0.1")
+    labels = spark.read.parquet(f"{sf}/labels.parquet").where("quality = 1").select("doc_id")
+    kept = compression.compression_bands(spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id")).groupBy("in_band").count().collect()
+    kept = {r["in_band"]: r["count"] for r in kept}
+    assert kept[True] > 0.99 * sum(kept.values())
+
+
+def test_only_letters_make_a_language():
+    assert language.has_letter("½ é") and language.has_letter("東") and not any(map(language.has_letter, ("½", "² ①", "Ⅷ 12", "", "_!")))

@@ -28,11 +28,15 @@ LEAST_SHARE = 0.2
 #: Below this part of a language's usual corrected share of known n-grams (the median of its own training rows), a text is not in it.
 LEAST_KNOWN = 0.5
 _BINS = 1000
-LETTER = re.compile(r"[^\W\d_]")
 _PIECE = 1 << 20
 _SPACED = bytes.maketrans(bytes(range(65)) + bytes(range(91, 97)) + bytes(range(123, 128)), b" " * 76)
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter (a Unicode category L: no fractions, circled digits or number forms)."""
+    return any(map(str.isalpha, text))
+
+
 def _buffer(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     """Lower-cased texts in one array, ASCII other than letters as space, and where each begins; a space on either side."""
     parts = [b"   " + (t or b"").decode("utf-8").lower().encode("utf-8").translate(_SPACED) + b" " for t in texts]
@@ -219,7 +223,7 @@ def corrected_hits(model: LanguageModel, texts: list[bytes | None]) -> tuple[np.
 
 def _judge(m: LanguageModel, texts: list[bytes | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     n = len(texts)
-    letters = np.array([t is not None and LETTER.search(t.decode("utf-8")) is not None for t in texts], bool)
+    letters = np.array([t is not None and has_letter(t.decode("utf-8")) for t in texts], bool)
     if not m.langs:
         return ["und"] * n, np.zeros(n), np.zeros(n)
     total, hits = corrected_hits(m, texts)

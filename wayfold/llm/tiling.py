@@ -44,90 +44,100 @@ def window_hashes(ids: np.ndarray, width: int) -> np.ndarray:
 
 
 class SeedIndex:
-    """Seeds of a block of items: sorted window hashes with the items and places where they stand."""
+    """Seeds of a block of items: window hashes with the items and places where they stand.
+
+    An item of fewer than ``width`` tokens is one seed by itself. Seeds are sorted by hash and by the token before them, so
+    that a document's window finds those that begin a match, without listing pairs that only continue one.
+    """
 
     def __init__(self, items: list[tuple[int, str]], width: int = MIN_TILE):
         self.width, self.vocabulary, self.items = width, {}, []
-        hashes, owners, places = [], [], []
+        parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
         for item, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens(text)], np.int64)
-            own = window_hashes(ids, width)
-            if len(own):
-                hashes.append(own)
-                owners.append(np.full(len(own), len(self.items)))
-                places.append(np.arange(len(own)))
+            if len(ids):
+                own = min(width, len(ids))
+                found = window_hashes(ids, own)
+                before = np.concatenate([[-1], ids[: len(found) - 1]])
+                parts.setdefault(own, []).append((found, before, np.full(len(found), len(self.items)), np.arange(len(found))))
                 self.items.append((item, ids))
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        order = np.argsort(flat, kind="stable")
-        self.owners = np.concatenate(owners)[order] if hashes else flat.astype(np.int64)
-        self.places = np.concatenate(places)[order] if hashes else flat.astype(np.int64)
-        flat = flat[order]
-        self.hashes, self.first = np.unique(flat, return_index=True)
-        self.last = np.append(self.first[1:], len(flat))
+        self.seeds = {}
+        for own, found in parts.items():
+            flat, before, owners, places = (np.concatenate(c) for c in zip(*found))
+            hashes, slot = np.unique(flat, return_inverse=True)
+            key = slot * (len(self.vocabulary) + 2) + before + 1
+            order = np.argsort(key, kind="stable")
+            self.seeds[own] = (hashes, key[order], owners[order], places[order])
 
     def matches(self, words: list[str]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """By item: places in the item and in the document where a seed stands in both; and the document's ids."""
-        if len(words) < self.width or not len(self.hashes):
-            return {}
+        """By item: places in the item and in the document where a common run of tokens begins; and the document's ids."""
         get = self.vocabulary.get
         ids = np.array([get(w, -1) for w in words], np.int64)
-        known = np.convolve(ids >= 0, np.ones(self.width, np.int64), "valid") == self.width
-        at = np.flatnonzero(known)
+        found = {}
+        for width, seeds in self.seeds.items():
+            found.update(self._begins(ids, width, *seeds))
+        return found
+
+    def _begins(self, ids: np.ndarray, width: int, hashes: np.ndarray, keys: np.ndarray, owners: np.ndarray, places: np.ndarray) -> dict:
+        if len(ids) < width:
+            return {}
+        at = np.flatnonzero(np.convolve(ids >= 0, np.ones(width, np.int64), "valid") == width)
         if not len(at):
             return {}
-        own = window_hashes(ids, self.width)[at]
-        slot = np.minimum(np.searchsorted(self.hashes, own), len(self.hashes) - 1)
-        hit = self.hashes[slot] == own
+        own = window_hashes(ids, width)[at]
+        slot = np.minimum(np.searchsorted(hashes, own), len(hashes) - 1)
+        hit = hashes[slot] == own
         at, slot = at[hit], slot[hit]
         if not len(at):
             return {}
-        many = self.last[slot] - self.first[slot]
-        post = np.repeat(self.first[slot] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        doc, owner, place = np.repeat(at, many), self.owners[post], self.places[post]
-        order = np.argsort(owner, kind="stable")
+        # Of the seeds with this hash, those behind the document's own last token continue a run; unknown tokens have no seeds.
+        span = len(self.vocabulary) + 2
+        before = np.where(at > 0, ids[at - 1], -1)
+        before = np.where(before < 0, span - 2, before) + 1
+        first, last = np.searchsorted(keys, slot * span), np.searchsorted(keys, (slot + 1) * span)
+        skip, until = np.searchsorted(keys, slot * span + before), np.searchsorted(keys, slot * span + before, "right")
+        low, many = np.concatenate([first, until]), np.concatenate([skip - first, last - until])
+        post = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+        doc, owner, place = np.repeat(np.concatenate([at, at]), many), owners[post], places[post]
+        order = np.lexsort((doc, owner))
         owner, place, doc = owner[order], place[order], doc[order]
         cuts = np.flatnonzero(np.diff(owner)) + 1
-        return {int(o[0]): (p, d, ids) for o, p, d in zip(np.split(owner, cuts), np.split(place, cuts), np.split(doc, cuts))}
+        return {int(o[0]): (p, d, ids) for o, p, d in zip(np.split(owner, cuts), np.split(place, cuts), np.split(doc, cuts)) if len(o)}
 
 
-def tile(item: np.ndarray, doc: np.ndarray, place: np.ndarray, at: np.ndarray, width: int) -> tuple[int, int, int]:
-    """Marked tokens, tiles and longest tile of an item against a document, from their common seeds.
+def tile(item: np.ndarray, doc: np.ndarray, place: np.ndarray, at: np.ndarray, width: int, least: float = 0) -> tuple[int, int, int]:
+    """Marked tokens, tiles and longest tile of an item against a document, from the places where common runs begin.
 
     Longest first; ties by place in the item, then in the document. A match that a mark cuts goes back in with what is
-    left of it, if that is still ``width`` tokens long.
+    left of it, if that is still ``width`` tokens long. Where all matches together reach fewer than ``least`` tokens nothing
+    is marked.
     """
-    diagonal = at - place
-    order = np.lexsort((place, diagonal))
-    place, at, diagonal = place[order], at[order], diagonal[order]
-    breaks = np.flatnonzero((np.diff(diagonal) != 0) | (np.diff(place) != 1)) + 1
-    begins, ends = np.append(0, breaks), np.append(breaks, len(place))
-    heap = [(-(int(e - b) + width - 1), int(place[b]), int(at[b])) for b, e in zip(begins, ends)]
-    heap = [x for x in heap if np.array_equal(item[x[1] : x[1] - x[0]], doc[x[2] : x[2] - x[0]])]  # hashes may collide
+    heap, reached = [], np.zeros(len(item) + 1, np.int64)
+    for i, j in zip(place.tolist(), at.tolist()):
+        most = min(len(item) - i, len(doc) - j)
+        other = item[i : i + most] != doc[j : j + most]
+        length = int(other.argmax()) if other.any() else most
+        if length >= width:  # hashes may collide
+            heap.append((-length, i, j))
+            reached[i] += 1
+            reached[i + length] -= 1
+    if not heap or np.count_nonzero(np.cumsum(reached)) < least:
+        return 0, 0, 0
     heapq.heapify(heap)
-    in_item, in_doc = bytearray(len(item)), set()
+    in_item, in_doc = np.zeros(len(item), bool), np.zeros(len(doc), bool)
     covered = tiles = longest = 0
-    while heap:
+    while heap and covered < len(item):
         length, i, j = heapq.heappop(heap)
         length = -length
-        free = [not in_item[i + k] and j + k not in in_doc for k in range(length)]
-        if all(free):
-            in_item[i : i + length] = b"\1" * length
-            in_doc.update(range(j, j + length))
+        taken = in_item[i : i + length] | in_doc[j : j + length]
+        if not taken.any():
+            in_item[i : i + length] = in_doc[j : j + length] = True
             covered, tiles, longest = covered + length, tiles + 1, max(longest, length)
             continue
-        k = 0
-        while k < length:
-            if not free[k]:
-                k += 1
-                continue
-            end = k
-            while end < length and free[end]:
-                end += 1
+        edges = np.flatnonzero(np.diff(np.concatenate([[True], taken, [True]]).astype(np.int8)))
+        for k, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
             if end - k >= width:
                 heapq.heappush(heap, (k - end, i + k, j + k))
-            k = end
-        if covered == len(item):
-            break
     return covered, tiles, longest
 
 
@@ -144,10 +154,8 @@ def held_items(index: SeedIndex, text: bytes | None, coverage: float):
     """Items of which the text holds the share ``coverage`` or more: item, tokens, covered tokens, tiles, longest tile."""
     for owner, (place, at, ids) in index.matches(tokens(text)).items():
         item, own = index.items[owner]
-        if index.width * len(np.unique(place)) < coverage * len(own):
-            continue  # even apart from each other these seeds cannot cover enough
-        covered, tiles, longest = tile(own, ids, place, at, index.width)
-        if covered >= coverage * len(own):
+        covered, tiles, longest = tile(own, ids, place, at, min(index.width, len(own)), coverage * len(own))
+        if covered and covered >= coverage * len(own):
             yield item, len(own), covered, tiles, longest
 
 
@@ -155,7 +163,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min
     """``doc_id, item_id, n_tokens, n_covered, coverage, n_tiles, longest`` of every document that holds ``coverage`` of an item.
 
     Every document is held against every block of the benchmark; a block is sized before it is sent out. Items of fewer
-    than ``min_tile`` tokens have no seed and match nothing. Null texts and items match nothing; repeated rows of either
+    than ``min_tile`` tokens must stand in the document whole. Null texts and items match nothing; repeated rows of either
     table give repeated rows. Documents are only mapped, never shuffled.
     """
     lean, out = docs.selectExpr("cast(doc_id as long) doc_id", "text"), None
