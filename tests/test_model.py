@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +75,18 @@ def test_forms_send_flags_and_whole_numbers(spark):
     row = H.scoring_frame(spark, [{"tiene_calefaccion": 0, "rating": 9, "latitud_final": "39.5", "kilometraje": 10.0, "puntos_carnet": None}]).first()
     assert (row.tiene_calefaccion, row.rating, row.latitud_final, row.kilometraje, row.puntos_carnet) == (False, 9.0, 39.5, 10, None)
     assert H.scoring_frame(spark, [{"tiene_calefaccion": "1"}]).first().tiene_calefaccion is True
+
+
+def test_staged_search_equals_one_fit_for_each_number_of_trees(spark):
+    rnd = random.Random(3)
+    rows = [(k, float(rnd.randint(1, 10)), rnd.choice("ab"), rnd.random() < 0.5, rnd.random() * 20) for k in range(300)]
+    train = spark.createDataFrame(rows, "pedido long, rating double, metodo_pago string, tiene_calefaccion boolean, pago_viaje double")
+    found = H.staged_grid_search(train, ["pedido"], {"maxIter": [1, 3], "stepSize": [0.1, 0.5], "maxDepth": [2]}, folds=2)
+    assert [s for s, _ in found] == [{"maxIter": n, "stepSize": r, "maxDepth": 2} for r in (0.1, 0.5) for n in (1, 3)]
+    single = H.grid_search(train, {"maxIter": [1, 3], "stepSize": [0.1, 0.5], "maxDepth": [2]}, folds=2, key=["pedido"])
+    want = {}
+    for m, e in zip(single.getEstimatorParamMaps(), single.avgMetrics):
+        of = {p.name: v for p, v in m.items()}
+        want[of["maxIter"], of["stepSize"]] = e
+    for setting, errors in found:
+        assert sum(errors) / 2 == pytest.approx(want[setting["maxIter"], setting["stepSize"]], rel=1e-6)

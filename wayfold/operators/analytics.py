@@ -131,29 +131,67 @@ def of_top(df: DataFrame, key: str, n: int = 14) -> DataFrame:
     return df.join(F.broadcast(counts(df, key, "_n", n).select(key)), key, "left_semi")
 
 
+#: Parts into which each round of a selection cuts the range that holds a wanted rank.
+PARTS = 1024
+
+
+def quantiles(seen: DataFrame, keys: list[str], shares: list[float]) -> DataFrame:
+    """Exact interpolated quantiles per key as the array ``q``, from a written table of distinct values ``x`` with counts ``n``.
+
+    No task ever holds the values of a key. Each round counts values by ``PARTS`` parts of the range in which a wanted rank
+    lies and keeps the part that holds it, shrunk to the values it has; a rank is found when one value is left. A
+    range is narrowed by its own extremes too, so the rounds are few: two or three for evenly spread values, and in the worst
+    case as many as the digits of a double allow. Values must be finite.
+    """
+    place = F.col("share") * (F.col("rows") - 1)
+    wanted = (
+        seen.groupBy(*keys).agg(F.sum("n").alias("rows"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+        .withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor(place), F.ceil(place)))))
+        .withColumn("before", F.lit(0).cast("long"))
+    )
+    wanted = durable(wanted, "ranks")
+    span = [*keys, "lo", "hi"]
+    while wanted.where("hi > lo").limit(1).count():
+        ranges = wanted.where("hi > lo").select(*span, "before").distinct()
+        part = F.least(F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * PARTS), F.lit(PARTS - 1))
+        parts = (
+            seen.join(ranges, keys).where(F.col("x").between(F.col("lo"), F.col("hi")))
+            .groupBy(*span, "before", part.alias("part")).agg(F.sum("n").alias("n"), F.min("x").alias("least"), F.max("x").alias("most"))
+        )
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy(*span, "before").orderBy("part"))
+        parts = parts.withColumn("upto", upto).select(*span, "before", "least", "most", (F.col("upto") - F.col("n")).alias("below"), "upto")
+        found = wanted.where("hi > lo").join(parts, [*span, "before"]).where((F.col("rank") >= F.col("below")) & (F.col("rank") < F.col("upto")))
+        narrowed = found.select(*keys, "rows", F.col("least").alias("lo"), F.col("most").alias("hi"), "share", "rank", F.col("below").alias("before"))
+        wanted = durable(wanted.where("hi = lo").unionByName(narrowed), "ranks")
+    rest = F.col("share") * (F.col("rows") - 1) - F.floor(F.col("share") * (F.col("rows") - 1))
+    each = wanted.groupBy(*keys, "share", "rows").agg(F.min("lo").alias("a"), F.max("lo").alias("b"))
+    one = each.select(*keys, "share", (F.col("a") + rest * (F.col("b") - F.col("a"))).alias("v"))
+    return one.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("share", "v"))), lambda t: t["v"]).alias("q"))
+
+
 def box_stats(df: DataFrame, key: str, value: str, n: int = 14) -> DataFrame:
     """Five-number summary, whiskers and outliers per key, for the n most frequent keys.
 
-    One pass: rows collapse to (key, value) counts before the shuffle, and everything else works on
-    the distinct values of a key.
+    One pass over the rows: they collapse to (key, value) counts, which are written. Quartiles come from these by
+    selection (``quantiles``), and everything else is a sum or an extreme over them.
     """
-    whole = Window.partitionBy(key)
-    seen = (
-        _keyed(df, key).groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_rows", F.sum("_n").over(whole))
-        .withColumn("_q", F.percentile(value, [0.25, 0.5, 0.75], F.col("_n")).over(whole))
-        .select("*", *[F.col("_q")[i].alias(name) for i, name in enumerate(("q1", "mediana", "q3"))])
+    seen = durable(_keyed(df, key).groupBy(key, F.col(value).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("n")), "box")
+    top = durable(seen.groupBy(key).agg(F.sum("n").alias("_rows")).orderBy(F.desc("_rows"), key).limit(n), "box_keys")
+    known = durable(seen.where(F.col("x").isNotNull()).join(F.broadcast(top), key), "box_values")  # top has n rows
+    quartiles = quantiles(known.select(key, "x", "n"), [key], [0.25, 0.5, 0.75])
+    measured = known.join(F.broadcast(quartiles), key).select("*", *[F.col("q")[i].alias(name) for i, name in enumerate(("q1", "mediana", "q3"))])
+    reach = 1.5 * (F.col("q3") - F.col("q1"))
+    inside = (F.col("x") >= F.col("q1") - reach) & (F.col("x") <= F.col("q3") + reach)
+    summed = measured.groupBy(key, "q1", "mediana", "q3").agg(
+        F.sum("n").alias("n"), F.min("x").alias("minimo"), F.max("x").alias("maximo"),
+        F.min(F.when(inside, F.col("x"))).alias("bigote_inferior"), F.max(F.when(inside, F.col("x"))).alias("bigote_superior"),
+        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("atipicos"),
     )
-    known, reach = F.col(value).isNotNull(), 1.5 * (F.col("q3") - F.col("q1"))
-    inside = (F.col(value) >= F.col("q1") - reach) & (F.col(value) <= F.col("q3") + reach)
+    # A key without any value keeps its row.
     return (
-        seen.groupBy(key, "_rows", "q1", "mediana", "q3")
-        .agg(
-            F.sum(F.when(known, F.col("_n"))).alias("n"), F.min(value).alias("minimo"), F.max(value).alias("maximo"),
-            F.min(F.when(inside, F.col(value))).alias("bigote_inferior"), F.max(F.when(inside, F.col(value))).alias("bigote_superior"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_n"))), F.lit(0)).alias("atipicos"),
-        )
-        .orderBy(F.desc("_rows"), key).limit(n)
+        top.join(F.broadcast(summed), key, "left").withColumn("atipicos", F.coalesce("atipicos", F.lit(0)))
+        .orderBy(F.desc("_rows"), key)
         .select(key, "n", "minimo", "q1", "mediana", "q3", "maximo", "bigote_inferior", "bigote_superior", "atipicos")
     )
 
@@ -193,12 +231,11 @@ def tally(df: DataFrame, col: str) -> DataFrame:
 
 
 def distribution(df: DataFrame, col: str) -> DataFrame:
-    """Quartiles, mean and range of a measure."""
-    t = tally(df, col)
-    return t.agg(
-        F.percentile("x", [0.25, 0.5, 0.75], F.col("n")).alias("_q"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("media"),
-        F.min("x").alias("minimo"), F.max("x").alias("maximo"), F.sum("n").alias("n"),
-    ).select("n", "minimo", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("mediana"), F.col("_q")[2].alias("q3"), "maximo", "media")
+    """Quartiles, mean and range of a measure; quartiles by selection (``quantiles``). No values give one row of NULLs."""
+    t = durable(tally(df, col).withColumn("_all", F.lit(0)), "tally")
+    q = quantiles(t, ["_all"], [0.25, 0.5, 0.75]).agg(F.first("q").alias("q")).scalar()
+    whole = t.agg(F.sum("n").alias("n"), F.min("x").alias("minimo"), F.max("x").alias("maximo"), (F.sum(F.col("x") * F.col("n")) / F.sum("n")).alias("media"))
+    return whole.withColumn("_q", q).select("n", "minimo", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("mediana"), F.col("_q")[2].alias("q3"), "maximo", "media")
 
 
 def density_curve(df: DataFrame, col: str, grid: int = 100) -> DataFrame:

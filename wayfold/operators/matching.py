@@ -11,6 +11,7 @@ event_id) and look at users in the order (ts, cliente_id, event_id).
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -132,6 +133,44 @@ def cogroup(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -
     )
 
 
+COGROUP_ROW = ["ventana", "viaje_id", "lado", "ts", "id", "event_id", "latitud", "longitud"]
+
+
+def cogroup_rows(vehicles: DataFrame, users: DataFrame, window: str = "30 seconds") -> DataFrame:
+    """The rows behind ``cogroup``: all pings of a (window, trip), vehicles (``lado`` 0) before clients (1), each side in matching order.
+
+    Rows are dealt by group and sorted, never gathered, so a group may be larger than a task's memory.
+    """
+    sides = [
+        windowed(pings, window).select("ventana", "viaje_id", F.lit(side).alias("lado"), "ts", F.col(one).alias("id"), "event_id", "latitud", "longitud")
+        for side, (pings, one) in enumerate(((vehicles, "vehiculo_id"), (users, "cliente_id")))
+    ]
+    return sides[0].unionByName(sides[1]).repartition("ventana", "viaje_id").sortWithinPartitions(*COGROUP_ROW[:6])
+
+
+def fold_groups(rows: DataFrame, keys: list[str], fold, schema: T.StructType | str) -> DataFrame:
+    """Hand the rows of each group, as they stand, to ``fold(key, rows)``, which yields rows of ``schema``.
+
+    ``rows`` must be dealt and sorted by ``keys``, as ``cogroup_rows`` are. The fold sees an iterator of named tuples, so it
+    holds what it keeps itself.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        each = (row for pdf in batches for row in pdf.itertuples(index=False))
+        out = []
+        for key, own in itertools.groupby(each, lambda row: tuple(getattr(row, k) for k in keys)):
+            for made in fold(key, own):
+                out.append(made)
+                if len(out) >= 10_000:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        if out:
+            yield pd.DataFrame(out, columns=names)
+
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    names = kind.names
+    return rows.mapInPandas(run, kind)
+
+
 def seat_fold(unit: list[str], seat_scope: str):
     """First-come seat assignment over candidate pairs that arrive in matching order.
 

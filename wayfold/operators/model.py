@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
@@ -15,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from wayfold.session import durable
+
 TARGET = "pago_viaje"
 # Columns that are no features.
 LEFT_OUT = [
@@ -164,6 +168,32 @@ def grid_search(
     ).fit(train)
 
 
+def staged_grid_search(train: DataFrame, key: list[str], grid: dict | None = None, folds: int = 5, seed: int = 42) -> list[tuple[dict, list[float]]]:
+    """Mean squared error of every setting on every fold, with one fit for all numbers of trees.
+
+    Boosting adds trees one by one, so the model of ``n`` trees is the first ``n`` of a longer one: each combination of the
+    other parameters is fitted once per fold with the most trees, and scored after each wanted number of them. The grid of
+    243 settings takes 81 fits a fold instead of 243. Preparation is fitted once per fold and written. Folds hang on a hash
+    of ``key``.
+    """
+    grid = dict(grid or GRID)
+    trees = sorted(grid.pop("maxIter"))
+    names = list(grid)
+    fold = F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(folds))
+    rows = durable(train.select(*features(train.drop(*key)).columns, fold.alias("_fold")), "folds")
+    found: dict[tuple, list[float]] = {}
+    for k in range(folds):
+        learn, held = rows.where(F.col("_fold") != k).drop("_fold"), rows.where(F.col("_fold") == k).drop("_fold")
+        prepare = Pipeline(stages=build_pipeline(learn.schema, seed).getStages()[:-1]).fit(learn)
+        learn, held = (durable(prepare.transform(part).select("features", TARGET), "prepared") for part in (learn, held))
+        for setting in itertools.product(*grid.values()):
+            grower = GBTRegressor(labelCol=TARGET, featuresCol="features", lossType="squared", seed=seed, maxIter=trees[-1], **dict(zip(names, setting)))
+            errors = grower.fit(learn).evaluateEachIteration(held, "squared")
+            for n in trees:
+                found.setdefault((n, *setting), []).append(errors[n - 1])
+    return [(dict(zip(["maxIter", *names], setting)), errors) for setting, errors in found.items()]
+
+
 def best(model: CrossValidatorModel) -> PipelineModel:
     return model.bestModel
 

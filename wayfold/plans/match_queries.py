@@ -88,6 +88,23 @@ def _(i):
     return M.cogroup(i.vehicle_pings, i.client_pings, WINDOW).withColumn("ventana", F.col("ventana").cast("timestamp_ntz"))
 
 
+@query(
+    "windowed_cogroup_rows", PINGS,
+    """SELECT *, row_number() OVER (PARTITION BY ventana, viaje_id ORDER BY lado, ts, id, event_id) AS orden FROM
+ (SELECT time_bucket(INTERVAL 6 HOUR, ts) AS ventana, viaje_id, 0 AS lado, ts, vehiculo_id AS id, event_id FROM vehicle_pings
+  UNION ALL SELECT time_bucket(INTERVAL 6 HOUR, ts), viaje_id, 1, ts, cliente_id, event_id FROM client_pings)""",
+)
+def _(i):
+    """Every ping with its place in its group, counted by a fold over both sides' rows."""
+    def numbered(key, rows):
+        for place, r in enumerate(rows, 1):
+            yield (*key, r.lado, r.ts, r.id, r.event_id, place)
+
+    rows = M.cogroup_rows(i.vehicle_pings, i.client_pings, WINDOW)
+    found = M.fold_groups(rows, ["ventana", "viaje_id"], numbered, "ventana timestamp, viaje_id long, lado int, ts timestamp, id long, event_id long, orden long")
+    return found.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ventana", "ts")})
+
+
 @query(
     "pings_per_window", "client_pings",
     "SELECT time_bucket(INTERVAL 30 SECOND, ts) AS inicio, time_bucket(INTERVAL 30 SECOND, ts) + INTERVAL 30 SECOND AS fin, count(*) AS pings FROM client_pings GROUP BY 1, 2",

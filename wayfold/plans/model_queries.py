@@ -13,6 +13,7 @@ from wayfold.plans.analytics_queries import rounded
 from wayfold.plans.draw_queries import u_sql
 from wayfold.plans.registry import query
 from wayfold.session import durable, shared_folder
+from wayfold.sources import tables
 
 NUMERIC = ["rating", "anio_fabricacion", "puntos_carnet", "cilindraje_motor", "kilometraje", "anio_registro_app", "edad_cliente"]
 TEXT = ["metodo_pago", "marca_coche", "tipo_combustible", "genero_cliente", "trabajo_cliente"]
@@ -161,9 +162,36 @@ def _(i):
 
 @query("fare_grid_search")
 def _(i):
-    """Cross-validated error of each setting of a small grid."""
+    """Cross-validated error of each setting of a small grid; every number of trees is read off one fit."""
     train, _ = split(i.enriched, KEY)
-    grid = {"maxIter": [2, 4], "maxDepth": [2]}
-    found = H.grid_search(train, grid, folds=2, parallelism=2, key=KEY)
-    settings = [(int(m[p]), float(e)) for m, e in zip(found.getEstimatorParamMaps(), found.avgMetrics) for p in m if p.name == "maxIter"]
-    return i.spark.createDataFrame(settings, "max_iter long, mse double")
+    grid = {"maxIter": [2, 4, 6], "stepSize": [0.05, 0.1], "maxDepth": [3]}
+    rows = [(s["maxIter"], s["stepSize"], s["maxDepth"], sum(errors) / len(errors)) for s, errors in H.staged_grid_search(train, KEY, grid, folds=2)]
+    return i.spark.createDataFrame(rows, "max_iter long, step_size double, max_depth long, mse double")
+
+
+@query(
+    "streamed_fare_predictions", "enriched",
+    f"SELECT count(*) AS filas, count(*) AS previstas, count(*) AS iguales FROM enriched WHERE NOT ({u_sql('pedido, linea', 'particion')} < 0.8e0)",
+)
+def _(i):
+    """A saved model scores rides as they arrive and appends the fares to a table that was written anew with its declared schema."""
+    train, test = split(i.enriched, KEY)
+    rows, folder = H.features(train.drop(*KEY)), f"{shared_folder(i.spark)}/scored-{uuid.uuid4().hex}"
+    H.save(H.build_pipeline(rows.schema, maxIter=3, maxDepth=3).fit(rows), f"{folder}/model")
+    test.write.parquet(f"{folder}/rides")
+    arriving = i.spark.readStream.schema(test.schema).option("maxFilesPerTrigger", 4).parquet(f"{folder}/rides")
+    scored = H.score(H.load(f"{folder}/model"), arriving).select(*KEY, "pago_previsto")
+    name = f"fares_{uuid.uuid4().hex}"
+    tables.ensure_table(i.spark, name, scored.schema, path=f"{folder}/fares")
+    tables.replace(i.spark.createDataFrame([], scored.schema), name, scored.schema)
+    tables.start_append_stream(scored, name, f"{folder}/checkpoint", scored.schema).awaitTermination()
+    stored = durable(i.spark.read.table(name), "fares")
+    i.spark.sql(f"DROP TABLE {name}")
+    batch = H.score(H.load(f"{folder}/model"), i.spark.read.schema(test.schema).parquet(f"{folder}/rides")).select(*KEY, "pago_previsto")
+    # Keys repeat, so both sides are compared as bags of (key, fare).
+    fares = [*KEY, "pago_previsto"]
+    counts = [df.groupBy(*fares).agg(F.count(F.lit(1)).alias(n)) for df, n in ((batch, "antes"), (stored, "ahora"))]
+    met = counts[0].join(counts[1], fares, "full")
+    return met.agg(
+        F.sum("antes").alias("filas"), F.sum(F.when(F.col("pago_previsto").isNotNull(), F.col("ahora"))).alias("previstas"), F.sum(F.least("antes", "ahora")).alias("iguales"),
+    )

@@ -19,10 +19,14 @@ def lines(documents: DataFrame, document: str = "value") -> DataFrame:
 def number_files(lines: DataFrame, file: str = "_file") -> DataFrame:
     """Replace the file by a trip id: its place among the files, by path, that hold a line.
 
-    Lines are numbered before they become points: the window sorts one short row per file, and no
-    points are shuffled.
+    Lines are numbered before they become points, and by many tasks: files are dealt by ranges of their paths, each range
+    numbers its own, and what earlier ranges hold is added (one row per range).
     """
-    numbered = lines.select(file).withColumn("viaje", F.row_number().over(Window.orderBy(file)).cast("long"))
+    dealt = durable(lines.select(file).repartitionByRange(file).select(file, F.spark_partition_id().alias("_range")), "files")
+    sizes = dealt.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(file)))
+    numbered = own.join(F.broadcast(earlier), "_range").select(file, (F.col("_before") + F.col("_own")).cast("long").alias("viaje"))
     return lines.join(numbered, file).drop(file)
 
 
