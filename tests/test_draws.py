@@ -69,3 +69,15 @@ def test_letters_of_all_scripts_keep_their_base(spark):
     for r in rows:
         plain = None if r.w is None else unicodedata.normalize("NFKD", r.w).encode("ascii", "ignore").decode()
         assert r.a == plain and r.b == plain
+
+
+def test_each_key_has_its_own_permutation(spark):
+    for n in (1, 2, 3, 17, 1000):
+        grid = spark.range(n).crossJoin(spark.range(3).toDF("tick"))
+        rows = grid.select("tick", "id", D.permuted(F.col("id"), F.lit(n), "tick", 5, "p").alias("x")).collect()
+        places = {t: [r.x for r in sorted(rows, key=lambda r: r.id) if r.tick == t] for t in range(3)}
+        assert all(sorted(p) == list(range(n)) for p in places.values())
+    # Neighbours of one tick are neighbours of another no more often than by chance (about two of a thousand).
+    near = [{frozenset((a, b)) for a, b in zip(p, p[1:])} for p in places.values()]
+    assert len(near[0] & near[1]) < 15 and len(near[0] & near[2]) < 15
+    assert sum(b - a == 1 for a, b in zip(places[0], places[0][1:])) < 15

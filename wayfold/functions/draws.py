@@ -22,6 +22,46 @@ def uniform(keys: str | Sequence[str], seed: int, salt: str) -> Column:
     return F.conv(F.substring(hash_hex(keys, seed, salt), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
+#: Steps after which a walk back into 0..n-1 is given up. Fewer places than its square lie outside, so only for n above that
+#: square could a walk be longer, and then with a chance of less than one in WALK to the power WALK.
+WALK = 64
+
+
+def permuted(place: Column, n: Column, keys: str | Sequence[str], seed: int, salt: str) -> Column:
+    """Where a place of 0..n-1 goes in the permutation that belongs to ``keys``; different keys permute differently.
+
+    A Feistel network on a grid of about sqrt(n) x sqrt(n) places: each half is moved by a hash of the other, four times in
+    turn. The few places of the grid beyond n walk on until they are inside, so nothing is ranked or sorted.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+
+    def let(fn, **values: Column) -> Column:
+        return F.transform(F.array(F.struct(*[v.cast("long").alias(k) for k, v in values.items()])), fn)[0]
+
+    def moved(half: Column, other: Column, turn: int, size: Column) -> Column:
+        text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], other.cast("string"), F.lit(str(seed)), F.lit(f"{salt}{turn}"))
+        return (half + F.floor(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0) * size)) % size
+
+    def within(size: Column) -> Column:
+        def once(x: Column) -> Column:
+            return let(
+                lambda s: let(
+                    lambda t: let(
+                        lambda u: let(lambda v: v["left"] * size["b"] + moved(u["right"], v["left"], 4, size["b"]), left=moved(t["left"], u["right"], 3, size["a"])),
+                        right=moved(s["right"], t["left"], 2, size["b"]),
+                    ),
+                    left=moved(s["left"], s["right"], 1, size["a"]),
+                ),
+                left=F.floor(x / size["b"]), right=x % size["b"],
+            )
+
+        walk = lambda x, _: F.when(x < size["n"], x).otherwise(once(x))
+        return F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), once(size["at"]).cast("long"), lambda x, k: walk(x, k).cast("long"))
+
+    root = F.ceil(F.sqrt(n.cast("double")))
+    return let(within, a=root, b=F.ceil(n / root), n=n, at=place)
+
+
 def _weight_total(weights: Sequence[float]) -> float:
     total = 0.0
     for w in weights:

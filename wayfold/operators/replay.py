@@ -38,8 +38,8 @@ def request_batches(points: DataFrame, clients: DataFrame, ticks: DataFrame, see
     """Ride requests: at every tick each client asks for its own fixed trip from near a route point.
 
     ``clients`` has ``cliente_id`` and ``posicion`` 1..n; ``ticks`` has ``tick`` and ``start_ts``. A
-    tick's points are drawn without repetition: points get one random ranking, and a tick takes n
-    consecutive ranks from a random start. So points are ranked once, not once per tick.
+    tick's points are drawn without repetition and on their own: points get one random ranking, and each tick takes the first
+    n ranks of its own permutation of it. So points are ranked once, not once per tick.
     """
     ranked = rank_by_hash(points, ["viaje_id", "punto_ruta"], seed, "_rank").select(
         F.col("_rank"), F.col("latitud").alias("_lat"), F.col("longitud").alias("_lon")
@@ -48,9 +48,9 @@ def request_batches(points: DataFrame, clients: DataFrame, ticks: DataFrame, see
     n = clients.agg(F.max("posicion").alias("n")).scalar()
     asked = (
         ticks.withColumn("_n", total)
-        .withColumn("_start", F.floor(D.uniform("tick", seed, "inicio") * F.col("_n")))
         .withColumn("posicion", F.explode(F.sequence(F.lit(1).cast("long"), n)))
-        .withColumn("_rank", F.pmod(F.col("_start") + F.col("posicion") - 1, F.col("_n")) + 1)
+        # More clients than points begin the permutation again.
+        .withColumn("_rank", D.permuted((F.col("posicion") - 1) % F.col("_n"), F.col("_n"), "tick", seed, "punto") + 1)
     )
     placed = asked.join(clients, "posicion").join(ranked, "_rank")
     key = ["cliente_id", "tick"]

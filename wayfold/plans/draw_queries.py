@@ -307,6 +307,15 @@ def _(i):
     return replay.replay_routes(i.route_points, run_frame(i)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def feistel_sql(source: str, x: str) -> str:
+    """One pass of the permutation of a tick: ``x`` cut into halves that move each other four times."""
+    moves = [("l1", "l0", "r0", "a"), ("r1", "r0", "l1", "b"), ("l2", "l1", "r1", "a"), ("r2", "r1", "l2", "b")]
+    text = f"(SELECT *, x0 // b AS l0, x0 % b AS r0 FROM (SELECT tick, posicion, n, a, b, {x} AS x0 FROM {source}))"
+    for turn, (out, half, other, size) in enumerate(moves, 1):
+        text = f"(SELECT *, ({half} + CAST(floor({u_sql(f'tick, {other}', f'punto{turn}')} * {size}) AS BIGINT)) % {size} AS {out} FROM {text})"
+    return f"SELECT tick, posicion, n, a, b, l2 * b + r2 AS x FROM {text}"
+
+
 N_CLIENTS = 200
 KEYS = "c.cliente_id, t.tick"
 
@@ -316,11 +325,13 @@ KEYS = "c.cliente_id, t.tick"
     f"""SELECT t.tick, c.cliente_id, {int_sql(u_sql('c.cliente_id', 'viaje'), 1, 38)} AS viaje_id, round(p.latitud + (0.001e0 + 0.001e0 * {u_sql(KEYS, 'lat')}), 9) AS latitud,
  round(p.longitud - (0.001e0 + 0.001e0 * {u_sql(KEYS, 'lon')}), 9) AS longitud, {beta_sql(KEYS, 'rating', 4, 2, 1, 10)} AS rating,
  (SELECT v FROM pagos WHERE {u_sql(KEYS, 'pago')} * total >= lo AND {u_sql(KEYS, 'pago')} * total < hi) AS metodo_pago, TIMESTAMP '2024-02-01 08:00:00' + to_seconds(t.tick * 3) AS ts
- FROM ticks t, elegidos c JOIN orden p ON p.rn = (CAST(floor({u_sql('t.tick', 'inicio')} * p.n) AS BIGINT) + c.posicion - 1) % p.n + 1""",
+ FROM ticks t, elegidos c JOIN paseo w ON w.tick = t.tick AND w.posicion = c.posicion JOIN orden p ON p.rn = w.x + 1 WHERE w.x < w.n""",
     more=f"""{PAY},
  ticks AS (SELECT s_suppkey AS tick FROM supplier),
  elegidos AS (SELECT c_custkey AS cliente_id, row_number() OVER (ORDER BY {order_sql('c_custkey')}, c_custkey) AS posicion FROM customer QUALIFY posicion <= {N_CLIENTS}),
- orden AS (SELECT latitud, longitud, row_number() OVER (ORDER BY {order_sql('viaje_id, punto_ruta')}, viaje_id, punto_ruta) AS rn, count(*) OVER () AS n FROM route_points)""",
+ orden AS (SELECT latitud, longitud, row_number() OVER (ORDER BY {order_sql('viaje_id, punto_ruta')}, viaje_id, punto_ruta) AS rn, count(*) OVER () AS n FROM route_points),
+ red AS (SELECT count(*) AS n, CAST(ceil(sqrt(count(*))) AS BIGINT) AS a, CAST(ceil(count(*) / ceil(sqrt(count(*)))) AS BIGINT) AS b FROM route_points),
+ paseo AS ({feistel_sql('ticks, elegidos, red', '(posicion - 1) % n')} UNION ALL {feistel_sql('paseo WHERE x >= n', 'x')})""",
 )
 def _(i):
     chosen = sampling.rank_by_hash(i.customer.select(F.col("c_custkey").alias("cliente_id")), "cliente_id", SEED).where(F.col("posicion") <= N_CLIENTS)
