@@ -1,6 +1,7 @@
 """Streams give what the batch form gives on the same rows."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,3 +86,45 @@ def test_ride_sink_needs_its_table_and_appends(spark, feed):
     tables.start_append_stream(stream, "viajes_cobrados", f"{folder}/ck2", schemas.RIDES).awaitTermination(240)
     got = spark.read.table("viajes_cobrados")
     assert got.schema == schemas.RIDES and got.count() == M.greedy_match(v, u, "6 hours", 2.0).count()
+
+
+V = "event_id long, ts timestamp, viaje_id long, vehiculo_id long, num_plazas long, latitud double, longitud double, latitud_final double, longitud_final double"
+U = "event_id long, ts timestamp, viaje_id long, cliente_id long, latitud double, longitud double, rating double, metodo_pago string"
+START, PLACE, LATER = dt.datetime(2024, 1, 1), (39.45, -0.4), dt.datetime(2024, 6, 1)
+
+
+def streams_of(spark, vs, us, folder):
+    """File streams of pings, with a far later one on a trip of its own in each."""
+    vs, us = [*vs, (-1, LATER, 999, 1, 1, *PLACE, *PLACE)], [*us, (-1, LATER, 999, 1, *PLACE, 5.0, "Bizum")]
+    for rows, schema, name in ((vs, V, "v"), (us, U, "u")):
+        spark.createDataFrame(rows, schema).write.parquet(f"{folder}/{name}")
+    return [spark.readStream.schema(schema).parquet(f"{folder}/{name}") for schema, name in ((V, "v"), (U, "u"))]
+
+
+def test_a_busy_trip_is_folded_slice_by_slice(spark, tmp_path):
+    rnd = random.Random(5)
+    trip = lambda: 1 if rnd.random() < 0.4 else rnd.randint(2, 9)
+    at = lambda: START + dt.timedelta(milliseconds=rnd.randrange(90_000))
+    place = lambda: (39.45 + rnd.uniform(0, 0.02), -0.40 + rnd.uniform(0, 0.02))
+    vs = [(k, at(), trip(), rnd.randint(1, 60), rnd.randint(1, 3), *place(), *place()) for k in range(250)]
+    us = [(k, at(), trip(), rnd.randint(1, 300), *place(), 5.0, "Tarjeta") for k in range(500)]
+    seen = []
+    for remember, window in ((False, "30 seconds"), (True, "15 seconds")):
+        folder = tmp_path / window.split()[0]
+        stream = match_stream(*streams_of(spark, vs, us, folder), window, 2.0, remember=remember, time_slice="1 second")
+        assert "collect_list" not in stream._jdf.queryExecution().toString()
+        run(stream, folder)
+        v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+        same(spark.read.parquet(f"{folder}/out"), (M.greedy_match_remembering if remember else M.greedy_match)(v, u, window, 2.0))
+        seen.append(spark.read.parquet(f"{folder}/out").where("viaje_id = 1").count())
+    assert min(seen) > 20
+
+
+def test_memory_fades_after_its_time(spark, tmp_path):
+    minute = lambda k: START + dt.timedelta(seconds=60 * k + 1)
+    vs = [(k, minute(k), 1, 100 + k, 1, *PLACE, *PLACE) for k in range(5)]
+    us = [(k, minute(k), 1, 7, *PLACE, 5.0, "Bizum") for k in range(5)]
+    stream = match_stream(*streams_of(spark, vs, us, tmp_path), "60 seconds", 2.0, remember=True, ttl_ms=120_000)
+    run(stream, tmp_path)
+    # Taken in minute 0 and again in minutes 2 and 4: a window that ends two minutes later no longer remembers.
+    assert sorted(r.v_event for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 2, 4]
