@@ -326,9 +326,10 @@ def _answer():
         keys = np.concatenate(asked)
         order = np.argsort(keys, kind="stable")
         runs = _runs(keys[order])
-        distinct = keys[order][runs]
-        found = bit_predictions(distinct, np.add.reduceat(counts[order], runs) if len(runs) else counts)
-        values = [_packed(found[np.searchsorted(distinct, own)]) for own in asked]
+        found = bit_predictions(keys[order[runs]], np.add.reduceat(counts[order], runs) if len(runs) else counts)
+        place = np.empty(len(keys), np.int64)
+        place[order] = np.repeat(np.arange(len(runs)), np.diff(np.append(runs, len(keys))))
+        values = [_packed(found[own]) for own in np.split(place, np.cumsum([len(own) for own in asked])[:-1])]
         total = _totals(table)
         known = [_packed(np.array([total[w] for w in words], np.int64)) for words, _ in _word_lists(table)]
         return pa.Table.from_arrays(
@@ -478,8 +479,10 @@ def _score(n_tokens: int, n_distinct: int, shards: int, bits: int):
         answers = table.filter(pa.compute.is_valid(table.column("shard"))).sort_by("shard")
         keys = np.concatenate([_unpack_keys(p) for p in answers.column("payload").to_pylist()])
         values = np.concatenate([_unpacked(v, np.int8, 8) for v in answers.column("values").to_pylist()])
-        score = log_probabilities(texts, keys, values, bits)
-        del keys, values
+        # A text's score hangs on nothing but the text, so copies in a block share it.
+        different = {text: k for k, text in enumerate(dict.fromkeys(texts))}
+        score = log_probabilities(list(different), keys, values, bits)[[different[text] for text in texts]]
+        del keys, values, different
         # The block's words by shard, in the order of their first place, as it asked for them.
         named = _by_shard(dict.fromkeys(word for text in texts for word in text.split(b" ")), shards)
         whole, logs, unknown = n_tokens + BASE_PRIOR * (n_distinct + 1), {}, set()
