@@ -21,20 +21,20 @@ CHUNK_BYTES = 4096
 BAD_SHARE = 0.25
 #: (bytes from, lowest ratio, highest ratio): original bytes by compressed bytes. Lowest ratios stand between those of random
 #: base64 words, which reach 1.12, 1.21, 1.29, 1.33 and 1.35 from 256 to 4096 bytes, and those of labelled good prose, which begin
-#: at 1.24, 1.42, 1.61, 1.79 and 1.95; highest ones just above the highest of that prose. Below the first length nothing is said.
+#: at 1.24, 1.42, 1.61, 1.79 and 1.95; highest ones four to six deviations above the mean of that prose. Below the first length nothing is said.
 BANDS = (
     (64, 0.70, 1.70),
     (128, 0.98, 2.02),
     (192, 1.08, 2.02),
     (256, 1.17, 2.05),
     (384, 1.27, 2.10),
-    (512, 1.33, 2.12),
-    (1024, 1.40, 2.21),
-    (2048, 1.43, 2.29),
-    (4096, 1.52, 2.39),
-    (8192, 1.55, 2.48),
-    (16384, 1.55, 2.64),
-    (32768, 1.55, 2.80),
+    (512, 1.33, 2.15),
+    (1024, 1.40, 2.25),
+    (2048, 1.43, 2.35),
+    (4096, 1.52, 2.45),
+    (8192, 1.55, 2.55),
+    (16384, 1.55, 2.70),
+    (32768, 1.55, 2.85),
     (65536, 1.55, 3.00),
     (262144, 1.55, 3.20),
 )

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from wayfold.llm.batches import map_batches, raw, slices
 
 MIN_TILE = 5
+#: Items of fewer tokens say too little to be told from chance and match nothing.
+MIN_ITEM = 3
 COVERAGE = 0.5
 #: Benchmark text sent to the executors at once. Larger benchmarks go in several blocks, each held against all documents.
 BLOCK_BYTES = 8 << 20
@@ -55,7 +57,7 @@ class SeedIndex:
         parts: dict[int, list[tuple[np.ndarray, ...]]] = {}
         for item, text in items:
             ids = np.array([self.vocabulary.setdefault(w, len(self.vocabulary)) for w in tokens(text)], np.int64)
-            if len(ids):
+            if len(ids) >= MIN_ITEM:
                 own = min(width, len(ids))
                 found = window_hashes(ids, own)
                 before = np.concatenate([[-1], ids[: len(found) - 1]])
@@ -163,7 +165,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, min
     """``doc_id, item_id, n_tokens, n_covered, coverage, n_tiles, longest`` of every document that holds ``coverage`` of an item.
 
     Every document is held against every block of the benchmark; a block is sized before it is sent out. Items of fewer
-    than ``min_tile`` tokens must stand in the document whole. Null texts and items match nothing; repeated rows of either
+    than ``min_tile`` tokens must stand in the document whole, and those of fewer than ``MIN_ITEM`` match nothing. Null texts and items match nothing; repeated rows of either
     table give repeated rows. Documents are only mapped, never shuffled.
     """
     lean, out = docs.selectExpr("cast(doc_id as long) doc_id", "text"), None
