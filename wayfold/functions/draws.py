@@ -55,8 +55,12 @@ def permuted(place: Column, n: Column, keys: str | Sequence[str], seed: int, sal
                 left=F.floor(x / size["b"]), right=x % size["b"],
             )
 
-        walk = lambda x, _: F.when(x < size["n"], x).otherwise(once(x))
-        return F.aggregate(F.sequence(F.lit(2), F.lit(WALK)), once(size["at"]).cast("long"), lambda x, k: walk(x, k).cast("long"))
+        def walked(first: Column) -> Column:
+            steps = F.sequence(F.lit(2), F.lit(WALK))
+            return F.aggregate(steps, first, lambda x, _: F.when(x < size["n"], x).otherwise(once(x)).cast("long"))
+
+        # Almost every place is inside at once.
+        return let(lambda f: F.when(f["x"] < size["n"], f["x"]).otherwise(walked(f["x"])), x=once(size["at"]))
 
     root = F.ceil(F.sqrt(n.cast("double")))
     return let(within, a=root, b=F.ceil(n / root), n=n, at=place)
