@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -66,6 +66,20 @@ def permuted(place: Column, n: Column, keys: str | Sequence[str], seed: int, sal
     return let(within, a=root, b=F.ceil(n / root), n=n, at=place)
 
 
+def with_permuted(df: DataFrame, out: str, place: Column, n: Column, keys: str | Sequence[str], seed: int, salt: str) -> DataFrame:
+    """``permuted`` as a column ``out``, one half after the other, so that all but the few walks run as generated code."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    df = df.withColumns({"_p": place.cast("long"), "_m": n.cast("long")}).withColumn("_a", F.ceil(F.sqrt(F.col("_m").cast("double"))))
+    df = df.withColumn("_d", F.ceil(F.col("_m") / F.col("_a"))).withColumns({"_h0": F.floor(F.col("_p") / F.col("_d")), "_h1": F.col("_p") % F.col("_d")})
+    for turn, size in enumerate(("_a", "_d", "_a", "_d"), 1):
+        step = F.floor(uniform([*keys, f"_h{turn}"], seed, f"{salt}{turn}") * F.col(size)).cast("long")
+        df = df.withColumn(f"_h{turn + 1}", (F.col(f"_h{turn - 1}") + step) % F.col(size))
+    at = F.col("_h4") * F.col("_d") + F.col("_h5")
+    df = df.withColumn("_x", at.cast("long"))
+    inside = F.when(F.col("_x") < F.col("_m"), F.col("_x")).otherwise(permuted(F.col("_p"), F.col("_m"), keys, seed, salt))
+    return df.withColumn(out, inside).drop("_p", "_m", "_a", "_d", "_x", *[f"_h{k}" for k in range(6)])
+
+
 def _weight_total(weights: Sequence[float]) -> float:
     total = 0.0
     for w in weights:

@@ -49,9 +49,9 @@ def request_batches(points: DataFrame, clients: DataFrame, ticks: DataFrame, see
     asked = (
         ticks.withColumn("_n", total)
         .withColumn("posicion", F.explode(F.sequence(F.lit(1).cast("long"), n)))
-        # More clients than points begin the permutation again.
-        .withColumn("_rank", D.permuted((F.col("posicion") - 1) % F.col("_n"), F.col("_n"), "tick", seed, "punto") + 1)
     )
+    # More clients than points begin the permutation again.
+    asked = D.with_permuted(asked, "_rank", (F.col("posicion") - 1) % F.col("_n"), F.col("_n"), "tick", seed, "punto").withColumn("_rank", F.col("_rank") + 1)
     placed = asked.join(clients, "posicion").join(ranked, "_rank")
     key = ["cliente_id", "tick"]
     return placed.select(
