@@ -4,6 +4,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,37 @@ def test_keys_are_packed_without_loss():
     where = mixing._Places(keys)
     wanted = rng.choice(keys, 5000)
     assert (keys[where.of(wanted)] == wanted).all()
+
+
+def scored_here(spark, texts):
+    """One block's scores, worked out in this process."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    parts = mixing.gather(docs, F.col("doc_id") % 3 != 1, 1, 32).toArrow()
+    head, asked = (parts.filter(pa.compute.is_valid(parts.column(name))) for name in ("ids", "shard"))
+    known = mixing._vocabulary(asked).to_pylist()[0]
+
+    def run():
+        answers = mixing._answer()(asked)
+        table = pa.concat_tables([head.select(["block", "ids", "learn", "sizes", "payload"]), answers], promote_options="default")
+        return mixing._score(known["n"], known["v"], 1, 32)(table)
+
+    return run
+
+
+def test_a_block_hashes_each_of_its_contexts_once(spark, monkeypatch):
+    texts = [" ".join(f"word{k * j % 20}" for j in range(30)) for k in range(200)]
+    run, hashed, plainly = scored_here(spark, texts), [], mixing._hashed
+    monkeypatch.setattr(mixing, "_hashed", lambda h, order, bits: (hashed.append(len(h)), plainly(h, order, bits))[1])
+    assert run().num_rows == 200 and 0 < sum(hashed) < sum(map(len, texts)) / 4
+
+
+@pytest.mark.parametrize("texts", [TEXTS, [f"{k} kat{k % 7}" for k in range(90)] + ["same"] * 5])
+def test_scores_do_not_hang_on_what_is_done_at_once(spark, monkeypatch, texts):
+    run = scored_here(spark, texts)
+    rows = [run().to_pylist()]
+    for name, value in {"LANES": 3, "STRETCH": 5, "LOOK": 16, "SORTED": 50, "MIXED": 64}.items():
+        monkeypatch.setattr(mixing, name, value)
+    rows.append(run().to_pylist())
+    for found in rows:
+        check([[r[c] for c in COLUMNS] for r in found], plain(texts, [k % 3 != 1 for k in range(len(texts))]))
+    assert [r["score"] for r in rows[0]] == pytest.approx([r["score"] for r in rows[1]], rel=1e-6)

@@ -27,21 +27,23 @@ from pyspark.sql.types import StructType
 from wayfold.llm.batches import raw, slices
 from wayfold.session import durable
 
-#: Byte contexts by length; the word so far is one more.
+#: Byte contexts by length, seven bytes at most; the word so far is one more.
 ORDERS = (2, 4)
 K = len(ORDERS) + 1
 #: Weights and the refining map begin anew after so many bytes of a text, so that long texts are as parallel as short ones.
 SEGMENT = 1024
-#: Bytes of text in a block (and one text more at most), in what is sorted and in what is mixed at once, and for a shard of the table.
-BLOCK, SORTED, MIXED, SHARD = 1 << 24, 1 << 19, 1 << 20, 1 << 22
+#: Bytes of text in a block (and one text more at most), in what is sorted and in what is laid out for mixing at once, and for a shard of the table.
+BLOCK, SORTED, MIXED, SHARD = 1 << 24, 1 << 20, 1 << 20, 1 << 22
+#: Segments that are walked at once, bytes of each that are made ready at once, and bytes that are hashed or looked up at once: what caches hold.
+LANES, STRETCH, LOOK = 1300, 8, 1 << 15
 #: Added to the counts of both sides of a bit; steps of the eight-bit form of a log odds; bounds of the mixed log odds.
 PRIOR, STEP, FARTHEST = 0.03, 1 / 12, 11.0
 START_WEIGHT, RATE, LEAST_RATE = 0.35, 0.02, 0.004
 BUCKETS, MAP_RATE, MAP_SHARE = 25, 0.02, 0.25
 BASE_PRIOR = 0.1
 END = b"\n"
-#: The bits of every byte, highest first, as 1 and -1.
-SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32) * 2 - 1
+#: How far each bit of a byte, highest first, is from the sign of a float, and that sign.
+TO_SIGN, SIGN = np.arange(24, 32, dtype=np.uint32)[:, None], np.uint32(1 << 31)
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 PARTS = (
     "block long, shard int, ids array<long>, learn array<boolean>, sizes array<int>, payload binary, counts binary, words binary, word_counts binary"
@@ -89,16 +91,27 @@ def _powers_of(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
-def context_keys(buffer: np.ndarray, bits: int) -> Iterator[np.ndarray]:
-    """Context of ``bits`` bits and next byte for every place of texts that each begin behind ``_PAD``; one array per predictor."""
-    n, byte = len(buffer), buffer.astype(np.uint64)
-    h = np.zeros(n, np.uint64)
-    for k in range(1, max(ORDERS) + 1):
+def context_codes(data: bytes) -> np.ndarray:
+    """The last bytes and the next one, as one number, for every place behind the first ``_PAD`` of joined texts.
+
+    The code of a shorter context is what remains of it without the lowest bytes.
+    """
+    return np.ndarray((len(data) - len(_PAD),), "<u8", data + bytes(8), 0, (1,)) & np.uint64((1 << 8 * (len(_PAD) + 1)) - 1)
+
+
+def code_keys(codes: np.ndarray, order: int, bits: int) -> np.ndarray:
+    """Context of ``bits`` bits and next byte of codes."""
+    h = np.zeros(len(codes), np.uint64)
+    for k in reversed(range(order)):
         h *= _ODD
-        h[k:] += byte[: n - k] + np.uint64(1)
-        if k in ORDERS:
-            yield _hashed(h.copy(), k, bits) << np.uint64(8) | byte
-    # The word so far: differences of a polynomial sum, divided by the power at the word's start.
+        h += (codes >> np.uint64(8 * k) & np.uint64(255)) + np.uint64(1)
+    return _hashed(h, order, bits) << np.uint64(8) | codes >> np.uint64(8 * order)
+
+
+def word_keys(buffer: np.ndarray, bits: int) -> np.ndarray:
+    """Word so far as ``bits`` bits and next byte, for every place of whole words with what closes them."""
+    # Differences of a polynomial sum, divided by the power at the word's start.
+    n, byte = len(buffer), buffer.astype(np.uint64)
     power, inverse = _powers_of(n + 1)
     total = np.zeros(n + 1, np.uint64)
     np.cumsum((byte + np.uint64(1)) * power[:n], out=total[1:])
@@ -107,17 +120,56 @@ def context_keys(buffer: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     start[1:] = np.maximum.accumulate(np.where(border[:-1], np.arange(1, n, dtype=np.int32), 0))
     h = total[:n] - total.take(start)
     h *= inverse.take(start)
-    yield _hashed(h, 99, bits) << np.uint64(8) | byte
-
-
-def _padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array, each behind its padding, and the places that are scored."""
-    buffer = np.frombuffer(b"".join(_PAD + t for t in texts), np.uint8)
-    scored = np.ones(len(buffer), bool)
-    starts = np.cumsum([0] + [len(t) + len(_PAD) for t in texts])[:-1]
+    return _hashed(h, 99, bits) << np.uint64(8) | byte
+
+
+class _Words:
+    """The words of texts, each with the space or end that closes it; what hangs on a word alone is worked out once."""
+
+    def __init__(self, texts: list[bytes]):
+        data = b"".join(texts)
+        buffer = np.frombuffer(data, np.uint8)
+        ends = np.flatnonzero((buffer == 32) | (buffer == 10)) + 1
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        every = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        self.ids, different = every.indices.to_numpy(), every.dictionary
+        #: Where the words of each text begin in ``ids``, and where the last ones end.
+        self.first = np.searchsorted(ends, np.cumsum([0] + [len(t) for t in texts]), side="right")
+        _, offsets, data = different.buffers()
+        #: Where each different word begins in ``buffer``, and where the last one ends.
+        self.starts = np.frombuffer(offsets, np.int32, len(different) + 1)
+        self.buffer = np.frombuffer(data, np.uint8, self.starts[-1])
+
+    def listed(self) -> list[bytes]:
+        """Different words in the order of their first places, without the space; the end is a word."""
+        return self.buffer.tobytes().replace(END, END + b" ").split(b" ")[:-1]
+
+    def keys(self, bits: int) -> Iterator[tuple[slice, np.ndarray]]:
+        """Keys of the word so far for a run of different words at a time."""
+        start, last = 0, len(self.starts) - 1
+        while start < last:
+            end = max(int(np.searchsorted(self.starts, self.starts[start] + LOOK, side="right")) - 1, start + 1)
+            yield slice(start, end), word_keys(self.buffer[self.starts[start] : self.starts[end]], bits)
+            start = end
+
+    def places(self, texts: slice) -> np.ndarray:
+        """For every byte of some texts, where its word has it in ``buffer``."""
+        starts = self.starts.take(ids := self.ids[self.first[texts.start] : self.first[texts.stop]])
+        sizes = self.starts.take(ids + 1) - starts
+        ends = np.cumsum(sizes, dtype=np.int32)
+        places = np.repeat(starts - (ends - sizes), sizes)
+        places += np.arange(len(places), dtype=np.int32)
+        return places
+
+
+def _padded(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """All texts joined, each behind its padding, and which places behind the first padding are scored."""
+    data = b"".join(_PAD + t for t in texts)
+    scored = np.ones(len(data) - len(_PAD), bool)
+    ends = np.cumsum([len(t) + len(_PAD) for t in texts])[:-1] - len(_PAD)
     for k in range(len(_PAD)):
-        scored[starts + k] = False
-    return buffer, scored
+        scored[ends + k] = False
+    return data, scored
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -164,6 +216,14 @@ def _runs(keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys with the sums of their counts."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    at = _runs(keys)
+    return keys[at], np.add.reduceat(counts.astype(np.int64), at).astype(np.uint32) if len(at) else counts
+
+
 class _Counted:
     """Sorted distinct keys with counts, combined as parts come in."""
 
@@ -175,19 +235,34 @@ class _Counted:
         keys = np.sort(keys)
         at = _runs(keys)
         counts = np.diff(np.append(at, len(keys))) if learn else np.zeros(len(at), np.int64)
-        self.parts.append((keys[at], counts.astype(np.uint32)))
-        self.waiting += len(at)
+        self._hold(keys[at], counts.astype(np.uint32))
+
+    def add_sums(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self._hold(*_summed(keys, counts))
+
+    def _hold(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.parts.append((keys, counts))
+        self.waiting += len(keys)
         if self.waiting > 1 << 21:
             self.merged()
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
-        keys, counts = (np.concatenate([p[k] for p in self.parts]) for k in (0, 1))
-        order = np.argsort(keys, kind="stable")
-        keys, counts = keys[order], counts[order]
-        at = _runs(keys)
-        keys, counts = keys[at], np.add.reduceat(counts.astype(np.int64), at).astype(np.uint32) if len(at) else counts
-        self.parts, self.waiting = [(keys, counts)], 0
-        return keys, counts
+        found = _summed(*(np.concatenate([p[k] for p in self.parts]) for k in (0, 1)))
+        self.parts, self.waiting = [found], 0
+        return found
+
+
+def _codes(texts: list[bytes], learn: bool, counted: _Counted) -> _Counted:
+    """Add the codes of texts."""
+    for at in _split(texts, SORTED):
+        data, scored = _padded(texts[at])
+        counted.add(context_codes(data)[scored], learn)
+    return counted
+
+
+def _shorter(codes: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of a shorter context, and which of them each of the sorted codes has."""
+    return np.unique(codes >> np.uint64(8 * (max(ORDERS) - order)), return_inverse=True)
 
 
 def _split(texts: list, size: int) -> Iterator[slice]:
@@ -202,11 +277,11 @@ def _split(texts: list, size: int) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def _by_shard(words: Iterable[bytes], shards: int) -> dict[int, list[bytes]]:
-    """Words by the shard that counts them, in the order given."""
-    found: dict[int, list[bytes]] = {}
-    for word in words:
-        found.setdefault(zlib.crc32(word) * shards >> 32, []).append(word)
+def _by_shard(words: Iterable[bytes], shards: int) -> dict[int, list[int]]:
+    """Numbers of words by the shard that counts them, in the order given."""
+    found: dict[int, list[int]] = {}
+    for number, word in enumerate(words):
+        found.setdefault(zlib.crc32(word) * shards >> 32, []).append(number)
     return found
 
 
@@ -224,20 +299,20 @@ def gather(docs: DataFrame, learn: Column, shards: int, bits: int) -> DataFrame:
         def block(ids: list, learns: list[bool], texts: list[bytes]) -> Iterator[pa.RecordBatch]:
             nonlocal turn
             turn += 1
-            words, counted = Counter(), _Counted()
-            for text, own in zip(texts, learns):
-                now = text.split(b" ")
-                if own:
-                    words.update(now)
-                else:
-                    for word in now:
-                        words.setdefault(word, 0)
+            codes, counted = _Counted(), _Counted()
             for own in (True, False):
-                part = [t for t, l in zip(texts, learns) if l is own]
-                for at in _split(part, SORTED):
-                    buffer, scored = _padded(part[at])
-                    for keys in context_keys(buffer, bits):
-                        counted.add(keys[scored], own)
+                _codes([t for t, l in zip(texts, learns) if l is own], own, codes)
+            codes, of_codes = codes.merged()
+            for order in ORDERS:
+                different, place = _shorter(codes, order)
+                counted.add_sums(code_keys(different, order, bits), np.bincount(place, of_codes, len(different)).astype(np.int64))
+            del codes, of_codes, different, place
+            found = _Words(texts)
+            of_words = np.bincount(found.ids[np.repeat(learns, np.diff(found.first))], minlength=len(found.starts) - 1)
+            for run_of, keys in found.keys(bits):
+                counted.add_sums(keys, np.repeat(of_words[run_of], np.diff(found.starts[run_of.start : run_of.stop + 1])))
+            words = found.listed()
+            del found
             keys, counts = counted.merged()
             yield rows(
                 block=[turn], ids=[ids], learn=[learns], sizes=[[len(t) for t in texts]],
@@ -251,8 +326,8 @@ def gather(docs: DataFrame, learn: Column, shards: int, bits: int) -> DataFrame:
                 cuts = [slice(bounds[s], bounds[s + 1]) for s in now]
                 yield rows(
                     block=[turn] * len(now), shard=now, payload=[_pack_keys(keys[c]) for c in cuts], counts=[_packed(counts[c]) for c in cuts],
-                    words=[zstandard.ZstdCompressor(1).compress(b" ".join(named.get(s, []))) for s in now],
-                    word_counts=[_packed(np.array([words[w] for w in named.get(s, [])], np.int64)) for s in now],
+                    words=[zstandard.ZstdCompressor(1).compress(b" ".join([words[w] for w in named.get(s, [])])) for s in now],
+                    word_counts=[_packed(of_words[named.get(s, [])]) for s in now],
                 )
 
         ids, learns, texts, held = [], [], [], 0
@@ -372,77 +447,89 @@ class _Places:
         return found
 
 
-def mix(buffer: np.ndarray, places: np.ndarray, odds: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def mix(buffer: np.ndarray, known: list[tuple[np.ndarray, list[np.ndarray]]], starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log probability of each segment of ``buffer``; all segments are walked at once, a byte at a time.
 
-    ``places`` says where in ``odds`` each predictor's bit predictions for a place of the buffer stand; eight in one whole
+    ``known`` says for each place of the buffer where in some tables the predictors' bit predictions stand; eight in one whole
     number, none but zeros for a context that is not known. Segments must come longest first. Every segment has its own
     weights, one set for each number of known contexts, and its own refining map for each bit of a byte. All bits of a byte
     are coded before what they teach is added to the weights. Log odds are those of the bit that came, so an error is what
-    its probability lacks; only the map is about set bits.
+    its probability lacks; only the map is about set bits. What hangs on no weight is made ready for a stretch of bytes.
     """
-    n = len(starts)
-    # Weights are kept times STEP, so that the small numbers serve as they are; the map's probabilities less a half.
-    weights = np.full((K + 1) * K * n, START_WEIGHT * STEP, np.float32)
+    n, top = len(starts), len(buffer) - 1
+    # Weights are kept negative and times STEP, so that the small numbers serve as they are; the map's probabilities less a
+    # half and times their share, cells of one bucket side by side: most bits fall into the outermost.
+    weights = np.full((K + 1) * K * n, -START_WEIGHT * STEP, np.float32)
     centres = (np.arange(BUCKETS) + 0.5) * (2 * FARTHEST / BUCKETS) - FARTHEST
-    refined = np.tile((1 / (1 + np.exp(-centres)) - 0.5).astype(np.float32), 8 * n)
-    found, product = np.zeros(n), np.ones(n)
-    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left") if n else []
-    lanes = np.arange(n)
-    sets, cells = np.arange(K)[:, None] * n + lanes, (np.arange(8)[:, None] * n + lanes) * BUCKETS
-    bound, bucket_of, middle = np.float32(FARTHEST - 1e-3), np.float32(BUCKETS / (2 * FARTHEST)), np.float32(BUCKETS / 2)
-    keep, share, half, fade = (np.float32(c) for c in (1 - MAP_SHARE, MAP_SHARE, MAP_SHARE / 2, 1 - MAP_RATE))
-    for t, a in enumerate(active):
-        at = starts[:a] + t
-        eight = odds.take(places.take(at, axis=0))
-        known = eight != 0
-        gate = known[:, 0].astype(np.int64)
-        for k in range(1, K):
-            gate += known[:, k]
-        gate *= K * n
-        own = sets[:, :a] + gate
-        x = np.ascontiguousarray(eight.view(np.int8).reshape(a, K, 8).transpose(2, 1, 0)).astype(np.float32)
-        sign = np.ascontiguousarray(SIGNS.take(buffer.take(at), axis=0).T)
-        w = weights.take(own)
-        total = np.einsum("bka,ka->ba", x, w)
-        np.maximum(total, -bound, out=total)
-        np.minimum(total, bound, out=total)
-        # The map is about set bits: the cell is that of the mixed log odds of a set bit.
-        cell = total * sign
-        cell *= bucket_of
-        cell += middle
-        cell = cell.astype(np.int64)
-        cell += cells[:, :a]
-        np.negative(total, out=total)
-        np.exp(total, out=total)
-        total += 1
-        p = np.reciprocal(total, out=total)
-        # The chance of what came: the mixed probability, drawn towards the map's.
-        set_p = refined.take(cell)
-        chance = set_p * sign
-        chance *= share
-        chance += half
-        chance += p * keep
-        product[:a] *= np.multiply.reduce(chance, axis=0)
-        if t % 4 == 3:  # the chances of 32 bits are far from the least double
-            found += np.log(product)
-            product.fill(1)
-        set_p *= fade
-        sign *= np.float32(MAP_RATE / 2)
-        set_p += sign
-        refined[cell] = set_p
-        np.subtract(1, p, out=p)
-        p *= np.float32(max(RATE / (1 + t / 64), LEAST_RATE) * STEP * STEP)
-        w += np.einsum("bka,ba->ka", x, p)
-        weights[own] = w
-    return found + np.log(product)
+    refined = np.repeat((MAP_SHARE * (1 / (1 + np.exp(-centres)) - 0.5)).astype(np.float32), 8 * n)
+    found = np.zeros(n)
+    active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left").tolist() if n else []
+    sets = np.arange(K)[:, None] * n + np.arange(n)
+    cells = np.arange(8 * n, dtype=np.float32).reshape(8, n)  # all cells are far fewer than a float tells apart
+    bound, per_bucket, middle, row = (np.float32(c) for c in (FARTHEST - 1e-3, -BUCKETS / (2 * FARTHEST), BUCKETS / 2, 8 * n))
+    keep, half, fade, rise = (np.float32(c) for c in (1 - MAP_SHARE, MAP_SHARE / 2, 1 - MAP_RATE, MAP_SHARE * MAP_RATE / 2))
+    rise = rise.view(np.uint32)
+    for begin in range(0, len(active), STRETCH):
+        now = active[begin : begin + STRETCH]
+        # Shorter segments read on into what follows them; no step uses that.
+        at = np.minimum(starts[: now[0], None] + np.arange(begin, begin + len(now)), top)
+        eight = np.empty((K, len(now), now[0]), np.int64)
+        k = 0
+        for place, tables in known:
+            place = place.take(at, mode="clip")
+            for odds in tables:
+                eight[k] = odds.take(place, mode="clip").T
+                k += 1
+        of_bits = np.ascontiguousarray(eight.view(np.int8).reshape(K, *eight.shape[1:], 8).transpose(1, 3, 0, 2))
+        gates = np.add.reduce(eight != 0, axis=0, dtype=np.int64) * (K * n)
+        unset = ~np.ascontiguousarray(buffer.take(at).T).astype(np.uint32)
+        chances = np.ones((len(now), now[0]))
+        for t, a in enumerate(now):
+            x = of_bits[t, :, :, :a].astype(np.float32, order="C")
+            # The sign bit of a float, set for bits that are not: to flip it is to turn from a set bit to the one that came.
+            sign = unset[t, :a] << TO_SIGN
+            sign &= SIGN
+            own = sets[:, :a] + gates[t, :a]
+            w = weights.take(own, mode="clip")
+            total = np.einsum("bka,ka->ba", x, w)
+            np.maximum(total, -bound, out=total)
+            np.minimum(total, bound, out=total)
+            # The map is about set bits: the cell is that of the mixed log odds of a set bit.
+            cell = (total.view(np.uint32) ^ sign).view(np.float32)
+            cell *= per_bucket
+            cell += middle
+            np.floor(cell, out=cell)
+            cell *= row
+            cell += cells[:, :a]
+            cell = cell.astype(np.int64)
+            np.exp(total, out=total)
+            total += 1
+            p = np.divide(keep, total, out=total)
+            # The chance of what came: the mixed probability, drawn towards the map's.
+            set_p = refined.take(cell, mode="clip")
+            chance = (set_p.view(np.uint32) ^ sign).view(np.float32)
+            chance += p
+            chance += half
+            # Those of four bits are far from the least float, those of eight from the least double.
+            four = np.multiply.reduce(chance.reshape(2, 4, a), axis=1)
+            np.multiply(four[0], four[1], out=chances[t, :a], dtype=np.float64)
+            set_p *= fade
+            sign ^= rise
+            set_p += sign.view(np.float32)
+            refined[cell] = set_p
+            rate = max(RATE / (1 + (begin + t) / 64), LEAST_RATE) * STEP * STEP
+            p *= np.float32(rate / keep)
+            p -= np.float32(rate)
+            w += np.einsum("bka,ba->ka", x, p)
+            weights[own] = w
+        found[: now[0]] += np.log(chances, out=chances).sum(axis=0)
+    return found
 
 
 def _segments(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start in the padded buffer, length and text of every segment, longest first."""
+    """Start in the joined texts, length and text of every segment, longest first."""
     parts, at = [], 0
     for doc, size in enumerate(sizes):
-        at += len(_PAD)
         parts += [(at + s, min(SEGMENT, size - s), doc) for s in range(0, size, SEGMENT)]
         at += size
     starts, lengths, docs = np.array(parts, np.int64).T
@@ -450,19 +537,31 @@ def _segments(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return starts[order], lengths[order], docs[order]
 
 
-def log_probabilities(texts: list[bytes], keys: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
-    """Base-10 log probability of each text, given the bit predictions of all its keys."""
+def log_probabilities(texts: list[bytes], words: _Words, keys: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
+    """Base-10 log probability of each text, given its words and the bit predictions of all its keys."""
+    if not texts:
+        return np.zeros(0)
     where, odds, found = _Places(keys), np.ascontiguousarray(values).view(np.int64).ravel(), []
+    # Tables in the order of words and codes, which keeps together what is used together.
+    of_words = np.concatenate([odds.take(where.of(wanted)) for _, wanted in words.keys(bits)])
+    codes, of_codes = _codes(texts, False, _Counted()).merged()[0], []
+    for order in ORDERS:
+        different, place = _shorter(codes, order)
+        of_codes.append(odds.take(where.of(code_keys(different, order, bits))).take(place))
+    del where
+    codes = _Places(codes)
     for at in _split(texts, MIXED):
-        buffer, scored = _padded(texts[at])
-        places, scored = np.zeros((len(buffer), K), np.int32), np.flatnonzero(scored)
-        for k, wanted in enumerate(context_keys(buffer, bits)):
-            places[scored, k] = where.of(wanted.take(scored))
+        data, scored = _padded(texts[at])
+        wanted = context_codes(data)[scored]
+        place = np.concatenate([codes.of(wanted[k : k + LOOK]) for k in range(0, len(wanted), LOOK)])
+        known = [(place, of_codes), (words.places(at), [of_words])]
+        buffer = np.frombuffer(b"".join(texts[at]), np.uint8)
         starts, lengths, docs = _segments([len(t) for t in texts[at]])
-        of_segments = mix(buffer, places, odds, starts, lengths)
+        runs = [slice(k, k + LANES) for k in range(0, len(starts), LANES)]
+        of_segments = np.concatenate([mix(buffer, known, starts[r], lengths[r]) for r in runs])
         order = np.lexsort((starts, docs))
         found.append(np.add.reduceat(of_segments[order], _runs(docs[order])))
-    return np.concatenate(found) / math.log(10) if found else np.zeros(0)
+    return np.concatenate(found) / math.log(10)
 
 
 def _score(n_tokens: int, n_distinct: int, shards: int, bits: int):
@@ -479,26 +578,22 @@ def _score(n_tokens: int, n_distinct: int, shards: int, bits: int):
         answers = table.filter(pa.compute.is_valid(table.column("shard"))).sort_by("shard")
         keys = np.concatenate([_unpack_keys(p) for p in answers.column("payload").to_pylist()])
         values = np.concatenate([_unpacked(v, np.int8, 8) for v in answers.column("values").to_pylist()])
-        # A text's score hangs on nothing but the text, so copies in a block share it.
+        # What is said of a text hangs on nothing but the text, so copies in a block share it.
         different = {text: k for k, text in enumerate(dict.fromkeys(texts))}
-        score = log_probabilities(list(different), keys, values, bits)[[different[text] for text in texts]]
-        del keys, values, different
+        copies, texts = np.array([different[text] for text in texts]), list(different)
+        del different
+        words = _Words(texts)
         # The block's words by shard, in the order of their first place, as it asked for them.
-        named = _by_shard(dict.fromkeys(word for text in texts for word in text.split(b" ")), shards)
-        whole, logs, unknown = n_tokens + BASE_PRIOR * (n_distinct + 1), {}, set()
+        counts, numbers = np.zeros(len(words.starts) - 1, np.int64), _by_shard(words.listed(), shards)
         for shard, known in zip(answers.column("shard").to_pylist(), answers.column("word_counts").to_pylist()):
-            counts, words = _unpacked(known, np.int64), named.pop(shard, [])
-            logs.update(zip(words, np.log10((counts + BASE_PRIOR) / whole).tolist()))
-            unknown.update(words[at] for at in np.flatnonzero(counts == 0).tolist())
-        of_docs = []
-        for text, own in zip(texts, head["learn"]):
-            words = text.split(b" ")
-            base = float(np.fromiter(map(logs.__getitem__, words), float, len(words)).sum())
-            of_docs.append((len(words), len(words) - (0 if own else sum(map(unknown.__contains__, words))), base))
-        n, known, base = (list(c) for c in zip(*of_docs))
+            counts[numbers.pop(shard, [])] = _unpacked(known, np.int64)
+        logs = np.log10((counts + BASE_PRIOR) / (n_tokens + BASE_PRIOR * (n_distinct + 1)))
+        del answers, table, numbers
+        n, known, base = np.diff(words.first), *(np.add.reduceat(of_word.take(words.ids), words.first[:-1]) for of_word in ((counts > 0).astype(np.int64), logs))
+        scores = log_probabilities(texts, words, keys, values, bits)
         return pa.Table.from_pydict({
-            "doc_id": head["ids"], "learned": head["learn"], "n_tokens": n, "n_known": known, "train_tokens": [n_tokens] * len(texts),
-            "base_score": base, "score": score, "n_bytes": [len(t) for t in texts],
+            "doc_id": head["ids"], "learned": head["learn"], "n_tokens": n[copies], "n_known": known[copies], "train_tokens": [n_tokens] * len(copies),
+            "base_score": base[copies], "score": scores[copies], "n_bytes": np.array([len(t) for t in texts])[copies],
         }, schema=schema)
 
     return run
