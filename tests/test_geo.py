@@ -79,3 +79,22 @@ def test_cells_lose_no_pair(spark, base):
     celled = left.join(right, "c").where(near).select("i", "j")
     assert plain.count() > 0
     assert celled.exceptAll(plain).isEmpty() and plain.exceptAll(celled).isEmpty()
+
+
+def test_wide_cells_hold_all_partners_in_fewer_cells(spark):
+    """Every user within the radius sits in one of the vehicle's cells, at the date line and near the poles too."""
+    rnd, km = random.Random(4), 2.0
+    rows = []
+    for _ in range(4000):
+        lat, lon = rnd.choice([rnd.uniform(-89.99, 89.99), rnd.uniform(39, 40), rnd.choice([-1, 1]) * rnd.uniform(89.8, 89.999)]), rnd.choice([rnd.uniform(-180, 180), 180 - rnd.uniform(0, 0.02)])
+        turn, far = rnd.uniform(0, 2 * math.pi), rnd.uniform(0, km) / 111.7
+        there = lat + far * math.cos(turn)
+        if abs(there) < 90:
+            rows.append((lat, lon, there, (lon + far * math.sin(turn) / max(math.cos(math.radians(lat)), 1e-6) + 540) % 360 - 180))
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double").where(geo.is_within_km("a", "b", "c", "d", km))
+    assert df.count() > 2000
+    for side in (km, 2 * km, 4 * km):
+        missed = df.where(~F.array_contains(geo.cells_around("a", "b", km, side), geo.cell("c", "d", side)))
+        assert missed.isEmpty()
+    size = lambda side: df.where("abs(a) < 80").agg(F.avg(F.size(geo.cells_around("a", "b", km, side)))).first()[0]
+    assert size(2 * km) < 0.6 * size(None)

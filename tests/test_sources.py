@@ -47,3 +47,16 @@ def test_quarantine_names_the_field(spark):
     assert {r.payload: r.reason for r in bad.collect()} == {
         '{"cliente_id": 1, "viaje_id": 2}': "missing latitud,longitud,rating,metodo_pago", "no json": "unreadable",
     }
+
+
+def test_a_message_is_parsed_once(spark):
+    from wayfold import schemas
+    from wayfold.sources import messages
+
+    text = '{"viaje_id":1,"vehiculo_id":2,"latitud":39.4,"longitud":-0.4,"num_plazas":3,"latitud_final":39.5,"longitud_final":-0.3}'
+    raw = spark.createDataFrame([(1, text), (2, "{vehiculo"), (3, None), (4, text.replace('"num_plazas":3,', ""))], "event_id long, value string")
+    valid, quarantine = messages.decode(raw, schemas.VEHICLE_MESSAGE)
+    for part in (valid, quarantine):
+        assert part._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [tuple(r) for r in valid.collect()] == [(1, 2, 39.4, -0.4, 3, 39.5, -0.3, 1)]
+    assert {r.event_id: r.reason for r in quarantine.collect()} == {2: "unreadable", 3: "unreadable", 4: "missing num_plazas"}

@@ -128,3 +128,32 @@ def test_memory_fades_after_its_time(spark, tmp_path):
     run(stream, tmp_path)
     # Taken in minute 0 and again in minutes 2 and 4: a window that ends two minutes later no longer remembers.
     assert sorted(r.v_event for r in spark.read.parquet(f"{tmp_path}/out").collect()) == [0, 2, 4]
+
+
+def test_loose_rows_and_slices_meet_and_buckets_share_a_timer(spark, tmp_path, monkeypatch):
+    from wayfold.streaming import match
+
+    rnd = random.Random(9)
+    at = lambda: START + dt.timedelta(milliseconds=rnd.randrange(120_000))
+    place = lambda: (39.45 + rnd.uniform(0, 0.02), -0.40 + rnd.uniform(0, 0.02))
+    vs = [(k, at(), rnd.randint(1, 6), rnd.randint(1, 9), rnd.randint(1, 3), *place(), *place()) for k in range(300)]
+    us = [(k, at(), rnd.randint(1, 6), rnd.randint(1, 90), *place(), 5.0, "Tarjeta") for k in range(600)]
+    monkeypatch.setattr(match, "BUCKETS", 2)
+    v, u = spark.createDataFrame(vs, V), spark.createDataFrame(us, U)
+    # Some rows loose and others filed by slice, then all filed.
+    for loose, remember, window in ((1500, False, "30 seconds"), (1500, True, "15 seconds"), (0, True, "15 seconds")):
+        folder = tmp_path / f"{loose}-{remember}"
+        monkeypatch.setattr(match, "LOOSE", loose)
+        with_small_batches = {"spark.sql.execution.arrow.maxRecordsPerBatch": "100"}
+        before = {k: spark.conf.get(k) for k in with_small_batches}
+        for k, x in with_small_batches.items():
+            spark.conf.set(k, x)
+        try:
+            q = run(match_stream(*streams_of(spark, vs, us, folder), window, 2.0, remember=remember), folder)
+        finally:
+            for k, x in before.items():
+                spark.conf.set(k, x)
+        same(spark.read.parquet(f"{folder}/out"), (M.greedy_match_remembering if remember else M.greedy_match)(v, u, window, 2.0))
+        timers = [o["customMetrics"]["numRegisteredTimers"] for p in q.recentProgress for o in p["stateOperators"] if "numRegisteredTimers" in o.get("customMetrics", {})]
+        # A timer for each window of each trip was 24 or more.
+        assert 0 < max(timers) <= 6
