@@ -90,3 +90,34 @@ def test_staged_search_equals_one_fit_for_each_number_of_trees(spark):
         want[of["maxIter"], of["stepSize"]] = e
     for setting, errors in found:
         assert sum(errors) / 2 == pytest.approx(want[setting["maxIter"], setting["stepSize"]], rel=1e-6)
+
+
+def test_steps_leave_one_table_and_the_settings(spark):
+    import glob
+    import uuid
+
+    from wayfold.session import TIDY, shared_folder, stepwise
+
+    before, label = spark.conf.get(TIDY, None), uuid.uuid4().hex
+    rows = spark.range(100).withColumn("k", F.col("id") % 7)
+    totals = rows.groupBy("k").agg(F.sum("id").alias("s"))
+    got = stepwise(rows, label, lambda df: df.join(totals, "k"), lambda df: df.where("id < 10"))
+    assert sorted(tuple(r) for r in got.select("id", "s").collect()) == [(k, sum(range(k % 7, 100, 7))) for k in range(10)]
+    assert len(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/{label}-*")) == 1 and spark.conf.get(TIDY, None) == before
+
+
+@pytest.mark.parametrize("name", ["fare_predictions"])
+def test_a_fit_reads_rides_that_are_joined_once(spark, small, name, monkeypatch):
+    from wayfold.plans.registry import QUERIES
+
+    built = []
+    whole = H.build_pipeline
+    monkeypatch.setattr(H, "build_pipeline", lambda schema, **tree: (built.append(whole(schema, **tree)), built[-1])[1])
+    seen, fit = [], H.Pipeline.fit
+    monkeypatch.setattr(H.Pipeline, "fit", lambda self, df, *a: (seen.append(df), fit(self, df, *a))[1])
+    scored = QUERIES[name](spark, small)
+    assert len(built) == 1 and seen
+    for df in (*seen, scored):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+    whole_rows = split(Inputs(spark, small).enriched, ["pedido", "linea"])[1]
+    assert (scored.count() if name == "fare_predictions" else scored.first().filas) == whole_rows.count()
