@@ -106,7 +106,7 @@ def test_steps_leave_one_table_and_the_settings(spark):
     assert len(glob.glob(f"{shared_folder(spark).removeprefix('file:')}/{label}-*")) == 1 and spark.conf.get(TIDY, None) == before
 
 
-@pytest.mark.parametrize("name", ["fare_predictions"])
+@pytest.mark.parametrize("name", ["fare_predictions", "saved_fare_model"])
 def test_a_fit_reads_rides_that_are_joined_once(spark, small, name, monkeypatch):
     from wayfold.plans.registry import QUERIES
 
