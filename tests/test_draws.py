@@ -81,3 +81,16 @@ def test_each_key_has_its_own_permutation(spark):
     near = [{frozenset((a, b)) for a, b in zip(p, p[1:])} for p in places.values()]
     assert len(near[0] & near[1]) < 15 and len(near[0] & near[2]) < 15
     assert sum(b - a == 1 for a, b in zip(places[0], places[0][1:])) < 15
+
+
+def test_requests_of_few_ticks_are_drawn_by_all_tasks(spark):
+    from wayfold.operators import replay
+
+    points = spark.range(50).select((F.col("id") % 3).alias("viaje_id"), F.col("id").alias("punto_ruta"), (39 + F.col("id") / 1000).alias("latitud"), (F.col("id") / -1000).alias("longitud"))
+    clients = spark.range(60).select((F.col("id") + 100).alias("cliente_id"), (F.col("id") + 1).alias("posicion"))
+    ticks = spark.range(40).coalesce(1).select(F.col("id").alias("tick"), F.timestamp_seconds(F.lit(1706774400)).alias("start_ts"))
+    made = replay.request_batches(points, clients, ticks, 5)
+    assert made.count() == 40 * 60 == made.select("tick", "cliente_id").distinct().count()
+    # Ticks come in one partition; those that generate rows are as many as the session deals to.
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [tick#" in plan and plan.index("Generate explode") < plan.index("RepartitionByExpression [tick#")
